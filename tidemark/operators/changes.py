@@ -215,15 +215,17 @@ def plan_increment(
 def high_water_mark(
     df: DataFrame, column: str, target: DataFrame | None, target_column: str | None = None
 ) -> DataFrame:
-    """Rows newer than the target's maximum; all rows when the target is empty or absent.
+    """Rows newer than the target's maximum; all rows when the target has none.
 
-    The maximum is a scalar subquery: computed once and pushed to the file scan.
+    The maximum is a scalar subquery: computed once and pushed to the file scan. Whether
+    there is a maximum at all is asked first, with a job that stops at the first row.
     """
     if target is None:
         return df
-    mark = target.agg(F.max(name(target_column or column)).alias("mark"))
-    # An empty target has no mark: every row counts as new.
-    return df.where(mark.select(F.col("mark").isNull()).scalar() | (name(column) > mark.scalar()))
+    loaded = target.select(name(target_column or column).alias("mark")).where("mark is not null")
+    if loaded.isEmpty():
+        return df
+    return df.where(name(column) > loaded.agg(F.max("mark")).scalar())
 
 
 def coalesce_with_target(

@@ -149,13 +149,13 @@ def range_join_validity(
     keys: Sequence[str],
     at: str,
     valid_from: str = "valid_from",
-    valid_to: str = "valid_to",
+    valid_to: str | None = "valid_to",
     hot_rows: int | None = ordered.HOT_ROWS,
 ) -> DataFrame:
     """Facts with the version of their key that is valid at ``at`` (from <= at < to).
 
-    The validity intervals of a key must not overlap, as histories guarantee. Facts and
-    versions are merged into one ordered stream per key and the latest version is carried
+    The validity intervals of a key must not overlap, as histories guarantee. With
+    ``valid_to=None`` a version is valid until the next one starts. Facts and versions are merged into one ordered stream per key and the latest version is carried
     forward. That costs one sort and no comparison of all facts with all versions of a
     key, however many of either there are.
     """
@@ -166,7 +166,8 @@ def range_join_validity(
         F.lit(1).alias("__side"),
         F.struct(*[name(c) for c in facts.columns]).alias("__fact"),
     )
-    right = versions.where(name(valid_from) < name(valid_to)).select(
+    started = name(valid_from) < name(valid_to) if valid_to else name(valid_from).isNotNull()
+    right = versions.where(started).select(
         *names(keys),
         name(valid_from).alias("__at"),
         F.lit(0).alias("__side"),
@@ -177,9 +178,10 @@ def range_join_validity(
     merged = left.unionByName(right, allowMissingColumns=True)
     sliced = ordered.slice_hot_keys(merged, keys, "__at", hot_rows)
     latest = ordered.carry_forward(sliced, keys, ["__at", "__side"], "__version", "__valid")
+    ended = F.col("__at") < F.col(f"__valid.`{valid_to}`") if valid_to else F.col("__valid").isNotNull()
     return (
         latest.where(F.col("__side") == 1)
-        .where(F.col("__at") < F.col(f"__valid.`{valid_to}`"))
+        .where(ended)
         .select(
             *[F.col(f"__fact.`{c}`").alias(c) for c in facts.columns],
             *[F.col(f"__valid.`{c}`").alias(c) for c in carried],

@@ -49,8 +49,12 @@ def slice_hot_keys(
         points = df.where(value.isNotNull()).select(value)
         rate = points.agg(_rate(F.approx_count_distinct(value), slices)).scalar()
         chosen = points.where(_chosen(value, rate))
-        array = chosen.agg(F.sort_array(F.collect_set(value))).scalar()
-        return df.withColumn(SLICE, _slice_number(array, value, descending))
+        array = chosen.agg(F.sort_array(F.collect_set(value))).scalar()  # about ``slices`` values
+        return (
+            df.withColumn(_POINTS, array)
+            .withColumn(SLICE, _slice_number(F.col(_POINTS), value, descending))
+            .drop(_POINTS)
+        )
 
     counts = df.groupBy(*names(keys)).agg(F.count(F.lit(1)).alias("__rows"))
     total = counts.agg(F.sum("__rows")).scalar()
