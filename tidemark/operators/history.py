@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import name, names, row_checksum
-from tidemark.operators import ordered
+from tidemark.operators.ordered import HOT_ROWS, KeyedOrder
 
 # Fixed value: end of validity of a current row.
 OPEN_END = "9999-12-31"
@@ -52,13 +52,11 @@ def row_number_per_header(
     header_keys: Sequence[str],
     order_by: Sequence[str],
     out: str = "row_num",
-    hot_rows: int | None = ordered.HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Rank of each line in its document, newest first; ``order_by`` must be a total order."""
-    sliced = ordered.slice_hot_keys(lines, header_keys, order_by[0], hot_rows, descending=True)
-    return ordered.drop_slices(
-        ordered.number_rows(sliced, header_keys, order_by, out, descending=True)
-    )
+    rank = KeyedOrder(lines, header_keys, order_by[0], hot_rows, descending=True)
+    return rank.plain(rank.number(rank.sliced(lines), order_by, out))
 
 
 def lag_checksum(
@@ -66,16 +64,13 @@ def lag_checksum(
     keys: Sequence[str],
     order_by: str,
     checked: Sequence[str],
-    hot_rows: int | None = ordered.HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add ``row_checksum`` and ``previous_checksum`` of the row before it."""
     marked = df.withColumn("row_checksum", row_checksum(checked))
-    sliced = ordered.slice_hot_keys(marked, keys, order_by, hot_rows)
-    return ordered.drop_slices(
-        ordered.previous_value(
-            sliced, keys, [order_by, "row_checksum"], "row_checksum", "previous_checksum"
-        )
-    )
+    time = KeyedOrder(df, keys, order_by, hot_rows)
+    order = [order_by, "row_checksum"]
+    return time.plain(time.previous(time.sliced(marked), order, "row_checksum", "previous_checksum"))
 
 
 def scd2_history(
@@ -86,7 +81,7 @@ def scd2_history(
     first_valid_from: str | None = None,
     null_token: str = "",
     escape: bool = False,
-    hot_rows: int | None = ordered.HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Type-2 history of an append-only change table.
 
@@ -100,10 +95,10 @@ def scd2_history(
     order = [valid_from_column, "__checksum"]
 
     marked = df.withColumn("__checksum", row_checksum(checked, null_token, escape))
-    sliced = ordered.slice_hot_keys(marked, keys, valid_from_column, hot_rows)
-    compared = ordered.previous_value(sliced, keys, order, "__checksum", "__previous")
+    time = KeyedOrder(df, keys, valid_from_column, hot_rows)
+    compared = time.previous(time.sliced(marked), order, "__checksum", "__previous")
     kept = compared.where(F.col("__checksum") != F.coalesce(F.col("__previous"), F.lit("")))
-    ended = ordered.next_value(kept, keys, order, valid_from_column, "__next")
+    ended = time.next(kept, order, valid_from_column, "__next")
 
     kind = df.schema[valid_from_column].dataType.typeName()
     moment = "timestamp_ntz" if kind == "timestamp_ntz" else "timestamp"
@@ -132,15 +127,13 @@ def with_version_end(
     out: str = "valid_to",
     open_end: str = OPEN_END,
     tie_break: Sequence[str] = (),
-    hot_rows: int | None = ordered.HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """``lead(valid_from)`` with an open end for the last version of a key."""
     kind = versions.schema[valid_from].dataType
-    sliced = ordered.slice_hot_keys(versions, keys, valid_from, hot_rows)
-    ended = ordered.next_value(sliced, keys, [valid_from, *tie_break], valid_from, out)
-    return ordered.drop_slices(
-        ended.withColumn(out, F.coalesce(name(out), F.lit(open_end).cast(kind)))
-    )
+    time = KeyedOrder(versions, keys, valid_from, hot_rows)
+    ended = time.next(time.sliced(versions), [valid_from, *tie_break], valid_from, out)
+    return time.plain(ended.withColumn(out, F.coalesce(name(out), F.lit(open_end).cast(kind))))
 
 
 def range_join_validity(
@@ -150,7 +143,7 @@ def range_join_validity(
     at: str,
     valid_from: str = "valid_from",
     valid_to: str | None = "valid_to",
-    hot_rows: int | None = ordered.HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Facts with the version of their key that is valid at ``at`` (from <= at < to).
 
@@ -176,8 +169,8 @@ def range_join_validity(
     for k in keys:
         left, right = left.where(name(k).isNotNull()), right.where(name(k).isNotNull())
     merged = left.unionByName(right, allowMissingColumns=True)
-    sliced = ordered.slice_hot_keys(merged, keys, "__at", hot_rows)
-    latest = ordered.carry_forward(sliced, keys, ["__at", "__side"], "__version", "__valid")
+    time = KeyedOrder(merged, keys, "__at", hot_rows)
+    latest = time.latest(time.sliced(merged), ["__at", "__side"], "__version", "__valid")
     ended = F.col("__at") < F.col(f"__valid.`{valid_to}`") if valid_to else F.col("__valid").isNotNull()
     return (
         latest.where(F.col("__side") == 1)

@@ -43,18 +43,30 @@ def key_join(
 
 
 def inner_join_keys(df: DataFrame, affected: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is among ``affected``; never multiplies rows of ``df``."""
-    return key_join(df, affected.select(*names(keys)), keys, "left_semi")
+    """Rows whose key is among ``affected``; never multiplies rows of ``df``.
+
+    Keys are made distinct first: repeats are dropped in the map tasks, and the shuffle
+    that does it is the one the join needs anyway.
+    """
+    return key_join(df, affected.select(*names(keys)).distinct(), keys, "left_semi")
 
 
 semi_join_in = inner_join_keys
 
 
 def anti_join(
-    df: DataFrame, other: DataFrame, keys: Sequence[str], null_safe: bool = False
+    df: DataFrame,
+    other: DataFrame,
+    keys: Sequence[str],
+    null_safe: bool = False,
+    distinct: bool = True,
 ) -> DataFrame:
-    """Rows whose key is not in ``other``. A null key never matches unless ``null_safe``."""
-    return key_join(df, other.select(*names(keys)), keys, "left_anti", null_safe)
+    """Rows whose key is not in ``other``. A null key never matches unless ``null_safe``.
+
+    ``distinct=False`` skips dropping repeated keys of an ``other`` known to have none.
+    """
+    excluded = other.select(*names(keys))
+    return key_join(df, excluded.distinct() if distinct else excluded, keys, "left_anti", null_safe)
 
 
 not_exists = anti_join
@@ -73,7 +85,7 @@ def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str | Non
     )
     has_null = facts.select(F.col("nulls") > 0).scalar()
     is_empty = facts.select(F.col("n") == 0).scalar()
-    kept = df.join(values, [column], "left_anti")
+    kept = df.join(values.distinct(), [column], "left_anti")
     return kept.where(is_empty | (~has_null & name(column).isNotNull()))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.keys import name, names
 from tidemark.operators.history import dedup_latest
 from tidemark.operators.joins import anti_join
-from tidemark.operators.ordered import drop_slices, number_rows, slice_hot_keys
+from tidemark.operators.ordered import HOT_ROWS, KeyedOrder
 
 DUPLICATE_KEY = "upsert source has more than one row for a key"
 
@@ -62,7 +62,7 @@ def upsert(
         target = sync_columns(target, source)
     else:
         raise ValueError(f"unknown schema_change: {schema_change}")
-    return anti_join(target, source, keys, null_safe).unionByName(source)
+    return anti_join(target, source, keys, null_safe, distinct=False).unionByName(source)
 
 
 def append_history(target: DataFrame, changes: DataFrame, sync: bool = True) -> DataFrame:
@@ -100,7 +100,7 @@ def update_where(df: DataFrame, predicate: Column, assignments: Mapping[str, Col
 
 def document_replace(target: DataFrame, increment: DataFrame, header_keys: Sequence[str]) -> DataFrame:
     """Target without any row of a document that occurs in the increment."""
-    return anti_join(target, increment.select(*names(header_keys)).distinct(), header_keys)
+    return anti_join(target, increment, header_keys)
 
 
 def document_load(
@@ -127,7 +127,7 @@ def document_prune(
     and drops its key too when an older row has that key. Neither needs a rank of every
     line: the newest line per document is found with one row per map task.
     """
-    flagged = lines.where(name(flag_column) == F.lit(flag)).select(*names(keys)).distinct()
+    flagged = lines.where(name(flag_column) == F.lit(flag)).select(*names(keys))
     if mode == "dense_rank":
         newest = lines.groupBy(*names(header_keys)).agg(
             F.max(F.struct(*[name(c).alias(f"o{i}") for i, c in enumerate(order_by)])).alias("__newest")
@@ -137,7 +137,6 @@ def document_prune(
             lines.join(newest, list(header_keys), "inner")
             .where(position == F.col("__newest"))
             .select(*names(keys))
-            .distinct()
         )
         outdated = anti_join(lines.select(*names(keys)).distinct(), latest, keys)
     elif mode == "row_number":
@@ -148,7 +147,7 @@ def document_prune(
         outdated = anti_join(repeated.select(*names(keys)), safe, keys)
     else:
         raise ValueError(f"unknown mode: {mode}")
-    return anti_join(target, outdated.unionByName(flagged).distinct(), keys)
+    return anti_join(target, outdated.unionByName(flagged), keys)
 
 
 def sync_columns(target: DataFrame, source: DataFrame) -> DataFrame:
@@ -178,16 +177,20 @@ def alter_columns(
 
 
 def identity_key(
-    df: DataFrame, out: str, order_by: Sequence[str], existing: DataFrame | None = None
+    df: DataFrame,
+    out: str,
+    order_by: Sequence[str],
+    existing: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Dense row id that continues after the largest id of ``existing``.
 
-    ``order_by`` must be a total order. Numbers are counted per slice of that order and
-    shifted by the sizes of the slices before it, so no task sees the whole table.
+    ``order_by`` must be a total order. From ``hot_rows`` rows on, numbers are counted per
+    slice of that order and shifted by the sizes of the slices before it, so no task sees a
+    large table whole.
     """
-    numbered = drop_slices(
-        number_rows(slice_hot_keys(df, [], order_by[0]), [], order_by, out)
-    )
+    whole = KeyedOrder(df, [], order_by[0], hot_rows)
+    numbered = whole.plain(whole.number(whole.sliced(df), order_by, out))
     if existing is None:
         return numbered
     last = existing.agg(F.coalesce(F.max(name(out)), F.lit(0)).cast("long")).scalar()

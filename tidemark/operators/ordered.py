@@ -1,11 +1,10 @@
 """Neighbour values, running values and positions in an order, safe against hot keys.
 
-A plain window puts all rows of a key into one task. Here a key that holds a large share
-of all rows is cut into slices that follow the order. Windows then run per (key, slice),
-and what a slice needs from its neighbours comes from one summary row per slice.
-
-Split points are order values of the hot key itself, chosen by their hash. They depend on
-the data alone, so every branch of a plan and every retried task sees the same slices.
+A plain window puts all rows of a key into one task. Keys that hold a large share of all
+rows are found first, by a count that is combined in the map tasks. If there are none, the
+plan is the plain window. Otherwise the rows of the hot keys are cut into slices that
+follow the order; windows then run per (key, slice), and what a slice needs from its
+neighbours comes from one summary row per slice.
 """
 
 from __future__ import annotations
@@ -15,184 +14,154 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.keys import name, names
 
 # A key is hot when it holds at least HOT_ROWS rows and more than HOT_SHARE of all rows;
-# hence there are never more than 1 / HOT_SHARE hot keys, which bounds what is broadcast.
+# hence there are never more than 1 / HOT_SHARE hot keys.
 HOT_ROWS = 1_000_000
 HOT_SHARE = 0.001
+# Slices a hot key is cut into, about.
 SLICES = 200
 
 SLICE = "__slice"
 _POINTS = "__points"
 
 
-def slice_hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    hot_rows: int | None = HOT_ROWS,
-    hot_share: float = HOT_SHARE,
-    slices: int = SLICES,
-    descending: bool = False,
-) -> DataFrame:
-    """Add ``__slice``: null for ordinary keys, a number that rises with the order for hot
-    keys. With no ``keys`` the whole table counts as one hot key. ``hot_rows=None`` turns
-    slicing off.
+class KeyedOrder:
+    """The order of rows within ``keys``, by ``order`` first, and the slices of hot keys.
+
+    ``df`` is counted when the object is made. Without ``keys`` the whole table is one key.
+    ``hot_rows=None`` takes it for granted that no key is hot.
     """
-    if hot_rows is None and keys:
-        return df.withColumn(SLICE, F.lit(None).cast("int"))
-
-    value = name(order)
-    if not keys:
-        points = df.where(value.isNotNull()).select(value)
-        rate = points.agg(_rate(F.approx_count_distinct(value), slices)).scalar()
-        chosen = points.where(_chosen(value, rate))
-        array = chosen.agg(F.sort_array(F.collect_set(value))).scalar()  # about ``slices`` values
-        return (
-            df.withColumn(_POINTS, array)
-            .withColumn(SLICE, _slice_number(F.col(_POINTS), value, descending))
-            .drop(_POINTS)
-        )
 
-    counts = df.groupBy(*names(keys)).agg(F.count(F.lit(1)).alias("__rows"))
-    total = counts.agg(F.sum("__rows")).scalar()
-    hot = F.broadcast(
-        counts.where((F.col("__rows") >= hot_rows) & (F.col("__rows") > total * F.lit(hot_share)))
-        .select(*names(keys))
-    )
-    narrow = df.select(*names(keys), value.alias("__v")).where(F.col("__v").isNotNull())
-    hot_values = _match(narrow, hot, keys)
-    rates = F.broadcast(
-        hot_values.groupBy(*names(keys)).agg(
-            _rate(F.approx_count_distinct("__v"), slices).alias("__rate")
+    def __init__(
+        self,
+        df: DataFrame,
+        keys: Sequence[str],
+        order: str,
+        hot_rows: int | None = HOT_ROWS,
+        descending: bool = False,
+        hot_share: float | None = None,
+        slices: int = SLICES,
+    ):
+        self.keys, self.order, self.descending = list(keys), order, descending
+        self.points = (
+            None if hot_rows is None
+            else _split_points(df, self.keys, order, hot_rows, HOT_SHARE if hot_share is None else hot_share, slices)
         )
-    )
-    points = F.broadcast(
-        _match(narrow, rates, keys)
-        .where(_chosen(F.col("__v"), F.col("__rate")))
-        .groupBy(*names(keys))
-        .agg(F.sort_array(F.collect_set("__v")).alias(_POINTS))
-    )
-    joined = _match(df, points, keys, "left")
-    return joined.withColumn(
-        SLICE, F.when(F.col(_POINTS).isNotNull(), _slice_number(F.col(_POINTS), value, descending))
-    ).drop(_POINTS)
-
-
-def previous_value(
-    sliced: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str
-) -> DataFrame:
-    """``lag(value)`` per key over a frame from :func:`slice_hot_keys`."""
-    return _neighbour(sliced, keys, order, value, out, forward=False)
-
-
-def next_value(
-    sliced: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str
-) -> DataFrame:
-    """``lead(value)`` per key over a frame from :func:`slice_hot_keys`."""
-    return _neighbour(sliced, keys, order, value, out, forward=True)
-
-
-def carry_forward(
-    sliced: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str
-) -> DataFrame:
-    """Latest non-null ``value`` up to and including the row."""
-    w = _window(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = sliced.withColumn(out, F.last(name(value), ignorenulls=True).over(w))
-    present = sliced.where(F.col(SLICE).isNotNull() & name(value).isNotNull())
-    ends = present.groupBy(*names(keys), F.col(SLICE)).agg(
-        F.max_by(name(value), _position_of(order)).alias("__end")
-    )
-    # Slices without a value must appear too, so that they can pass one on.
-    every = sliced.where(F.col(SLICE).isNotNull()).groupBy(*names(keys), F.col(SLICE)).agg(
-        F.count(F.lit(1)).alias("__n")
-    )
-    filled = _match(every, ends, [*keys, SLICE], "left")
-    before = (
-        Window.partitionBy(*names(keys))
-        .orderBy(SLICE)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = filled.select(
-        *names(keys),
-        F.col(SLICE),
-        F.last(F.col("__end"), ignorenulls=True).over(before).alias("__carried"),
-    )
-    joined = _match(local, carried, [*keys, SLICE], "left")
-    return joined.withColumn(out, F.coalesce(name(out), F.col("__carried"))).drop("__carried")
-
-
-def number_rows(
-    sliced: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, descending: bool = False
-) -> DataFrame:
-    """``row_number()`` per key; with no keys a dense number over the whole table."""
-    local = sliced.withColumn("__n", F.row_number().over(_window(keys, order, descending)))
-    sizes = (
-        sliced.where(F.col(SLICE).isNotNull())
-        .groupBy(*names(keys), F.col(SLICE))
-        .agg(F.count(F.lit(1)).alias("__size"))
-    )
-    before = Window.partitionBy(*names(keys)).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *names(keys), F.col(SLICE), F.sum("__size").over(before).alias("__offset")
-    )
-    joined = _match(local, offsets, [*keys, SLICE], "left")
-    return joined.withColumn(
-        out, (F.coalesce(F.col("__offset"), F.lit(0)) + F.col("__n")).cast("long")
-    ).drop("__n", "__offset")
-
-
-def drop_slices(df: DataFrame) -> DataFrame:
-    return df.drop(SLICE)
-
-
-def _neighbour(sliced, keys, order, value, out, forward):
-    w = _window(keys, order)
-    step = F.lead if forward else F.lag
-    edge = F.min_by if forward else F.max_by
-    inside = step(F.lit(True), 1, False).over(w)
-    local = sliced.withColumn(out, step(name(value), 1).over(w)).withColumn("__inside", inside)
-
-    edges = (
-        sliced.where(F.col(SLICE).isNotNull())
-        .groupBy(*names(keys), F.col(SLICE))
-        .agg(edge(name(value), _position_of(order)).alias("__edge"))
-    )
-    across = Window.partitionBy(*names(keys)).orderBy(SLICE)
-    reached = edges.select(
-        *names(keys), F.col(SLICE), step(F.col("__edge"), 1).over(across).alias("__reached")
-    )
-    joined = _match(local, reached, [*keys, SLICE], "left")
-    return joined.withColumn(
-        out, F.when(F.col("__inside"), name(out)).otherwise(F.col("__reached"))
-    ).drop("__inside", "__reached")
-
-
-def _window(keys, order, descending=False):
-    columns = [name(c).desc() if descending else name(c).asc() for c in order]
-    return Window.partitionBy(*names(keys), F.col(SLICE)).orderBy(*columns)
 
+    def sliced(self, df: DataFrame) -> DataFrame:
+        """``df`` with its slice number: null for ordinary keys, rising with the order for
+        hot ones. Unchanged when there are no hot keys."""
+        if self.points is None:
+            return df
+        if self.keys:
+            # At most 1 / HOT_SHARE rows of about SLICES values each.
+            joined = _match(df, F.broadcast(self.points), self.keys, "left")
+        else:
+            joined = df.withColumn(_POINTS, self.points.scalar())
+        below = F.size(F.filter(F.col(_POINTS), lambda p: p <= name(self.order)))
+        number = F.when(F.col(_POINTS).isNotNull(), F.coalesce(below, F.lit(0)))
+        return joined.withColumn(SLICE, -number if self.descending else number).drop(_POINTS)
+
+    def plain(self, df: DataFrame) -> DataFrame:
+        return df.drop(SLICE)
+
+    def previous(self, sliced: DataFrame, order: Sequence[str], value: str, out: str) -> DataFrame:
+        """``lag(value)`` per key."""
+        return self._neighbour(sliced, order, value, out, F.lag, F.max_by)
+
+    def next(self, sliced: DataFrame, order: Sequence[str], value: str, out: str) -> DataFrame:
+        """``lead(value)`` per key."""
+        return self._neighbour(sliced, order, value, out, F.lead, F.min_by)
+
+    def latest(self, sliced: DataFrame, order: Sequence[str], value: str, out: str) -> DataFrame:
+        """Last non-null ``value`` up to and including the row."""
+        w = self._window(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        local = sliced.withColumn(out, F.last(name(value), ignorenulls=True).over(w))
+        if self.points is None:
+            return local
+        where = F.when(name(value).isNotNull(), _position(order))
+        ends = self._per_slice(sliced, F.max_by(name(value), where).alias("__end"))
+        before = self._slices().rowsBetween(Window.unboundedPreceding, -1)
+        carried = self._summary(ends, F.last("__end", ignorenulls=True).over(before).alias("__carried"))
+        joined = _match(local, carried, [*self.keys, SLICE], "left")
+        return joined.withColumn(out, F.coalesce(name(out), F.col("__carried"))).drop("__carried")
+
+    def number(self, sliced: DataFrame, order: Sequence[str], out: str) -> DataFrame:
+        """``row_number()`` per key, from 1 and without gaps."""
+        local = sliced.withColumn(out, F.row_number().over(self._window(order)).cast("long"))
+        if self.points is None:
+            return local
+        sizes = self._per_slice(sliced, F.count(F.lit(1)).alias("__size"))
+        before = self._slices().rowsBetween(Window.unboundedPreceding, -1)
+        offsets = self._summary(sizes, F.sum("__size").over(before).alias("__offset"))
+        joined = _match(local, offsets, [*self.keys, SLICE], "left")
+        return joined.withColumn(out, name(out) + F.coalesce("__offset", F.lit(0))).drop("__offset")
+
+    def _neighbour(self, sliced, order, value, out, step, edge):
+        w = self._window(order)
+        local = sliced.withColumn(out, step(name(value), 1).over(w))
+        if self.points is None:
+            return local
+        local = local.withColumn("__inside", step(F.lit(True), 1, False).over(w))
+        edges = self._per_slice(sliced, edge(name(value), _position(order)).alias("__edge"))
+        reached = self._summary(edges, step(F.col("__edge"), 1).over(self._slices()).alias("__reached"))
+        joined = _match(local, reached, [*self.keys, SLICE], "left")
+        return joined.withColumn(
+            out, F.when(F.col("__inside"), name(out)).otherwise(F.col("__reached"))
+        ).drop("__inside", "__reached")
+
+    def _window(self, order):
+        by = names(self.keys) if self.points is None else [*names(self.keys), F.col(SLICE)]
+        return Window.partitionBy(*by).orderBy(
+            *[name(c).desc() if self.descending else name(c).asc() for c in order]
+        )
 
-def _position_of(order):
+    def _slices(self):
+        return Window.partitionBy(*names(self.keys)).orderBy(SLICE)
+
+    def _per_slice(self, sliced, measure):
+        hot = sliced.where(F.col(SLICE).isNotNull())
+        return hot.groupBy(*names(self.keys), F.col(SLICE)).agg(measure)
+
+    def _summary(self, per_slice, measure):
+        return per_slice.select(*names(self.keys), F.col(SLICE), measure)
+
+
+def _split_points(df, keys, order, hot_rows, hot_share, slices) -> DataFrame | None:
+    """Per hot key some of its order values, sorted; None when no key is hot."""
+    spark = df.sparkSession
+    values = df.select(*names(keys), name(order).alias("__v"))
+    if keys:
+        counts = df.groupBy(*names(keys)).agg(F.count(F.lit(1)).alias("__rows"))
+        total = counts.agg(F.sum("__rows")).scalar()
+        hot = counts.where((F.col("__rows") >= hot_rows) & (F.col("__rows") > total * F.lit(hot_share)))
+        found = hot.collect()  # at most 1 / hot_share rows
+        if not found:
+            return None
+        values = _match(values, F.broadcast(spark.createDataFrame(found, hot.schema)), keys)
+    else:
+        rows = df.count()
+        if rows < hot_rows:
+            return None
+        values = values.withColumn("__rows", F.lit(rows))
+    # A row is drawn with a chance of slices / rows of its key. The draw only decides where
+    # the cuts are; every row stays in.
+    drawn = values.where(F.col("__v").isNotNull() & (F.rand(11) * F.col("__rows") < F.lit(slices)))
+    points = drawn.groupBy(*names(keys)).agg(F.sort_array(F.collect_set("__v")).alias(_POINTS))
+    kind = df.schema[order].dataType
+    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField(_POINTS, T.ArrayType(kind))])
+    return spark.createDataFrame(points.collect(), schema)
+
+
+def _position(order):
     # A struct is never null, so rows with a null order value take part as the smallest.
     return F.struct(*names(order))
 
 
-def _rate(distinct: Column, slices: int) -> Column:
-    return F.greatest(F.lit(1), F.floor(distinct / F.lit(slices))).cast("bigint")
-
-
-def _chosen(value: Column, rate: Column) -> Column:
-    return F.pmod(F.xxhash64(value), rate) == 0
-
-
-def _slice_number(points: Column, value: Column, descending: bool) -> Column:
-    number = F.coalesce(F.size(F.filter(points, lambda p: p <= value)), F.lit(0))
-    return -number if descending else number
-
-
 def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Null-safe join that keeps the key columns of the left side."""
     renamed = right.select(

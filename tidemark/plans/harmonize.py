@@ -197,7 +197,7 @@ def join_view(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFra
 
 def leaves(df: DataFrame, key: str, parent: str) -> DataFrame:
     """Rows of a hierarchy that are no row's parent."""
-    parents = df.select(name(parent).alias(key)).where(name(key).isNotNull()).distinct()
+    parents = df.select(name(parent).alias(key))
     return anti_join(df, parents, [key])
 
 

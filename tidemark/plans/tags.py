@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import case_map, name
-from tidemark.operators.joins import anti_join
+from tidemark.operators.joins import anti_join, inner_join_keys
 
 TABLE = ("catalog_name", "schema_name", "table_name")
 
@@ -150,5 +150,5 @@ def model_table_match(
     known = models.select(
         F.col("schema").alias("table_schema"), F.col("name").alias("table_name"), materialized.alias("table_type")
     )
-    modelled = tables.join(known.select("table_schema").distinct(), ["table_schema"], "left_semi")
+    modelled = inner_join_keys(tables, known, ["table_schema"])
     return anti_join(modelled, known, ["table_schema", "table_name", "table_type"])

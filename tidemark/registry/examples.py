@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.keys import name
+from tidemark.functions.keys import key_number, name
 from tidemark.operators.merge import identity_key
 from tidemark.plans import sales
 from tidemark.registry.base import query, table
@@ -175,9 +175,8 @@ def load_more(spark, d):
     rows = identity_key(numbered(spark, d, "orders", "o_orderkey"), "i", ["n"]).select((F.col("i") - 1).alias("n"))
     write_df(sales.gen_customers(rows, YEAR + 1, first), target, "append")
     known = read_df(spark, target)
-    last = sales.max_business_key(known, "customer_nr")
-    return last.select(F.col("max_business_key").alias("last_number")).crossJoin(
-        known.agg(F.countDistinct("customer_nr").alias("customers"))
+    return known.agg(
+        F.max(key_number("customer_nr")).alias("last_number"), F.countDistinct("customer_nr").alias("customers")
     )
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.keys import row_checksum, with_surrogate_key
 from tidemark.operators import changes, history, merge
-from tidemark.operators.ordered import drop_slices, next_value, slice_hot_keys
+from tidemark.operators.ordered import KeyedOrder
 from tidemark.plans import harmonize
 from tidemark.plans.harmonize import Feed
 from tidemark.plans.quality import test_valid_range
@@ -113,8 +113,8 @@ def lag_checksum(spark, d):
 )
 def lead_next_change(spark, d):
     kept = states(spark, d).where("event_type <> 'view'").select("user_id", "ts")
-    sliced = slice_hot_keys(kept, ["user_id"], "ts", hot_rows=5)
-    return drop_slices(next_value(sliced, ["user_id"], ["ts"], "ts", "next_change_at"))
+    time = KeyedOrder(kept, ["user_id"], "ts", hot_rows=5)
+    return time.plain(time.next(time.sliced(kept), ["ts"], "ts", "next_change_at"))
 
 
 @query(

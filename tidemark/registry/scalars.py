@@ -63,7 +63,7 @@ def scalar_dates(spark, d):
         split_part(c_name, '#', 1) as first_part, c_name || '_' || c_nationkey as joined,
         instr(c_name, '#') as hash_at, substr(c_name, instr(c_name, '#') - 4, 7) as around,
         coalesce(nullif(c_mktsegment, 'BUILDING'), 'none') as or_none,
-        case when c_acctbal < 0 then 'debit' else 'credit' end as side, cast(c_acctbal as bigint) as whole,
+        case when c_acctbal < 0 then 'debit' else 'credit' end as side, cast(floor(c_acctbal) as bigint) as whole,
         md5(md5(c_name) || c_custkey) as detail_key from customer""",
 )
 def scalar_text(spark, d):
@@ -76,7 +76,7 @@ def scalar_text(spark, d):
         F.locate("#", named).alias("hash_at"), F.substring(named, F.locate("#", named) - 4, F.lit(7)).alias("around"),
         F.coalesce(F.nullif("c_mktsegment", F.lit("BUILDING")), F.lit("none")).alias("or_none"),
         F.when(F.col("c_acctbal") < 0, "debit").otherwise("credit").alias("side"),
-        F.round("c_acctbal").cast("bigint").alias("whole"), detail_hash_key(F.md5(named), F.col("c_custkey")).alias("detail_key"),
+        F.floor("c_acctbal").alias("whole"), detail_hash_key(F.md5(named), F.col("c_custkey")).alias("detail_key"),
     )
 
 

@@ -332,7 +332,7 @@ def delete_where(spark, d):
 )
 def identity_key(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
-    return merge.identity_key(orders, "id", ["o_orderdate", "o_orderkey"])
+    return merge.identity_key(orders, "id", ["o_orderdate", "o_orderkey"], hot_rows=100)
 
 
 @query(

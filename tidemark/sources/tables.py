@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.joins import insert_select_where_new
+from tidemark.operators.joins import anti_join, insert_select_where_new
 
 
 @dataclass(frozen=True)
@@ -32,7 +32,7 @@ def scan_table(spark: SparkSession, table: str | Dataset, directory: str | None
 
 
 def scan_json_landing(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None
+    spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None
 ) -> DataFrame:
     """JSON files of a folder with the path of the file each row came from.
 
@@ -48,11 +48,21 @@ def scan_json_new_files(
     loaded: DataFrame | None,
     schema: T.StructType | str | None = None,
 ) -> DataFrame:
-    """Landing rows of files that ``loaded`` has no row of."""
-    rows = scan_json_landing(spark, path, schema)
+    """Landing rows of files that ``loaded`` has no row of.
+
+    Files are listed and compared first, so files loaded before are not opened again.
+    """
     if loaded is None:
-        return rows
-    return rows.join(loaded.select("file_path").distinct(), ["file_path"], "left_anti").select(*rows.columns)
+        return scan_json_landing(spark, path, schema)
+    listing = (
+        spark.read.format("binaryFile").load(path)
+        .select("path", F.col("_metadata.file_path").alias("file_path"))
+    )
+    # Paths of the new files; the driver lists files anyway to plan a read.
+    new = [r["path"] for r in anti_join(listing, loaded, ["file_path"]).select("path").collect()]
+    if not new:
+        return scan_json_landing(spark, path, schema).where(F.lit(False))
+    return scan_json_landing(spark, new, schema)
 
 
 def scan_csv_seed(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
