@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import name, names, row_checksum
-from tidemark.operators.ordered import HOT_ROWS, KeyedOrder
+from tidemark.operators.ordered import KeyedOrder
+from tidemark.operators.skew import HOT_ROWS
 
 # Fixed value: end of validity of a current row.
 OPEN_END = "9999-12-31"

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import name, names
-
-_RIGHT = "__right_{}"
+from tidemark.operators import skew
+from tidemark.operators.skew import HOT_ROWS
 
 
 def key_join(
@@ -22,33 +22,26 @@ def key_join(
 ) -> DataFrame:
     """Equi-join on same-named keys that keeps one copy of each key column.
 
-    ``null_safe`` lets a null key part match a null key part. Spark plans ``<=>`` as a
-    hash or sort-merge join like ``=``.
+    ``null_safe`` lets a null key part match a null key part.
     """
-    if not null_safe:
-        return left.join(right, list(keys), how)
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"null-safe {how} join is not supported")
-    renamed = right.select(
-        *[name(k).alias(_RIGHT.format(k)) for k in keys],
-        *[name(c) for c in right.columns if c not in set(keys)],
-    )
-    condition = reduce(
-        Column.__and__, [name(k).eqNullSafe(name(_RIGHT.format(k))) for k in keys]
-    )
-    joined = left.join(renamed, condition, how)
-    if how in ("left_semi", "left_anti"):
-        return joined
-    return joined.drop(*[_RIGHT.format(k) for k in keys])
+    return skew.match(left, right, keys, how) if null_safe else left.join(right, list(keys), how)
 
 
-def inner_join_keys(df: DataFrame, affected: DataFrame, keys: Sequence[str]) -> DataFrame:
+def inner_join_keys(
+    df: DataFrame, affected: DataFrame, keys: Sequence[str], hot: DataFrame | None = None
+) -> DataFrame:
     """Rows whose key is among ``affected``; never multiplies rows of ``df``.
 
-    Keys are made distinct first: repeats are dropped in the map tasks, and the shuffle
-    that does it is the one the join needs anyway.
+    Adaptive execution splits a skewed ``df`` as long as nothing after this join counts on
+    its partitioning. Where a join on the same keys follows, pass the ``hot`` keys of
+    ``df``: their rows are then picked without a shuffle.
     """
-    return key_join(df, affected.select(*names(keys)).distinct(), keys, "left_semi")
+    if hot is None:
+        return key_join(df, skew.distinct_keys(affected, keys), keys, "left_semi")
+    ordinary = key_join(skew.rows_besides(df, hot, keys), affected.select(*names(keys)).distinct(), keys, "left_semi")
+    # At most one row per hot key.
+    listed = F.broadcast(skew.rows_of(affected.select(*names(keys)), hot, keys).distinct())
+    return ordinary.unionByName(key_join(skew.rows_of(df, hot, keys), listed, keys, "left_semi"))
 
 
 semi_join_in = inner_join_keys
@@ -65,8 +58,8 @@ def anti_join(
 
     ``distinct=False`` skips dropping repeated keys of an ``other`` known to have none.
     """
-    excluded = other.select(*names(keys))
-    return key_join(df, excluded.distinct() if distinct else excluded, keys, "left_anti", null_safe)
+    excluded = skew.distinct_keys(other, keys) if distinct else other.select(*names(keys))
+    return key_join(df, excluded, keys, "left_anti", null_safe)
 
 
 not_exists = anti_join
@@ -85,7 +78,7 @@ def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str | Non
     )
     has_null = facts.select(F.col("nulls") > 0).scalar()
     is_empty = facts.select(F.col("n") == 0).scalar()
-    kept = df.join(values.distinct(), [column], "left_anti")
+    kept = anti_join(df, values, [column])
     return kept.where(is_empty | (~has_null & name(column).isNotNull()))
 
 
@@ -94,16 +87,31 @@ def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFra
     return left.join(right, list(keys), "left")
 
 
-def left_join_many(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def left_join_many(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    hot_rows: int | None = HOT_ROWS,
+    hot: DataFrame | None = None,
+) -> DataFrame:
     """Left join to a ``right`` in which one key may hold a large share of the rows.
 
-    Adaptive execution can split a skewed right side of an inner join but not of a left
-    join. So the matches are found by an inner join, and the left rows without a match are
-    added from an anti-join on the distinct right keys, which carry no skew.
+    Adaptive execution cannot split a skewed right side of a left join. So hot keys are
+    looked for first (or passed as ``hot``). Without any this is the plain join. With some,
+    the few left rows of those keys are broadcast to where the right rows are; as a hot key
+    has right rows for sure, an inner join is enough there.
     """
-    matched = left.join(right, list(keys), "inner")
-    unmatched = left.join(right.select(*names(keys)).distinct(), list(keys), "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    if hot is None:
+        hot = skew.hot_keys(right, keys, hot_rows)
+    if hot is None:
+        return left_join(left, right, keys)
+    known = hot.dropna(subset=list(keys))  # a null key matches nothing
+    few = skew.rows_of(left, known, keys)
+    if not skew.is_small(few):
+        return left_join(left, right, keys)
+    ordinary = left_join(skew.rows_besides(left, known, keys), skew.rows_besides(right, known, keys), keys)
+    heavy = skew.rows_of(right, known, keys).join(F.broadcast(few), list(keys), "inner")
+    return ordinary.unionByName(heavy.select(*ordinary.columns))
 
 
 def left_join_chain(base: DataFrame, *sides: tuple[DataFrame, Sequence[str]]) -> DataFrame:

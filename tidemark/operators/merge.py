@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.keys import name, names
 from tidemark.operators.history import dedup_latest
 from tidemark.operators.joins import anti_join
-from tidemark.operators.ordered import HOT_ROWS, KeyedOrder
+from tidemark.operators.ordered import KeyedOrder
+from tidemark.operators.skew import HOT_ROWS
 
 DUPLICATE_KEY = "upsert source has more than one row for a key"
 

@@ -10,18 +10,14 @@ neighbours comes from one summary row per slice.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.keys import name, names
+from tidemark.operators.skew import HOT_ROWS, ROWS, hot_keys, match
 
-# A key is hot when it holds at least HOT_ROWS rows and more than HOT_SHARE of all rows;
-# hence there are never more than 1 / HOT_SHARE hot keys.
-HOT_ROWS = 1_000_000
-HOT_SHARE = 0.001
 # Slices a hot key is cut into, about.
 SLICES = 200
 
@@ -49,7 +45,7 @@ class KeyedOrder:
         self.keys, self.order, self.descending = list(keys), order, descending
         self.points = (
             None if hot_rows is None
-            else _split_points(df, self.keys, order, hot_rows, HOT_SHARE if hot_share is None else hot_share, slices)
+            else _split_points(df, self.keys, order, hot_rows, hot_share, slices)
         )
 
     def sliced(self, df: DataFrame) -> DataFrame:
@@ -59,7 +55,7 @@ class KeyedOrder:
             return df
         if self.keys:
             # At most 1 / HOT_SHARE rows of about SLICES values each.
-            joined = _match(df, F.broadcast(self.points), self.keys, "left")
+            joined = match(df, F.broadcast(self.points), self.keys, "left")
         else:
             joined = df.withColumn(_POINTS, self.points.scalar())
         below = F.size(F.filter(F.col(_POINTS), lambda p: p <= name(self.order)))
@@ -87,7 +83,7 @@ class KeyedOrder:
         ends = self._per_slice(sliced, F.max_by(name(value), where).alias("__end"))
         before = self._slices().rowsBetween(Window.unboundedPreceding, -1)
         carried = self._summary(ends, F.last("__end", ignorenulls=True).over(before).alias("__carried"))
-        joined = _match(local, carried, [*self.keys, SLICE], "left")
+        joined = match(local, carried, [*self.keys, SLICE], "left")
         return joined.withColumn(out, F.coalesce(name(out), F.col("__carried"))).drop("__carried")
 
     def number(self, sliced: DataFrame, order: Sequence[str], out: str) -> DataFrame:
@@ -98,7 +94,7 @@ class KeyedOrder:
         sizes = self._per_slice(sliced, F.count(F.lit(1)).alias("__size"))
         before = self._slices().rowsBetween(Window.unboundedPreceding, -1)
         offsets = self._summary(sizes, F.sum("__size").over(before).alias("__offset"))
-        joined = _match(local, offsets, [*self.keys, SLICE], "left")
+        joined = match(local, offsets, [*self.keys, SLICE], "left")
         return joined.withColumn(out, name(out) + F.coalesce("__offset", F.lit(0))).drop("__offset")
 
     def _neighbour(self, sliced, order, value, out, step, edge):
@@ -109,7 +105,7 @@ class KeyedOrder:
         local = local.withColumn("__inside", step(F.lit(True), 1, False).over(w))
         edges = self._per_slice(sliced, edge(name(value), _position(order)).alias("__edge"))
         reached = self._summary(edges, step(F.col("__edge"), 1).over(self._slices()).alias("__reached"))
-        joined = _match(local, reached, [*self.keys, SLICE], "left")
+        joined = match(local, reached, [*self.keys, SLICE], "left")
         return joined.withColumn(
             out, F.when(F.col("__inside"), name(out)).otherwise(F.col("__reached"))
         ).drop("__inside", "__reached")
@@ -136,21 +132,18 @@ def _split_points(df, keys, order, hot_rows, hot_share, slices) -> DataFrame | N
     spark = df.sparkSession
     values = df.select(*names(keys), name(order).alias("__v"))
     if keys:
-        counts = df.groupBy(*names(keys)).agg(F.count(F.lit(1)).alias("__rows"))
-        total = counts.agg(F.sum("__rows")).scalar()
-        hot = counts.where((F.col("__rows") >= hot_rows) & (F.col("__rows") > total * F.lit(hot_share)))
-        found = hot.collect()  # at most 1 / hot_share rows
-        if not found:
+        hot = hot_keys(df, keys, hot_rows, hot_share)
+        if hot is None:
             return None
-        values = _match(values, F.broadcast(spark.createDataFrame(found, hot.schema)), keys)
+        values = match(values, F.broadcast(hot), keys)
     else:
         rows = df.count()
         if rows < hot_rows:
             return None
-        values = values.withColumn("__rows", F.lit(rows))
+        values = values.withColumn(ROWS, F.lit(rows))
     # A row is drawn with a chance of slices / rows of its key. The draw only decides where
     # the cuts are; every row stays in.
-    drawn = values.where(F.col("__v").isNotNull() & (F.rand(11) * F.col("__rows") < F.lit(slices)))
+    drawn = values.where(F.col("__v").isNotNull() & (F.rand(11) * F.col(ROWS) < F.lit(slices)))
     points = drawn.groupBy(*names(keys)).agg(F.sort_array(F.collect_set("__v")).alias(_POINTS))
     kind = df.schema[order].dataType
     schema = T.StructType([df.schema[k] for k in keys] + [T.StructField(_POINTS, T.ArrayType(kind))])
@@ -161,14 +154,3 @@ def _position(order):
     # A struct is never null, so rows with a null order value take part as the smallest.
     return F.struct(*names(order))
 
-
-def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Null-safe join that keeps the key columns of the left side."""
-    renamed = right.select(
-        *[name(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-        *[name(c) for c in right.columns if c not in set(keys)],
-    )
-    condition = reduce(
-        Column.__and__, [name(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
-    )
-    return left.join(renamed, condition, how).drop(*[f"__k{i}" for i in range(len(keys))])

@@ -14,6 +14,7 @@ from tidemark.operators.changes import high_water_mark
 from tidemark.operators.history import dedup_latest
 from tidemark.operators.joins import anti_join, inner_join_keys, left_join_many
 from tidemark.operators.merge import delete_flagged, delete_opflag, document_replace, upsert
+from tidemark.operators.skew import HOT_ROWS, hot_keys
 from tidemark.operators.shape import (
     add_source_id,
     rename_project,
@@ -53,6 +54,7 @@ def affected_key_join(
     sides: Sequence[tuple[DataFrame, Sequence[str]]],
     keys: Sequence[str],
     changed: Sequence[DataFrame],
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Rows of ``base`` with changes on either side, left-joined to the full sides.
 
@@ -63,7 +65,12 @@ def affected_key_join(
     affected = union_distinct(*[c.select(*names(keys)) for c in changed])
     result = inner_join_keys(base, affected, keys)
     for side, on in sides:
-        result = left_join_many(result, inner_join_keys(side, affected, keys), on)
+        hot = hot_keys(side, keys, hot_rows)
+        cut = inner_join_keys(side, affected, keys, hot)
+        if list(on) == list(keys):
+            result = left_join_many(result, cut, on, hot_rows=None, hot=hot)
+        else:
+            result = left_join_many(result, cut, on, hot_rows)
     return result
 
 

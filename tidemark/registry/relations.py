@@ -127,6 +127,34 @@ def master_left_join(spark, d):
     return joins.left_join_many(table(spark, d, "customer").select("c_custkey", "c_name"), orders, ["c_custkey"])
 
 
+@query(
+    "left_join_hot_keys",
+    """select n_nationkey, n_name, c_custkey, c_acctbal from nation
+    left join (select * from customer where c_mktsegment <> 'BUILDING') on n_nationkey = c_nationkey""",
+)
+def left_join_hot_keys(spark, d):
+    """The right side holds so many rows per nation that each nation counts as hot."""
+    customers = table(spark, d, "customer").where("c_mktsegment <> 'BUILDING'").select(
+        F.col("c_nationkey").alias("n_nationkey"), "c_custkey", "c_acctbal"
+    )
+    return joins.left_join_many(table(spark, d, "nation").select("n_nationkey", "n_name"), customers, ["n_nationkey"], hot_rows=6)
+
+
+@query(
+    "affected_key_join_hot_keys",
+    """select n_nationkey, n_name, c_custkey, c_acctbal from nation left join customer on n_nationkey = c_nationkey
+    where n_nationkey in (select c_nationkey from customer where c_acctbal > 9000 union select s_nationkey from supplier)""",
+)
+def affected_key_join_hot_keys(spark, d):
+    nation = table(spark, d, "nation").select("n_nationkey", "n_name")
+    customers = table(spark, d, "customer").select(F.col("c_nationkey").alias("n_nationkey"), "c_custkey", "c_acctbal")
+    suppliers = table(spark, d, "supplier").select(F.col("s_nationkey").alias("n_nationkey"))
+    return harmonize.affected_key_join(
+        nation, [(customers, ["n_nationkey"])], ["n_nationkey"],
+        [customers.where("c_acctbal > 9000"), suppliers], hot_rows=6,
+    )
+
+
 @query(
     "three_way_left_join",
     """select n_nationkey, n_name, r_name, s_suppkey, s_name from nation
