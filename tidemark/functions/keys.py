@@ -27,6 +27,12 @@ def names(columns: Sequence[str]) -> list[Column]:
     return [name(c) for c in columns]
 
 
+def besides(columns: Sequence[str], keys: Sequence[str]) -> list[str]:
+    """``columns`` without ``keys``; like Spark's own resolution, letter case does not count."""
+    dropped = {k.lower() for k in keys}
+    return [c for c in columns if c.lower() not in dropped]
+
+
 def surrogate_key(columns: Sequence[str | Column]) -> Column:
     """md5 over the string forms of ``columns``; null has its own token, so null <> ''."""
     parts = [

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.keys import name, names, row_checksum
+from tidemark.functions.keys import besides, name, names, row_checksum
 from tidemark.operators.history import dedup_latest
 from tidemark.operators.joins import key_join
 
@@ -45,7 +45,7 @@ def change_feed(
     out as a pre-image and a post-image row.
     """
     columns = current.columns
-    compared = [c for c in columns if c not in set(keys)]
+    compared = besides(columns, keys)
 
     def side(df: DataFrame, label: str) -> DataFrame:
         return df.select(

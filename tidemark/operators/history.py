@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.keys import name, names, row_checksum
+from tidemark.functions.keys import besides, name, names, row_checksum
 from tidemark.operators.ordered import KeyedOrder
 from tidemark.operators.skew import HOT_ROWS
 
 # Fixed value: end of validity of a current row.
 OPEN_END = "9999-12-31"
+HISTORY_COLUMNS = ("valid_from", "valid_to", "is_current")
 
 
 def descending(columns: Sequence[str]) -> list[Column]:
@@ -32,11 +33,8 @@ def dedup_latest(
     before the shuffle; a hot key thus sends one row per task.
     """
     if tie_break is None:
-        used = {*keys, *order_by}
-        tie_break = [
-            f.name for f in df.schema.fields
-            if f.name not in used and f.dataType.typeName() not in ("map", "variant")
-        ]
+        sortable = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+        tie_break = besides(sortable, [*keys, *order_by])
     w = Window.partitionBy(*names(keys)).orderBy(*descending([*order_by, *tie_break]))
     return (
         df.withColumn("__rank", F.row_number().over(w))
@@ -91,8 +89,7 @@ def scd2_history(
     ``is_current``. ``first_valid_from`` replaces the start of the first version of a key.
     Zone-less timestamps stay zone-less.
     """
-    skipped = {valid_from_column, *exclude_from_check}
-    checked = [c for c in df.columns if c not in skipped]
+    checked = besides(df.columns, [valid_from_column, *exclude_from_check])
     order = [valid_from_column, "__checksum"]
 
     marked = df.withColumn("__checksum", row_checksum(checked, null_token, escape))
@@ -112,8 +109,7 @@ def scd2_history(
         ended.withColumn("valid_from", start)
         .withColumn("valid_to", F.coalesce(end, F.lit(OPEN_END).cast(moment)))
         .withColumn("is_current", F.col("__next").isNull())
-        .select(*[name(c) for c in df.columns if c not in ("valid_from", "valid_to", "is_current")],
-                "valid_from", "valid_to", "is_current")
+        .select(*names(besides(df.columns, HISTORY_COLUMNS)), *HISTORY_COLUMNS)
     )
 
 
@@ -153,7 +149,7 @@ def range_join_validity(
     forward. That costs one sort and no comparison of all facts with all versions of a
     key, however many of either there are.
     """
-    carried = [c for c in versions.columns if c not in set(keys)]
+    carried = besides(versions.columns, keys)
     left = facts.where(name(at).isNotNull()).select(
         *names(keys),
         name(at).alias("__at"),

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.keys import name, names
+from tidemark.functions.keys import besides, name, names
 from tidemark.operators.history import dedup_latest
 from tidemark.operators.joins import anti_join
 from tidemark.operators.ordered import KeyedOrder
@@ -28,7 +28,7 @@ def reject_duplicate_keys(source: DataFrame, keys: Sequence[str], null_safe: boo
     if not null_safe:
         has_null = reduce(Column.__or__, [name(k).isNull() for k in keys])
         checked, loose = source.where(~has_null), source.where(has_null)
-    rest = [c for c in source.columns if c not in set(keys)]
+    rest = besides(source.columns, keys)
     grouped = checked.groupBy(*names(keys)).agg(
         F.count(F.lit(1)).alias("__n"),
         F.any_value(F.struct(F.lit(1).alias("__one"), *names(rest))).alias("__row"),
@@ -36,9 +36,8 @@ def reject_duplicate_keys(source: DataFrame, keys: Sequence[str], null_safe: boo
     guarded = grouped.where(
         F.when(F.col("__n") == 1, F.lit(True)).otherwise(F.raise_error(F.lit(DUPLICATE_KEY)).cast("boolean"))
     )
-    unique = guarded.select(
-        *names(keys), *[F.col(f"__row.`{c}`").alias(c) for c in rest]
-    ).select(*names(source.columns))
+    value = {k.lower(): name(k) for k in keys} | {c.lower(): F.col(f"__row.`{c}`") for c in rest}
+    unique = guarded.select(*[value[c.lower()].alias(c) for c in source.columns])
     return unique if loose is None else unique.unionByName(loose)
 
 

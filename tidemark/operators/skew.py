@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.keys import name, names
+from tidemark.functions.keys import besides, name, names
 
 # A key is hot when it holds at least HOT_ROWS rows and more than HOT_SHARE of all rows;
 # hence there are never more than 1 / HOT_SHARE hot keys, and a list of them can be sent
@@ -28,7 +28,7 @@ def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "in
     """
     renamed = right.select(
         *[name(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-        *[name(c) for c in right.columns if c not in set(keys)],
+        *names(besides(right.columns, keys)),
     )
     condition = reduce(
         Column.__and__, [name(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
