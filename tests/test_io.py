@@ -63,17 +63,17 @@ def test_snapshot_table(spark):
     assert table.version() == -1
     table.merge(spark.createDataFrame([(i, "a") for i in range(20)], schema))
     before = table.read()
-    assert table.merge(spark.createDataFrame([(3, "b"), (99, "n")], schema), version=5) == 5
+    assert table.merge(spark.createDataFrame([(3, "b"), (99, "n")], schema), "load 5") == 1
     files = table.read().inputFiles()
     assert rows(before) == rows(spark.createDataFrame([(i, "a") for i in range(20)], schema))  # readers keep theirs
     expected = [(i, "b" if i == 3 else "a") for i in range(20)] + [(99, "n")]
     assert rows(table.read()) == rows(spark.createDataFrame(expected, schema))
-    # The same version again changes nothing, whatever comes with it.
-    table.merge(spark.createDataFrame([(3, "zzz")], schema), version=5)
+    # The same token again changes nothing, whatever comes with it.
+    assert table.merge(spark.createDataFrame([(3, "zzz")], schema), "load 5") == 1
     assert table.read().inputFiles() == files
     # Untouched buckets stay where they are.
-    assert 0 < sum("__version=5" in f for f in files) < len(files)
-    assert [r["version"] for r in table.history().orderBy("version").collect()] == [0, 5]
+    assert 0 < sum("/data/1-" in f for f in files) < len(files)
+    assert [r["version"] for r in table.history().orderBy("version").collect()] == [0, 1]
 
 
 def test_snapshot_table_purges_and_empties(spark):
@@ -95,13 +95,16 @@ def test_snapshot_merge_failing_before_commit_is_invisible(spark, monkeypatch):
     table = SnapshotTable(spark, shared_dir(spark, "snap"), ["id"], buckets=2)
     schema = "id int, v string"
     table.merge(spark.createDataFrame([(1, "a"), (2, "b")], schema))
-    record = table._record
-    monkeypatch.setattr(table, "_record", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
-    with pytest.raises(RuntimeError):
-        table.merge(spark.createDataFrame([(1, "A")], schema), version=7)
+    from tidemark.sources import snapshots
+
+    committed = table._committed()
+    monkeypatch.setattr(table, "_committed", lambda token=None: committed)
+    monkeypatch.setattr(snapshots, "COMMIT_SCHEMA", "no schema at all")
+    with pytest.raises(Exception):
+        table.merge(spark.createDataFrame([(1, "A"), (2, "B"), (5, "x")], schema), "t")
+    monkeypatch.undo()
     assert rows(table.read()) == [(1, "a"), (2, "b")]
-    monkeypatch.setattr(table, "_record", record)
-    table.merge(spark.createDataFrame([(1, "A")], schema), version=7)
+    table.merge(spark.createDataFrame([(1, "A")], schema), "t")
     assert rows(table.read()) == [(1, "A"), (2, "b")]
 
 

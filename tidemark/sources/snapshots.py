@@ -1,111 +1,121 @@
 """Parquet tables that are merged into without touching what readers see.
 
 Rows live in hash buckets of their key. A merge reads the buckets the increment touches,
-writes those as a new version next to the old ones, and then adds one row per bucket to a
+writes those into a new folder next to the old ones, and then adds one row per bucket to a
 small commit table. Readers follow the commit table, so a merge shows up whole or not at
 all, and a job that is lost before the commit leaves nothing behind that is read.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.keys import key_bucket
 from tidemark.operators import merge as merges
 
 BUCKET = "__bucket"
-VERSION = "__version"
-COMMIT_SCHEMA = "version long, bucket int, rows_kept boolean, operation string, operationParameters string"
+COMMIT_SCHEMA = "version long, bucket int, folder string, operation string, operationParameters string"
 STATE_SCHEMA = "source string, last_version long"
+ALL_BUCKETS = -1
+
+
+@dataclass(frozen=True)
+class _Committed:
+    """What the commit table says: latest version, its schema, bucket -> folder to read."""
+
+    version: int
+    schema: T.StructType | None
+    live: dict[int, str]
+    done: bool
 
 
 class SnapshotTable:
-    """A keyed table in ``buckets`` hash buckets below ``root``."""
+    """A keyed table in ``buckets`` hash buckets below ``root``.
+
+    Choose ``buckets`` so that one bucket is what a few tasks write in a minute; a merge
+    rewrites whole buckets. One writer at a time.
+    """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int = 64):
         self.spark, self.root, self.keys, self.buckets = spark, root.rstrip("/"), list(keys), buckets
 
     def history(self) -> DataFrame:
         """Commits so far, one row per version."""
-        return (
-            self._commits()
-            .groupBy("version", "operation", "operationParameters")
-            .agg(F.count_if(F.col("bucket") >= 0).alias("buckets"))
+        return self._commits().where(F.col("bucket") == ALL_BUCKETS).select(
+            "version", "operation", "operationParameters"
         )
 
     def version(self) -> int:
         """Latest committed version, -1 before the first."""
-        return self._commits().agg(F.coalesce(F.max("version"), F.lit(-1))).first()[0]
+        return self._committed().version
 
     def exists(self) -> bool:
         return self.version() >= 0
 
     def read(self) -> DataFrame:
-        return self._read(self._live())
+        committed = self._committed()
+        if committed.schema is None:
+            raise FileNotFoundError(f"nothing was committed to {self.root} yet")
+        return self._read(committed.schema, committed.live)
 
-    def overwrite(self, df: DataFrame, version: int | None = None) -> int:
+    def overwrite(self, df: DataFrame, token: str | None = None) -> int:
         """Replace all rows."""
-        return self._commit(df, list(range(self.buckets)), version, "CREATE OR REPLACE TABLE AS SELECT")
+        committed = self._committed(token)
+        if committed.done:
+            return committed.version
+        return self._commit(committed, df, range(self.buckets), token, "CREATE OR REPLACE TABLE AS SELECT")
 
     def merge(
         self,
         source: DataFrame,
-        version: int | None = None,
+        token: str | None = None,
         apply: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
         purge: str | None = None,
     ) -> int:
         """Upsert ``source``; only buckets that hold one of its keys are read and written.
 
-        ``apply(target, source)`` replaces the default upsert, ``purge`` names a delete
-        column whose rows are removed afterwards. A version that is committed already is
-        not merged again, so a repeated call changes nothing.
+        ``apply(target, source)`` replaces the default upsert; it must leave other keys
+        alone. ``purge`` names a delete column whose rows are removed afterwards. A
+        ``token`` that was committed before is not merged again, so a repeated call with
+        the same one changes nothing. Returns the version the table is at.
         """
-        if version is not None and self._is_committed(version):
-            return version
-        if not self.exists():
+        committed = self._committed(token)
+        if committed.done:
+            return committed.version
+        if committed.schema is None:
             rows = merges.reject_duplicate_keys(source, self.keys)
-            return self.overwrite(merges.delete_flagged(rows, purge) if purge else rows, version)
-        bucketed = source.select(key_bucket(self.keys, self.buckets).alias(BUCKET))
+            rows = merges.delete_flagged(rows, purge) if purge else rows
+            return self._commit(committed, rows, range(self.buckets), token, "CREATE TABLE AS SELECT")
         # At most ``buckets`` numbers reach the driver.
-        touched = sorted(r[0] for r in bucketed.distinct().collect())
-        if not touched:
-            return self._record(version, {-1: False}, "MERGE")
-        live = {b: v for b, v in self._live().items() if b in set(touched)}
-        target = self._read(live) if live else self.read().where(F.lit(False))
-        change = apply or (lambda t, s: merges.upsert(t, s, self.keys))
-        merged = change(target, source)
+        touched = [r[0] for r in source.select(key_bucket(self.keys, self.buckets)).distinct().collect()]
+        live = {b: folder for b, folder in committed.live.items() if b in set(touched)}
+        target = self._read(committed.schema, live)
+        merged = apply(target, source) if apply else merges.upsert(target, source, self.keys)
         if purge:
             merged = merges.delete_flagged(merged, purge)
-        return self._commit(merged, touched, version, "MERGE")
-
-    def _commit(self, df: DataFrame, touched: list[int], version: int | None, operation: str) -> int:
-        version = self.version() + 1 if version is None else version
-        rows = df.withColumn(BUCKET, key_bucket(self.keys, self.buckets)).withColumn(VERSION, F.lit(version))
-        (
-            rows.hint("rebalance", BUCKET)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BUCKET, VERSION)
-            .parquet(f"{self.root}/data")
-        )
-        written = {
-            r[0]
-            for r in self.spark.read.parquet(f"{self.root}/data")
-            .where(F.col(VERSION) == version)
-            .select(BUCKET).distinct().collect()
-        }
-        return self._record(version, {b: b in written for b in touched}, operation, df)
-
-    def _record(self, version, buckets, operation, df: DataFrame | None = None) -> int:
-        version = self.version() + 1 if version is None else version
-        if df is not None and not self.exists():
-            # An empty file keeps the schema for tables whose buckets are all empty.
-            df.where(F.lit(False)).write.mode("overwrite").parquet(f"{self.root}/schema")
-        commits = [(version, b, kept, operation, "{}") for b, kept in buckets.items()]
+        return self._commit(committed, merged, touched, token, "MERGE")
+
+    def _commit(self, committed, df, touched, token, operation) -> int:
+        version, touched = committed.version + 1, list(touched)
+        # A folder of its own for every attempt: leftovers of a lost one are never read.
+        folder = f"{version}-{uuid.uuid4().hex[:12]}"
+        written: set[int] = set()
+        if touched:
+            rows = df.withColumn(BUCKET, key_bucket(self.keys, self.buckets))
+            rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{self.root}/data/{folder}")
+            stored = self.spark.read.schema(rows.schema).parquet(f"{self.root}/data/{folder}")
+            written = {r[0] for r in stored.select(BUCKET).distinct().collect()}
+        parameters = json.dumps({"token": token, "schema": df.schema.jsonValue()})
+        commits = [(version, ALL_BUCKETS, folder, operation, parameters)]
+        commits += [(version, b, folder if b in written else None, None, None) for b in touched]
         (
             self.spark.createDataFrame(commits, COMMIT_SCHEMA)
             .coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
@@ -115,24 +125,28 @@ class SnapshotTable:
     def _commits(self) -> DataFrame:
         return _read_or_empty(self.spark, f"{self.root}/commits", COMMIT_SCHEMA)
 
-    def _is_committed(self, version: int) -> bool:
-        return not self._commits().where(F.col("version") == version).isEmpty()
-
-    def _live(self) -> dict[int, int]:
-        """Bucket -> version to read; one row per bucket reaches the driver."""
-        latest = (
-            self._commits().where("bucket >= 0")
-            .groupBy("bucket")
-            .agg(F.max("version").alias("version"), F.max_by("rows_kept", "version").alias("kept"))
+    def _committed(self, token: str | None = None) -> _Committed:
+        same_token = F.get_json_object("operationParameters", "$.token") == F.lit(token)
+        latest = self._commits().groupBy("bucket").agg(
+            F.max("version").alias("version"),
+            F.max_by("folder", "version").alias("folder"),
+            F.max_by("operationParameters", "version").alias("parameters"),
+            F.coalesce(F.bool_or(same_token), F.lit(False)).alias("done"),
         )
-        return {r["bucket"]: r["version"] for r in latest.collect() if r["kept"]}
-
-    def _read(self, live: dict[int, int]) -> DataFrame:
+        rows = {r["bucket"]: r for r in latest.collect()}  # one row per bucket
+        head = rows.pop(ALL_BUCKETS, None)
+        if head is None:
+            return _Committed(-1, None, {}, False)
+        schema = T.StructType.fromJson(json.loads(head["parameters"])["schema"])
+        live = {b: r["folder"] for b, r in rows.items() if r["folder"]}
+        return _Committed(head["version"], schema, live, head["done"])
+
+    def _read(self, schema: T.StructType, live: dict[int, str]) -> DataFrame:
         if not live:
-            return self.spark.read.parquet(f"{self.root}/schema")
-        paths = [f"{self.root}/data/{BUCKET}={b}/{VERSION}={v}" for b, v in sorted(live.items())]
-        reader = self.spark.read.option("basePath", f"{self.root}/data").option("mergeSchema", "true")
-        return reader.parquet(*paths).drop(BUCKET, VERSION)
+            return self.spark.createDataFrame([], schema)
+        paths = [f"{self.root}/data/{folder}/{BUCKET}={b}" for b, folder in sorted(live.items())]
+        # The schema is known, so no file has to be opened to find it.
+        return self.spark.read.schema(schema).parquet(*paths)
 
 
 def save_load_version(spark: SparkSession, path: str, source: str, version: int | None) -> None:

@@ -53,14 +53,16 @@ def stream_upsert(
 ) -> StreamingQuery:
     """Merge the latest row per key of each micro-batch into a table.
 
-    The batch number is the version of the merge, so a batch that is replayed after a
-    failure is recognised and not merged twice. A row older than the stored one loses.
+    Each merge carries the checkpoint and the batch number, so a batch that is replayed
+    after a failure is recognised and not merged twice. A row older than the stored one
+    loses.
     """
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch) if transform else batch
         latest = dedup_latest(rows, table.keys, order_by)
-        table.merge(latest, version=batch_id, apply=lambda t, s: _newest(t, s, table.keys, order_by), purge=purge)
+        token = f"{checkpoint}#{batch_id}"
+        table.merge(latest, token, apply=lambda t, s: _newest(t, s, table.keys, order_by), purge=purge)
 
     return _trigger(
         stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint), processing_time
