@@ -52,10 +52,14 @@ def hot_keys(
         return None
     share = HOT_SHARE if hot_share is None else hot_share
     counts = df.groupBy(*names(keys)).agg(F.count(F.lit(1)).alias(ROWS))
-    total = counts.agg(F.sum(ROWS)).scalar()
-    hot = counts.where((F.col(ROWS) >= hot_rows) & (F.col(ROWS) > total * F.lit(share)))
-    found = hot.collect()  # at most 1 / share rows
-    return df.sparkSession.createDataFrame(found, hot.schema) if found else None
+    seen = counts.agg(F.sum(ROWS).alias("total"), F.max(ROWS).alias("largest")).first()
+    if seen["total"] is None:
+        return None
+    least = max(hot_rows, int(seen["total"] * share) + 1)
+    if seen["largest"] < least:
+        return None
+    hot = counts.where(F.col(ROWS) >= least)
+    return df.sparkSession.createDataFrame(hot.collect(), hot.schema)  # at most 1 / share rows
 
 
 def rows_of(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:

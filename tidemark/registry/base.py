@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.history import dedup_latest
-from tidemark.sources.tables import scan_table
+from tidemark.session import shared_dir
+from tidemark.sources.tables import read_df, scan_table, write_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,6 +45,13 @@ def latest_lines(spark: SparkSession, directory: str) -> DataFrame:
     return dedup_latest(table(spark, directory, "lineitem"), LINE_KEYS, LINE_ORDER)
 
 
+def stored_lines(spark: SparkSession, directory: str) -> DataFrame:
+    """The same as a table of its own, as a layer would store it for the layers above."""
+    path = shared_dir(spark, "lines")
+    write_table(latest_lines(spark, directory), path)
+    return read_df(spark, path)
+
+
 LATEST_LINES = f"""
     select * from lineitem
     qualify row_number() over (

@@ -23,7 +23,9 @@ def choose(values, salt, *seed):
 
 
 def numbered(spark, d, source, key):
-    return table(spark, d, source).select(name(key).alias("n"))
+    """Row numbers to generate from. They are cheap to move and what is computed from them
+    is not, so they are spread over all cores first."""
+    return table(spark, d, source).select(name(key).alias("n")).repartition(spark.sparkContext.defaultParallelism)
 
 
 def customer_sql():

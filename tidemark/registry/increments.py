@@ -9,9 +9,11 @@ from tidemark.plans import harmonize
 from tidemark.plans.harmonize import Feed
 from tidemark.plans.quality import test_valid_range
 from tidemark.registry.base import (
-    EVENT_FEED, LATEST_LINES, LINE_KEYS, LINE_ORDER, event_feed, latest_lines, query, table,
+    EVENT_FEED, LATEST_LINES, LINE_KEYS, LINE_ORDER, event_feed, latest_lines, query, stored_lines, table,
 )
 from tidemark.registry.shapes import TWO_FEEDS, two_feeds
+from tidemark.session import shared_dir
+from tidemark.sources.tables import read_df, write_table
 
 
 def states(spark, d):
@@ -486,7 +488,7 @@ def fact_feeds(spark, d):
         ("o_orderstatus", "O"), "Header_Ingested_At",
     )
     detail = Feed(
-        latest_lines(spark, d),
+        stored_lines(spark, d),
         {"l_orderkey": "Document_Number", "l_linenumber": "Line_Item", "l_partkey": "Material", "l_shipdate": "Detail_Ingested_At"},
         None, "Detail_Ingested_At",
     )
@@ -527,10 +529,12 @@ def header_detail_fact(spark, d):
     """Increment of the fact against a target that holds the older documents."""
     header, detail = fact_feeds(spark, d)
     options = {"system_id": "D80", "client": "Client", "now": now()}
-    loaded = harmonize.harmonize_fact(header, detail, ["Document_Number"], **options).where(
+    path = shared_dir(spark, "fact")
+    older = harmonize.harmonize_fact(header, detail, ["Document_Number"], **options).where(
         "Header_Ingested_At < timestamp_ntz'1998-01-01' and Detail_Ingested_At < timestamp_ntz'1998-02-01'"
     )
-    return harmonize.harmonize_fact(header, detail, ["Document_Number"], target=loaded, **options)
+    write_table(older, path)
+    return harmonize.harmonize_fact(header, detail, ["Document_Number"], target=read_df(spark, path), **options)
 
 
 @query(

@@ -7,7 +7,7 @@ from tidemark.functions.keys import name
 from tidemark.operators import joins
 from tidemark.operators.history import range_join_validity, with_version_end
 from tidemark.plans import harmonize, reports, sales
-from tidemark.registry.base import LATEST_LINES, latest_lines, money, query, table
+from tidemark.registry.base import LATEST_LINES, latest_lines, money, query, stored_lines, table
 
 BIG_ORDERS = "o_totalprice > 200000"
 
@@ -111,7 +111,7 @@ def not_exists(spark, d):
 )
 def header_detail_join(spark, d):
     header = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
-    detail = latest_lines(spark, d).select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_quantity")
+    detail = stored_lines(spark, d).select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_quantity")
     return joins.left_join_many(header, detail, ["o_orderkey"])
 
 
@@ -303,7 +303,7 @@ def self_join_merge(spark, d):
 )
 def affected_key_join(spark, d):
     header = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
-    detail = latest_lines(spark, d).select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_shipdate")
+    detail = stored_lines(spark, d).select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_shipdate")
     return harmonize.affected_key_join(
         header, [(detail, ["o_orderkey"])], ["o_orderkey"],
         [header.where("o_orderdate >= timestamp_ntz'1998-06-01'"), detail.where("l_shipdate >= timestamp_ntz'1998-06-01'")],
