@@ -54,8 +54,8 @@ def row_number_per_header(
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Rank of each line in its document, newest first; ``order_by`` must be a total order."""
-    rank = KeyedOrder(lines, header_keys, order_by[0], hot_rows, descending=True)
-    return rank.plain(rank.number(rank.sliced(lines), order_by, out))
+    rank = KeyedOrder(lines, header_keys, order_by, hot_rows, descending=True)
+    return rank.plain(rank.number(rank.sliced(lines), out))
 
 
 def lag_checksum(
@@ -67,9 +67,8 @@ def lag_checksum(
 ) -> DataFrame:
     """Add ``row_checksum`` and ``previous_checksum`` of the row before it."""
     marked = df.withColumn("row_checksum", row_checksum(checked))
-    time = KeyedOrder(df, keys, order_by, hot_rows)
-    order = [order_by, "row_checksum"]
-    return time.plain(time.previous(time.sliced(marked), order, "row_checksum", "previous_checksum"))
+    time = KeyedOrder(marked, keys, [order_by, "row_checksum"], hot_rows)
+    return time.plain(time.previous(time.sliced(marked), "row_checksum", "previous_checksum"))
 
 
 def scd2_history(
@@ -90,13 +89,11 @@ def scd2_history(
     Zone-less timestamps stay zone-less.
     """
     checked = besides(df.columns, [valid_from_column, *exclude_from_check])
-    order = [valid_from_column, "__checksum"]
-
     marked = df.withColumn("__checksum", row_checksum(checked, null_token, escape))
-    time = KeyedOrder(df, keys, valid_from_column, hot_rows)
-    compared = time.previous(time.sliced(marked), order, "__checksum", "__previous")
+    time = KeyedOrder(marked, keys, [valid_from_column, "__checksum"], hot_rows)
+    compared = time.previous(time.sliced(marked), "__checksum", "__previous")
     kept = compared.where(F.col("__checksum") != F.coalesce(F.col("__previous"), F.lit("")))
-    ended = time.next(kept, order, valid_from_column, "__next")
+    ended = time.next(kept, valid_from_column, "__next")
 
     kind = df.schema[valid_from_column].dataType.typeName()
     moment = "timestamp_ntz" if kind == "timestamp_ntz" else "timestamp"
@@ -128,8 +125,8 @@ def with_version_end(
 ) -> DataFrame:
     """``lead(valid_from)`` with an open end for the last version of a key."""
     kind = versions.schema[valid_from].dataType
-    time = KeyedOrder(versions, keys, valid_from, hot_rows)
-    ended = time.next(time.sliced(versions), [valid_from, *tie_break], valid_from, out)
+    time = KeyedOrder(versions, keys, [valid_from, *tie_break], hot_rows)
+    ended = time.next(time.sliced(versions), valid_from, out)
     return time.plain(ended.withColumn(out, F.coalesce(name(out), F.lit(open_end).cast(kind))))
 
 
@@ -166,8 +163,8 @@ def range_join_validity(
     for k in keys:
         left, right = left.where(name(k).isNotNull()), right.where(name(k).isNotNull())
     merged = left.unionByName(right, allowMissingColumns=True)
-    time = KeyedOrder(merged, keys, "__at", hot_rows)
-    latest = time.latest(time.sliced(merged), ["__at", "__side"], "__version", "__valid")
+    time = KeyedOrder(merged, keys, ["__at", "__side"], hot_rows)
+    latest = time.latest(time.sliced(merged), "__version", "__valid")
     ended = F.col("__at") < F.col(f"__valid.`{valid_to}`") if valid_to else F.col("__valid").isNotNull()
     return (
         latest.where(F.col("__side") == 1)

@@ -189,8 +189,8 @@ def identity_key(
     slice of that order and shifted by the sizes of the slices before it, so no task sees a
     large table whole.
     """
-    whole = KeyedOrder(df, [], order_by[0], hot_rows)
-    numbered = whole.plain(whole.number(whole.sliced(df), order_by, out))
+    whole = KeyedOrder(df, [], order_by, hot_rows)
+    numbered = whole.plain(whole.number(whole.sliced(df), out))
     if existing is None:
         return numbered
     last = existing.agg(F.coalesce(F.max(name(out)), F.lit(0)).cast("long")).scalar()

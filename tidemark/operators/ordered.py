@@ -13,7 +13,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.keys import name, names
 from tidemark.operators.skew import HOT_ROWS, ROWS, hot_keys, match
@@ -26,26 +25,28 @@ _POINTS = "__points"
 
 
 class KeyedOrder:
-    """The order of rows within ``keys``, by ``order`` first, and the slices of hot keys.
+    """The order of rows within ``keys`` and the slices of hot keys.
 
-    ``df`` is counted when the object is made. Without ``keys`` the whole table is one key.
-    ``hot_rows=None`` takes it for granted that no key is hot.
+    Slices follow all ``order`` columns, so many rows of one moment are split as well when
+    the order goes on with other columns. ``df`` is counted when the object is made.
+    Without ``keys`` the whole table is one key. ``hot_rows=None`` takes it for granted
+    that no key is hot.
     """
 
     def __init__(
         self,
         df: DataFrame,
         keys: Sequence[str],
-        order: str,
+        order: Sequence[str],
         hot_rows: int | None = HOT_ROWS,
         descending: bool = False,
         hot_share: float | None = None,
         slices: int = SLICES,
     ):
-        self.keys, self.order, self.descending = list(keys), order, descending
+        self.keys, self.order, self.descending = list(keys), list(order), descending
         self.points = (
             None if hot_rows is None
-            else _split_points(df, self.keys, order, hot_rows, hot_share, slices)
+            else _split_points(df, self.keys, self.order, hot_rows, hot_share, slices)
         )
 
     def sliced(self, df: DataFrame) -> DataFrame:
@@ -58,37 +59,37 @@ class KeyedOrder:
             joined = match(df, F.broadcast(self.points), self.keys, "left")
         else:
             joined = df.withColumn(_POINTS, self.points.scalar())
-        below = F.size(F.filter(F.col(_POINTS), lambda p: p <= name(self.order)))
-        number = F.when(F.col(_POINTS).isNotNull(), F.coalesce(below, F.lit(0)))
+        below = F.size(F.filter(F.col(_POINTS), lambda p: p <= _position(self.order)))
+        number = F.when(F.col(_POINTS).isNotNull(), below)
         return joined.withColumn(SLICE, -number if self.descending else number).drop(_POINTS)
 
     def plain(self, df: DataFrame) -> DataFrame:
         return df.drop(SLICE)
 
-    def previous(self, sliced: DataFrame, order: Sequence[str], value: str, out: str) -> DataFrame:
+    def previous(self, sliced: DataFrame, value: str, out: str) -> DataFrame:
         """``lag(value)`` per key."""
-        return self._neighbour(sliced, order, value, out, F.lag, F.max_by)
+        return self._neighbour(sliced, value, out, F.lag, F.max_by)
 
-    def next(self, sliced: DataFrame, order: Sequence[str], value: str, out: str) -> DataFrame:
+    def next(self, sliced: DataFrame, value: str, out: str) -> DataFrame:
         """``lead(value)`` per key."""
-        return self._neighbour(sliced, order, value, out, F.lead, F.min_by)
+        return self._neighbour(sliced, value, out, F.lead, F.min_by)
 
-    def latest(self, sliced: DataFrame, order: Sequence[str], value: str, out: str) -> DataFrame:
+    def latest(self, sliced: DataFrame, value: str, out: str) -> DataFrame:
         """Last non-null ``value`` up to and including the row."""
-        w = self._window(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        w = self._window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
         local = sliced.withColumn(out, F.last(name(value), ignorenulls=True).over(w))
         if self.points is None:
             return local
-        where = F.when(name(value).isNotNull(), _position(order))
+        where = F.when(name(value).isNotNull(), _position(self.order))
         ends = self._per_slice(sliced, F.max_by(name(value), where).alias("__end"))
         before = self._slices().rowsBetween(Window.unboundedPreceding, -1)
         carried = self._summary(ends, F.last("__end", ignorenulls=True).over(before).alias("__carried"))
         joined = match(local, carried, [*self.keys, SLICE], "left")
         return joined.withColumn(out, F.coalesce(name(out), F.col("__carried"))).drop("__carried")
 
-    def number(self, sliced: DataFrame, order: Sequence[str], out: str) -> DataFrame:
+    def number(self, sliced: DataFrame, out: str) -> DataFrame:
         """``row_number()`` per key, from 1 and without gaps."""
-        local = sliced.withColumn(out, F.row_number().over(self._window(order)).cast("long"))
+        local = sliced.withColumn(out, F.row_number().over(self._window()).cast("long"))
         if self.points is None:
             return local
         sizes = self._per_slice(sliced, F.count(F.lit(1)).alias("__size"))
@@ -97,23 +98,23 @@ class KeyedOrder:
         joined = match(local, offsets, [*self.keys, SLICE], "left")
         return joined.withColumn(out, name(out) + F.coalesce("__offset", F.lit(0))).drop("__offset")
 
-    def _neighbour(self, sliced, order, value, out, step, edge):
-        w = self._window(order)
+    def _neighbour(self, sliced, value, out, step, edge):
+        w = self._window()
         local = sliced.withColumn(out, step(name(value), 1).over(w))
         if self.points is None:
             return local
         local = local.withColumn("__inside", step(F.lit(True), 1, False).over(w))
-        edges = self._per_slice(sliced, edge(name(value), _position(order)).alias("__edge"))
+        edges = self._per_slice(sliced, edge(name(value), _position(self.order)).alias("__edge"))
         reached = self._summary(edges, step(F.col("__edge"), 1).over(self._slices()).alias("__reached"))
         joined = match(local, reached, [*self.keys, SLICE], "left")
         return joined.withColumn(
             out, F.when(F.col("__inside"), name(out)).otherwise(F.col("__reached"))
         ).drop("__inside", "__reached")
 
-    def _window(self, order):
+    def _window(self):
         by = names(self.keys) if self.points is None else [*names(self.keys), F.col(SLICE)]
         return Window.partitionBy(*by).orderBy(
-            *[name(c).desc() if self.descending else name(c).asc() for c in order]
+            *[name(c).desc() if self.descending else name(c).asc() for c in self.order]
         )
 
     def _slices(self):
@@ -130,7 +131,7 @@ class KeyedOrder:
 def _split_points(df, keys, order, hot_rows, hot_share, slices) -> DataFrame | None:
     """Per hot key some of its order values, sorted; None when no key is hot."""
     spark = df.sparkSession
-    values = df.select(*names(keys), name(order).alias("__v"))
+    values = df.select(*names(keys), _position(order).alias("__v"))
     if keys:
         hot = hot_keys(df, keys, hot_rows, hot_share)
         if hot is None:
@@ -143,14 +144,12 @@ def _split_points(df, keys, order, hot_rows, hot_share, slices) -> DataFrame | N
         values = values.withColumn(ROWS, F.lit(rows))
     # A row is drawn with a chance of slices / rows of its key. The draw only decides where
     # the cuts are; every row stays in.
-    drawn = values.where(F.col("__v").isNotNull() & (F.rand(11) * F.col(ROWS) < F.lit(slices)))
+    drawn = values.where(F.rand(11) * F.col(ROWS) < F.lit(slices))
     points = drawn.groupBy(*names(keys)).agg(F.sort_array(F.collect_set("__v")).alias(_POINTS))
-    kind = df.schema[order].dataType
-    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField(_POINTS, T.ArrayType(kind))])
-    return spark.createDataFrame(points.collect(), schema)
+    return spark.createDataFrame(points.collect(), points.schema)
 
 
 def _position(order):
-    # A struct is never null, so rows with a null order value take part as the smallest.
-    return F.struct(*names(order))
+    # A struct is never null, so rows with null order values take part, as the smallest.
+    return F.struct(*[name(c).alias(f"o{i}") for i, c in enumerate(order)])
 

@@ -84,7 +84,7 @@ def scd2_with_deletes(spark, d):
 
 
 @query(
-    "valid_range",
+    "test_valid_range",
     f"""with h as ({scd2_sql()})
     select user_id, event_type, valid_from, valid_to from (
         select user_id, event_type, valid_from,
@@ -115,8 +115,8 @@ def lag_checksum(spark, d):
 )
 def lead_next_change(spark, d):
     kept = states(spark, d).where("event_type <> 'view'").select("user_id", "ts")
-    time = KeyedOrder(kept, ["user_id"], "ts", hot_rows=5)
-    return time.plain(time.next(time.sliced(kept), ["ts"], "ts", "next_change_at"))
+    time = KeyedOrder(kept, ["user_id"], ["ts"], hot_rows=5)
+    return time.plain(time.next(time.sliced(kept), "ts", "next_change_at"))
 
 
 @query(

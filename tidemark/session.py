@@ -18,8 +18,23 @@ RECOMMENDED = {
 }
 
 
-def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
-    for key, value in RECOMMENDED.items():
+def sized_for(input_bytes: int) -> dict[str, str]:
+    """Settings for a job that reads and shuffles about so many bytes.
+
+    Adaptive execution merges small shuffle partitions but never makes more of them, so the
+    number to start from has to fit the input: half a gigabyte each, at most 50,000.
+    """
+    start = min(max(input_bytes // (512 << 20), 200), 50_000)
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(start),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.files.maxPartitionBytes": "512m" if input_bytes > 1 << 40 else "128m",
+    }
+
+
+def configure(builder: SparkSession.Builder, input_bytes: int | None = None) -> SparkSession.Builder:
+    settings = RECOMMENDED | (sized_for(input_bytes) if input_bytes else {})
+    for key, value in settings.items():
         builder = builder.config(key, value)
     return builder
 
