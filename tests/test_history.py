@@ -79,7 +79,7 @@ def hot(spark):
 
 
 def test_slices_cover_a_hot_key_evenly(spark, hot):
-    order = ordered.KeyedOrder(hot, ["k"], ["at"], hot_rows=500, slices=20)
+    order = ordered.KeyedOrder(hot, ["k"], ["at"], hot_rows=500)
     sizes = order.sliced(hot).groupBy("k", ordered.SLICE).count()
     assert {r["k"] for r in sizes.where(f"{ordered.SLICE} is not null").collect()} == {1000}
     assert sizes.where("k = 1000").count() >= 10
@@ -88,7 +88,7 @@ def test_slices_cover_a_hot_key_evenly(spark, hot):
 
 def test_rows_of_one_moment_are_sliced_too(spark):
     df = spark.range(2000).selectExpr("1 as k", "date'2024-01-01' as at", "id")
-    order = ordered.KeyedOrder(df, ["k"], ["at", "id"], hot_rows=500, slices=20)
+    order = ordered.KeyedOrder(df, ["k"], ["at", "id"], hot_rows=500)
     assert order.sliced(df).groupBy(ordered.SLICE).count().agg(F.max("count")).first()[0] < 800
     numbered = order.number(order.sliced(df), "i")
     assert numbered.where("i <> id + 1").count() == 0
@@ -104,7 +104,7 @@ def test_hot_windows_equal_plain_windows(spark, hot, keys):
         "id", F.lag("v").over(w).alias("p"), F.lead("id").over(w).alias("n"), F.row_number().over(w).cast("long").alias("i"),
         F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("l"),
     )
-    order = ordered.KeyedOrder(hot, keys, ["at", "id"], hot_rows=500, slices=10)
+    order = ordered.KeyedOrder(hot, keys, ["at", "id"], hot_rows=500)
     assert order.points is not None
     df = order.sliced(hot)
     df = order.previous(df, "v", "p")

@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 from tidemark.functions.keys import name, names
 from tidemark.operators.skew import HOT_ROWS, ROWS, hot_keys, match
 
-# Slices a hot key is cut into, about.
-SLICES = 200
+# Slices of all hot keys together, at most about; each has about a quarter of the rows that
+# make a key hot, or more where that would give too many.
+MAX_SLICES = 20_000
 
 SLICE = "__slice"
 _POINTS = "__points"
+_HOT = "__hot"
 
 
 class KeyedOrder:
@@ -41,13 +43,14 @@ class KeyedOrder:
         hot_rows: int | None = HOT_ROWS,
         descending: bool = False,
         hot_share: float | None = None,
-        slices: int = SLICES,
     ):
         self.keys, self.order, self.descending = list(keys), list(order), descending
         self.points = (
             None if hot_rows is None
-            else _split_points(df, self.keys, self.order, hot_rows, hot_share, slices)
+            else _split_points(df, self.keys, self.order, hot_rows, hot_share)
         )
+        most = 0 if self.points is None else self.points.select(F.max(F.size(_POINTS))).first()[0]
+        self.steps = [1 << i for i in reversed(range(most.bit_length()))]
 
     def sliced(self, df: DataFrame) -> DataFrame:
         """``df`` with its slice number: null for ordinary keys, rising with the order for
@@ -55,16 +58,24 @@ class KeyedOrder:
         if self.points is None:
             return df
         if self.keys:
-            # At most 1 / HOT_SHARE rows of about SLICES values each.
+            # About MAX_SLICES values in all.
             joined = match(df, F.broadcast(self.points), self.keys, "left")
         else:
-            joined = df.withColumn(_POINTS, self.points.scalar())
-        below = F.size(F.filter(F.col(_POINTS), lambda p: p <= _position(self.order)))
-        number = F.when(F.col(_POINTS).isNotNull(), below)
-        return joined.withColumn(SLICE, -number if self.descending else number).drop(_POINTS)
+            joined = df.withColumn(_POINTS, self.points.select(_POINTS).scalar())
+        # How many points are at or before the row, by halving steps. One column per step
+        # keeps this in generated code; the array stays where the join found it.
+        joined = joined.withColumn(_HOT, F.col(_POINTS).isNotNull())
+        found = joined.withColumn(SLICE, F.when(F.col(_HOT), F.lit(0)))
+        for step in self.steps:
+            point = F.get(F.col(_POINTS), F.col(SLICE) + F.lit(step - 1))
+            further = F.col(SLICE) + F.lit(step)
+            found = found.withColumn(SLICE, F.when(point <= _position(self.order), further).otherwise(F.col(SLICE)))
+        if self.descending:
+            found = found.withColumn(SLICE, -F.col(SLICE))
+        return found.drop(_POINTS)
 
     def plain(self, df: DataFrame) -> DataFrame:
-        return df.drop(SLICE)
+        return df.drop(SLICE, _HOT)
 
     def previous(self, sliced: DataFrame, value: str, out: str) -> DataFrame:
         """``lag(value)`` per key."""
@@ -121,32 +132,35 @@ class KeyedOrder:
         return Window.partitionBy(*names(self.keys)).orderBy(SLICE)
 
     def _per_slice(self, sliced, measure):
-        hot = sliced.where(F.col(SLICE).isNotNull())
+        # Not a filter on the slice number: pushed down, that would repeat its steps.
+        hot = sliced.where(F.col(_HOT))
         return hot.groupBy(*names(self.keys), F.col(SLICE)).agg(measure)
 
     def _summary(self, per_slice, measure):
         return per_slice.select(*names(self.keys), F.col(SLICE), measure)
 
 
-def _split_points(df, keys, order, hot_rows, hot_share, slices) -> DataFrame | None:
-    """Per hot key some of its order values, sorted; None when no key is hot."""
+def _split_points(df, keys, order, hot_rows, hot_share) -> DataFrame | None:
+    """Per hot key some of its positions in the order, sorted; None when no key is hot."""
     spark = df.sparkSession
     values = df.select(*names(keys), _position(order).alias("__v"))
     if keys:
         hot = hot_keys(df, keys, hot_rows, hot_share)
         if hot is None:
             return None
-        values = match(values, F.broadcast(hot), keys)
+        rows = hot.agg(F.sum(ROWS)).first()[0]
+        values = match(values, F.broadcast(hot.drop(ROWS)), keys)
     else:
         rows = df.count()
         if rows < hot_rows:
             return None
-        values = values.withColumn(ROWS, F.lit(rows))
-    # A row is drawn with a chance of slices / rows of its key. The draw only decides where
-    # the cuts are; every row stays in.
-    drawn = values.where(F.rand(11) * F.col(ROWS) < F.lit(slices))
+    # A row is drawn with a chance of one in the size of a slice. The draw only decides
+    # where the cuts are; every row stays in.
+    slice_rows = max(hot_rows // 4, rows // MAX_SLICES, 1)
+    drawn = values.where(F.rand(11) * F.lit(slice_rows) < F.lit(1))
     points = drawn.groupBy(*names(keys)).agg(F.sort_array(F.collect_set("__v")).alias(_POINTS))
-    return spark.createDataFrame(points.collect(), points.schema)
+    found = points.collect()
+    return spark.createDataFrame(found, points.schema) if found else None
 
 
 def _position(order):
