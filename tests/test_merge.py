@@ -104,15 +104,15 @@ def test_identity_key_is_dense_and_continues(spark, hot_rows):
 def test_two_feeds_meet_by_name(spark):
     first = spark.createDataFrame([(1, "x"), (1, "x")], "id int, v string")
     second = spark.createDataFrame([("D", "y", 2, "t"), ("I", "z", 3, None), ("I", "w", 4, "t")], "OPFLAG string, v string, id int, AEDATTM string")
-    found = shape.union_two_feeds(first, second, "HANA", "OTHER", "AEDATTM", ("v", 3))
+    found = shape.union_two_feeds(first, second, "MAIN", "OTHER", "AEDATTM", ("v", 3))
     assert rows(found.select("id", "v", "OPFLAG", "_dbt_source_relation", "partition_key")) == [
-        (1, "x", "", "HANA", "x"), (2, "y", "D", "OTHER", "y"), (4, "w", "I", "OTHER", "w"),
+        (1, "x", "", "MAIN", "x"), (2, "y", "D", "OTHER", "y"), (4, "w", "I", "OTHER", "w"),
     ]
-    loaded = harmonize.load_two_feeds(None, first, second, ("HANA", "OTHER"), ["id"], ["AEDATTM"], "AEDATTM")
+    loaded = harmonize.load_two_feeds(None, first, second, ("MAIN", "OTHER"), ["id"], ["AEDATTM"], "AEDATTM")
     assert rows(loaded.select("id")) == [(1,), (4,)]
     again = harmonize.load_two_feeds(
         loaded, first.where("id = 9"), spark.createDataFrame([("D", "x", 1, "u")], second.schema),
-        ("HANA", "OTHER"), ["id"], ["AEDATTM"], "AEDATTM",
+        ("MAIN", "OTHER"), ["id"], ["AEDATTM"], "AEDATTM",
     )
     assert rows(again.select("id")) == [(4,)]
 

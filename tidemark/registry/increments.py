@@ -477,7 +477,7 @@ def load_keyed(spark, d):
 def load_two_feeds(spark, d):
     first, second = two_feeds(spark, d)
     return harmonize.load_two_feeds(
-        None, first, second, ("HANA", "AECORSOFT"), ["nr"], ["changed"], "changed", ("name", 3), flag="opflag"
+        None, first, second, ("MAIN", "OTHER"), ["nr"], ["changed"], "changed", ("name", 3), flag="opflag"
     )
 
 

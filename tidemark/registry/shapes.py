@@ -46,10 +46,10 @@ def select_except(spark, d):
 
 @query(
     "add_lineage_column",
-    "select s_suppkey, s_name, 'HANA' as _dbt_source_relation from supplier",
+    "select s_suppkey, s_name, 'MAIN' as _dbt_source_relation from supplier",
 )
 def add_lineage_column(spark, d):
-    return shape.add_lineage_column(table(spark, d, "supplier").select("s_suppkey", "s_name"), "HANA")
+    return shape.add_lineage_column(table(spark, d, "supplier").select("s_suppkey", "s_name"), "MAIN")
 
 
 @query("pad_missing_columns", "select p_partkey, p_name, '' as p_brand, cast(null as integer) as p_size from part")
@@ -201,10 +201,10 @@ def union_all(spark, d):
 
 
 TWO_FEEDS = """
-    select c_custkey as nr, c_name as name, c_mktsegment as segment, '' as opflag, '' as changed, 'HANA' as _dbt_source_relation
+    select c_custkey as nr, c_name as name, c_mktsegment as segment, '' as opflag, '' as changed, 'MAIN' as _dbt_source_relation
     from customer where c_acctbal >= 0
     union
-    select c_custkey, c_name, '', case when c_acctbal < -500 then 'D' else 'I' end, c_mktsegment, 'AECORSOFT'
+    select c_custkey, c_name, '', case when c_acctbal < -500 then 'D' else 'I' end, c_mktsegment, 'OTHER'
     from customer where c_acctbal < 0
 """
 
@@ -220,7 +220,7 @@ def two_feeds(spark, d):
 
 @query("union_two_feeds", TWO_FEEDS)
 def union_two_feeds(spark, d):
-    return shape.union_two_feeds(*two_feeds(spark, d), "HANA", "AECORSOFT", "changed")
+    return shape.union_two_feeds(*two_feeds(spark, d), "MAIN", "OTHER", "changed")
 
 
 @query(
