@@ -3,6 +3,7 @@ from conftest import SF
 from oracle import compare, connect
 
 import __spark_entry__ as entries
+from tidemark.registry import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -10,9 +11,9 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", list(entries.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    assert compare(spark, con, SF, entries.queries()[name], entries.oracle_sql().get(name)) is None
+    assert compare(spark, con, SF, QUERIES[name], ORACLES.get(name)) is None
 
 
 def test_entry(spark):
@@ -20,4 +21,6 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entries.oracle_sql()) == set(entries.queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entries.queries())
+    assert set(ORACLES) <= set(entries.oracle_sql())
