@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import licenses, quality
+from tidemark.llm import licenses, packing, quality, simhash
 from tidemark.llm.base import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -19,6 +20,17 @@ def license_scan(spark: SparkSession, directory: str) -> DataFrame:
     return found.select("doc_id", *[F.col(f"licenses.{f}") for f in fields])
 
 
+@query("op7_best_fit_packing")
+def best_fit_packing(spark: SparkSession, directory: str) -> DataFrame:
+    return packing.pack(table(spark, directory, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op8_simhash_near_dedup")
+def simhash_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, directory, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 @query("op9_quality_rules", quality.oracle_sql())
 def quality_rules(spark: SparkSession, directory: str) -> DataFrame:
     documents = table(spark, directory, "documents").select("doc_id", "text")
