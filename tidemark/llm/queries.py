@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import licenses, packing, quality, simhash
-from tidemark.llm.base import ORACLES, QUERIES, query, table
+from tidemark.llm import chat, decontamination, licenses, packing, quality, simhash, url_filter
+from tidemark.llm.base import LOWER, ORACLES, QUERIES, UPPER, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -20,6 +20,53 @@ def license_scan(spark: SparkSession, directory: str) -> DataFrame:
     return found.select("doc_id", *[F.col(f"licenses.{f}") for f in fields])
 
 
+# Rules of the query, and hosts whose pages make its list of blocked addresses.
+URL_RULES = (
+    url_filter.Rule("allow", "org", "/"),
+    url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+)
+SPAM_HOST = r"(^|[.-])(casino|bets|pills)([.-]|$)"
+_HOST = "case when contains(coalesce(url, ''), '://') then translate(regexp_extract(url, '^.*?://([^/?#]*)', 1), '{u}', '{l}') else '' end".format(u=UPPER, l=LOWER)
+_PATH = "case when contains(coalesce(url, ''), '://') then regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1) else '' end"
+_RULES = ", ".join(f"('{r}', '{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)
+OP3_SQL = f"""
+    with parsed as (select row_number() over () as row, page_id, url, {_HOST} as host, {_PATH} as path from pages),
+    forms as (
+        select *, case when contains(url, '://') then
+            regexp_replace(regexp_replace(host, '^[^@]*@|:\\d*$', '', 'g'), '^((www|m)\\.)+', '')
+            || regexp_replace(path, '(/|/index\\.html?|\\.html?)$', '')
+            || coalesce('?' || nullif(array_to_string(list_sort(list_filter(
+                string_split(regexp_extract(url, '^[^?#]*\\?([^#]*)', 1), '&'),
+                lambda x: x <> '' and not regexp_matches(x, '{url_filter.TRACKING}'))), '&'), ''), '') end as canonical
+        from parsed),
+    listed as (select distinct canonical from forms where regexp_matches(host, '{SPAM_HOST}')),
+    rules(rule, verdict, rule_host, rule_path) as (values {_RULES}),
+    fitting as (
+        select row, rule, verdict from forms join rules
+            on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+        qualify row_number() over (partition by row order by length(rule) desc, rule) = 1)
+    select page_id, host, path, rule,
+        coalesce(verdict, case when canonical in (select canonical from listed where canonical is not null) then 'block' else 'allow' end) as verdict
+    from forms left join fitting using (row)
+"""
+
+
+@query("op3_url_filter", OP3_SQL)
+def url_filter_query(spark: SparkSession, directory: str) -> DataFrame:
+    pages = table(spark, directory, "pages").select("page_id", "url")
+    listed = pages.where(url_filter.host_of(F.col("url")).rlike(SPAM_HOST)).select("url")
+    judged = url_filter.filter_urls(pages, listed, URL_RULES)
+    return judged.select("page_id", *[F.col(f"filter.{f}") for f in ("host", "path", "rule", "verdict")])
+
+
+@query("op6_quotation_linking")
+def quotation_linking(spark: SparkSession, directory: str) -> DataFrame:
+    return chat.link_quotes(table(spark, directory, "conversations"))
+
+
 @query("op7_best_fit_packing")
 def best_fit_packing(spark: SparkSession, directory: str) -> DataFrame:
     return packing.pack(table(spark, directory, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -41,3 +88,9 @@ def quality_rules(spark: SparkSession, directory: str) -> DataFrame:
         "doc_id", *[F.col(f"ledger.{f}") for f in fields], base.alias("base_failed"),
         (~base & quality.passes(F.col("ledger.failed"))).alias("kept"),
     )
+
+
+@query("op10_template_decontamination")
+def template_decontamination(spark: SparkSession, directory: str) -> DataFrame:
+    documents = table(spark, directory, "documents").select("doc_id", "text")
+    return decontamination.find_leaks(documents, table(spark, directory, "benchmark"))
