@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontamination, licenses, packing, quality, simhash, url_filter
+from tidemark.llm import chat, decontamination, licenses, packing, quality, secrets, simhash, url_filter
 from tidemark.llm.base import LOWER, ORACLES, QUERIES, UPPER, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -20,6 +20,11 @@ def license_scan(spark: SparkSession, directory: str) -> DataFrame:
     return found.select("doc_id", *[F.col(f"licenses.{f}") for f in fields])
 
 
+@query("op2_secret_scan")
+def secret_scan(spark: SparkSession, directory: str) -> DataFrame:
+    return secrets.scan_secrets(table(spark, directory, "documents"))
+
+
 # Rules of the query, and hosts whose pages make its list of blocked addresses.
 URL_RULES = (
     url_filter.Rule("allow", "org", "/"),
