@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontamination, licenses, packing, quality, secrets, simhash, url_filter
+from tidemark.llm import chat, decontamination, langid, licenses, packing, quality, secrets, simhash, toxicity, url_filter
 from tidemark.llm.base import LOWER, ORACLES, QUERIES, UPPER, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -67,6 +67,33 @@ def url_filter_query(spark: SparkSession, directory: str) -> DataFrame:
     return judged.select("page_id", *[F.col(f"filter.{f}") for f in ("host", "path", "rule", "verdict")])
 
 
+def remainder(by: int):
+    """crc32 of the document id as text, modulo ``by``; -1 for a null id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % by, F.lit(-1))
+
+
+@query("op4_toxicity_cnn")
+def toxicity_cnn(spark: SparkSession, directory: str) -> DataFrame:
+    documents = table(spark, directory, "documents").select("doc_id", "text")
+    labels = table(spark, directory, "labels").select("doc_id", "toxic").where(remainder(4) != 2)
+    model = toxicity.fit(documents, labels)
+    scored = documents.select(
+        "doc_id", (remainder(4) == 2).alias("held_out"), toxicity.score_toxicity(F.col("text"), model).alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.DECISION).cast("int"))
+
+
+@query("op5_language_crf")
+def language_crf(spark: SparkSession, directory: str) -> DataFrame:
+    documents = table(spark, directory, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(documents.where(remainder(3) != 1))
+    found = langid.identify(documents.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id", (remainder(3) == 1).alias("held_out"), F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"), F.size("language.spans").alias("n_spans"),
+    )
+
+
 @query("op6_quotation_linking")
 def quotation_linking(spark: SparkSession, directory: str) -> DataFrame:
     return chat.link_quotes(table(spark, directory, "conversations"))
