@@ -1,0 +1,55 @@
+import odd
+from pyspark.sql import functions as F
+
+from tidemark.llm import secrets
+
+KEY = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+
+
+def corpus(spark):
+    texts = [f'some words {i} here token = "{KEY[i % 30:]}{KEY[: i % 30]}" and more words' for i in range(40)]
+    texts += [f"call the shop with card {4000000000000000 + i * 977} today please" for i in range(60)]
+    texts += odd.TEXTS
+    texts.append(f'password: "{KEY}"\nand again {KEY} in the end, order 1234567890123')
+    return odd.documents(spark, texts), texts
+
+
+def test_finds_secrets_and_drops_numbers(spark):
+    df, texts = corpus(spark)
+    found = secrets.scan_secrets(df).collect()
+    for r in found:
+        assert texts[r.doc_id][r.start : r.start + r.length] == r.candidate
+        assert 0 <= r.score <= 1
+    by = {(r.doc_id, r.start): r.is_secret for r in found}
+    assert all(v for (d, _), v in by.items() if d < 40)
+    assert not any(v for (d, _), v in by.items() if 40 <= d < 100)
+
+
+def test_redaction_keeps_everything_else(spark):
+    df, texts = corpus(spark)
+    rows = {r.doc_id: r for r in secrets.redact_secrets(df).collect()}
+    assert len(rows) == len(texts) and set(rows[0].asDict()) == set(df.columns)
+    for i, t in enumerate(texts):
+        if i < 40:
+            assert rows[i].text == f'some words {i} here token = "<SECRET>" and more words'
+        elif i < 100 + len(odd.TEXTS):
+            assert rows[i].text == t
+    last = rows[len(texts) - 1].text
+    assert KEY not in last and last.endswith("order 1234567890123")
+
+
+def test_labelled_findings(spark):
+    """Findings labelled by someone decide, here the other way round."""
+    df, _ = corpus(spark)
+    found = secrets.features(secrets.candidates(df.select(F.col("doc_id").alias("k"), "text"), "text", keep=["k"]))
+    labelled = found.withColumn("label", (F.length("candidate") < 20).cast("int"))
+    judged = secrets.scan_secrets(df, labelled).where("doc_id < 100").collect()
+    assert {r.is_secret for r in judged if r.doc_id < 40} == {False}
+    assert {r.is_secret for r in judged if r.doc_id >= 40} == {True}
+
+
+def test_without_labels_and_empty(spark):
+    df = odd.documents(spark, [f'token = "{KEY}"', None, ""])
+    assert [r.is_secret for r in secrets.scan_secrets(df).collect()] == [True]
+    assert secrets.scan_secrets(odd.empty(spark)).count() == 0
+    assert secrets.redact_secrets(odd.empty(spark)).count() == 0

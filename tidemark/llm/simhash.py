@@ -245,9 +245,9 @@ def near_copy_links(texts: DataFrame, radius: int = 4, similarity: float = SIMIL
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
-    jaccard = common / (F.size("sa") + F.size("sb") - common)
+    either_has = F.size("sa") + F.size("sb") - common  # none in two texts without words: copies
     least = F.when(F.col("crowded"), F.lit(2 * similarity - 1)).otherwise(F.lit(similarity))
-    return both.where(jaccard >= least).select("a", "b")
+    return both.where(common >= least * either_has).select("a", "b")
 
 
 def drop_near_copies(

@@ -311,7 +311,8 @@ def fit(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str =
     known = labels.where(column(label).isNotNull() & column(id_column).isNotNull())
     known = known.groupBy(column(id_column).alias("id")).agg(F.max(column(label)).alias("label"))
     drawn = known.orderBy(F.xxhash64("id"), "id").limit(max_labelled)
-    rows = df.join(F.broadcast(drawn), column(id_column) == F.col("id")).select("id", column(text).alias("text"), "label")
+    texts = df.select(column(id_column).alias("id"), column(text).alias("text"))
+    rows = texts.join(F.broadcast(drawn), "id")
     found = rows.dropDuplicates(["id"]).orderBy("id").toPandas()
     return train(found["text"].tolist(), found["label"].to_numpy(np.float32))
 
