@@ -18,11 +18,15 @@ def test_left_join_many(spark, sides, hot_rows):
     assert rows(joins.left_join_many(left, right, ["k"], hot_rows)) == rows(left.join(right, ["k"], "left"))
 
 
-def test_left_join_many_falls_back_when_both_sides_are_hot(spark, sides, monkeypatch):
+def test_left_join_many_when_both_sides_are_hot(spark, sides):
     left, right = sides
-    many = left.unionByName(left).unionByName(left)
-    monkeypatch.setattr(skew.is_small, "__defaults__", (2,))
-    assert rows(joins.left_join_many(many, right, ["k"], 50)) == rows(many.join(right, ["k"], "left"))
+    many = left
+    for _ in range(5):
+        many = many.unionByName(many)
+    joined = joins.left_join_many(many, right, ["k"], 5)
+    assert rows(joined) == rows(many.join(right, ["k"], "left"))
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "__salt" in plan
 
 
 @pytest.mark.parametrize("hot_rows", [None, 5])

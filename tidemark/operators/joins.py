@@ -98,20 +98,30 @@ def left_join_many(
 
     Adaptive execution cannot split a skewed right side of a left join. So hot keys are
     looked for first (or passed as ``hot``). Without any this is the plain join. With some,
-    the few left rows of those keys are broadcast to where the right rows are; as a hot key
-    has right rows for sure, an inner join is enough there.
+    their right rows are dealt out over salts by a hash of the row, as many as ``hot_rows``
+    goes into the key's rows, and each of their left rows meets every salt. A hot key has
+    right rows for sure, so an inner join is enough there.
     """
     if hot is None:
         hot = skew.hot_keys(right, keys, hot_rows)
     if hot is None:
         return left_join(left, right, keys)
     known = hot.dropna(subset=list(keys))  # a null key matches nothing
-    few = skew.rows_of(left, known, keys)
-    if not skew.is_small(few):
-        return left_join(left, right, keys)
     ordinary = left_join(skew.rows_besides(left, known, keys), skew.rows_besides(right, known, keys), keys)
-    heavy = skew.rows_of(right, known, keys).join(F.broadcast(few), list(keys), "inner")
-    return ordinary.unionByName(heavy.select(*ordinary.columns))
+    salts = known.select(
+        *names(keys), F.ceil(F.col(skew.ROWS) / F.lit(float(hot_rows or HOT_ROWS))).cast("long").alias("__salts")
+    )
+    dealt = right.withColumn("__row", skew.row_hash(right))
+    heavy = (
+        skew.match(dealt, salts, keys)
+        .withColumn("__salt", F.pmod(F.col("__row"), F.col("__salts"))).drop("__row", "__salts")
+    )
+    every = (
+        skew.match(left, salts, keys)
+        .withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__salts") - 1))).drop("__salts")
+    )
+    met = every.join(heavy, [*keys, "__salt"], "inner").drop("__salt")
+    return ordinary.unionByName(met.select(*names(ordinary.columns)))
 
 
 def left_join_chain(base: DataFrame, *sides: tuple[DataFrame, Sequence[str]]) -> DataFrame:

@@ -1,10 +1,10 @@
 """Neighbour values, running values and positions in an order, safe against hot keys.
 
-A plain window puts all rows of a key into one task. Keys that hold a large share of all
-rows are found first, by a count that is combined in the map tasks. If there are none, the
-plan is the plain window. Otherwise the rows of the hot keys are cut into slices that
-follow the order; windows then run per (key, slice), and what a slice needs from its
-neighbours comes from one summary row per slice.
+A plain window puts all rows of a key into one task. Keys with more rows than a task can sort
+are found first, by a count that is combined in the map tasks. If there are none, the plan is
+the plain window. Otherwise the rows of the hot keys are dealt out by range of the whole order
+and stored, each with the number of its range: its slice. Windows then run per (key, slice),
+and what a slice needs from its neighbours comes from one summary row per slice.
 """
 
 from __future__ import annotations
@@ -15,24 +15,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import name, names
-from tidemark.operators.skew import HOT_ROWS, ROWS, hot_keys, match
-
-# Slices of all hot keys together, at most about; each has about a quarter of the rows that
-# make a key hot, or more where that would give too many.
-MAX_SLICES = 20_000
+from tidemark.operators.skew import HOT_ROWS, ROWS, hot_keys, match, row_hash, rows_besides, rows_of
+from tidemark.session import stored
 
 SLICE = "__slice"
-_POINTS = "__points"
-_HOT = "__hot"
 
 
 class KeyedOrder:
     """The order of rows within ``keys`` and the slices of hot keys.
 
-    Slices follow all ``order`` columns, so many rows of one moment are split as well when
-    the order goes on with other columns. ``df`` is counted when the object is made.
-    Without ``keys`` the whole table is one key. ``hot_rows=None`` takes it for granted
-    that no key is hot.
+    A slice holds about ``hot_rows`` rows. Rows that share all ``order`` values are split as
+    well, by a hash of the row; only rows that are the same in every column stay together.
+    ``df`` is counted when the object is made. Without ``keys`` the whole table is one key and
+    always sliced. ``hot_rows=None`` takes it for granted that no key is hot.
     """
 
     def __init__(
@@ -42,40 +37,32 @@ class KeyedOrder:
         order: Sequence[str],
         hot_rows: int | None = HOT_ROWS,
         descending: bool = False,
-        hot_share: float | None = None,
     ):
         self.keys, self.order, self.descending = list(keys), list(order), descending
-        self.points = (
-            None if hot_rows is None
-            else _split_points(df, self.keys, self.order, hot_rows, hot_share)
-        )
-        most = 0 if self.points is None else self.points.select(F.max(F.size(_POINTS))).first()[0]
-        self.steps = [1 << i for i in reversed(range(most.bit_length()))]
+        self.hot = hot_keys(df, self.keys, hot_rows) if self.keys else None
+        self.slices = None
+        if self.hot is not None:
+            rows = self.hot.agg(F.sum(ROWS)).first()[0]
+            self.slices = -(-rows // hot_rows) + 1
+        self.sliced_at_all = self.hot is not None or (not self.keys and hot_rows is not None)
 
     def sliced(self, df: DataFrame) -> DataFrame:
         """``df`` with its slice number: null for ordinary keys, rising with the order for
         hot ones. Unchanged when there are no hot keys."""
-        if self.points is None:
+        if not self.sliced_at_all:
             return df
-        if self.keys:
-            # About MAX_SLICES values in all.
-            joined = match(df, F.broadcast(self.points), self.keys, "left")
-        else:
-            joined = df.withColumn(_POINTS, self.points.select(_POINTS).scalar())
-        # How many points are at or before the row, by halving steps. One column per step
-        # keeps this in generated code; the array stays where the join found it.
-        joined = joined.withColumn(_HOT, F.col(_POINTS).isNotNull())
-        found = joined.withColumn(SLICE, F.when(F.col(_HOT), F.lit(0)))
-        for step in self.steps:
-            point = F.get(F.col(_POINTS), F.col(SLICE) + F.lit(step - 1))
-            further = F.col(SLICE) + F.lit(step)
-            found = found.withColumn(SLICE, F.when(point <= _position(self.order), further).otherwise(F.col(SLICE)))
-        if self.descending:
-            found = found.withColumn(SLICE, -F.col(SLICE))
-        return found.drop(_POINTS)
+        heavy = df if self.hot is None else rows_of(df, self.hot, self.keys)
+        by = [*names(self.keys), *[name(c) for c in self.order], row_hash(df)]
+        dealt = heavy.repartitionByRange(*by) if self.slices is None else heavy.repartitionByRange(self.slices, *by)
+        number = F.spark_partition_id() if not self.descending else -F.spark_partition_id()
+        heavy = stored(dealt.withColumn(SLICE, number), "slices")
+        if self.hot is None:
+            return heavy
+        ordinary = rows_besides(df, self.hot, self.keys).withColumn(SLICE, F.lit(None).cast("int"))
+        return ordinary.unionByName(heavy)
 
     def plain(self, df: DataFrame) -> DataFrame:
-        return df.drop(SLICE, _HOT)
+        return df.drop(SLICE)
 
     def previous(self, sliced: DataFrame, value: str, out: str) -> DataFrame:
         """``lag(value)`` per key."""
@@ -89,7 +76,7 @@ class KeyedOrder:
         """Last non-null ``value`` up to and including the row."""
         w = self._window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
         local = sliced.withColumn(out, F.last(name(value), ignorenulls=True).over(w))
-        if self.points is None:
+        if not self.sliced_at_all:
             return local
         where = F.when(name(value).isNotNull(), _position(self.order))
         ends = self._per_slice(sliced, F.max_by(name(value), where).alias("__end"))
@@ -101,7 +88,7 @@ class KeyedOrder:
     def number(self, sliced: DataFrame, out: str) -> DataFrame:
         """``row_number()`` per key, from 1 and without gaps."""
         local = sliced.withColumn(out, F.row_number().over(self._window()).cast("long"))
-        if self.points is None:
+        if not self.sliced_at_all:
             return local
         sizes = self._per_slice(sliced, F.count(F.lit(1)).alias("__size"))
         before = self._slices().rowsBetween(Window.unboundedPreceding, -1)
@@ -112,7 +99,7 @@ class KeyedOrder:
     def _neighbour(self, sliced, value, out, step, edge):
         w = self._window()
         local = sliced.withColumn(out, step(name(value), 1).over(w))
-        if self.points is None:
+        if not self.sliced_at_all:
             return local
         local = local.withColumn("__inside", step(F.lit(True), 1, False).over(w))
         edges = self._per_slice(sliced, edge(name(value), _position(self.order)).alias("__edge"))
@@ -123,7 +110,7 @@ class KeyedOrder:
         ).drop("__inside", "__reached")
 
     def _window(self):
-        by = names(self.keys) if self.points is None else [*names(self.keys), F.col(SLICE)]
+        by = [*names(self.keys), F.col(SLICE)] if self.sliced_at_all else names(self.keys)
         return Window.partitionBy(*by).orderBy(
             *[name(c).desc() if self.descending else name(c).asc() for c in self.order]
         )
@@ -132,38 +119,12 @@ class KeyedOrder:
         return Window.partitionBy(*names(self.keys)).orderBy(SLICE)
 
     def _per_slice(self, sliced, measure):
-        # Not a filter on the slice number: pushed down, that would repeat its steps.
-        hot = sliced.where(F.col(_HOT))
-        return hot.groupBy(*names(self.keys), F.col(SLICE)).agg(measure)
+        return sliced.where(F.col(SLICE).isNotNull()).groupBy(*names(self.keys), F.col(SLICE)).agg(measure)
 
     def _summary(self, per_slice, measure):
         return per_slice.select(*names(self.keys), F.col(SLICE), measure)
 
 
-def _split_points(df, keys, order, hot_rows, hot_share) -> DataFrame | None:
-    """Per hot key some of its positions in the order, sorted; None when no key is hot."""
-    spark = df.sparkSession
-    values = df.select(*names(keys), _position(order).alias("__v"))
-    if keys:
-        hot = hot_keys(df, keys, hot_rows, hot_share)
-        if hot is None:
-            return None
-        rows = hot.agg(F.sum(ROWS)).first()[0]
-        values = match(values, F.broadcast(hot.drop(ROWS)), keys)
-    else:
-        rows = df.count()
-        if rows < hot_rows:
-            return None
-    # A row is drawn with a chance of one in the size of a slice. The draw only decides
-    # where the cuts are; every row stays in.
-    slice_rows = max(hot_rows // 4, rows // MAX_SLICES, 1)
-    drawn = values.where(F.rand(11) * F.lit(slice_rows) < F.lit(1))
-    points = drawn.groupBy(*names(keys)).agg(F.sort_array(F.collect_set("__v")).alias(_POINTS))
-    found = points.collect()
-    return spark.createDataFrame(found, points.schema) if found else None
-
-
 def _position(order):
     # A struct is never null, so rows with null order values take part, as the smallest.
     return F.struct(*[name(c).alias(f"o{i}") for i, c in enumerate(order)])
-

@@ -9,14 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import besides, name, names
+from tidemark.session import stored
 
-# A key is hot when it holds at least HOT_ROWS rows and more than HOT_SHARE of all rows;
-# hence there are never more than 1 / HOT_SHARE hot keys, and a list of them can be sent
-# to every executor however large the table is.
-HOT_ROWS = 1_000_000
-HOT_SHARE = 0.001
-# Rows of the other side of a join that are broadcast to meet hot keys, at most.
-BROADCAST_ROWS = 200_000
+# Rows that one task can sort well. A key with more is hot, however large the table is.
+HOT_ROWS = 5_000_000
 
 ROWS = "__rows"
 
@@ -37,39 +33,35 @@ def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "in
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"__k{i}" for i in range(len(keys))])
 
 
-def hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    hot_rows: int | None = HOT_ROWS,
-    hot_share: float | None = None,
-) -> DataFrame | None:
-    """Hot keys of ``df`` with their number of ``__rows``; None when there are none.
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = HOT_ROWS) -> DataFrame | None:
+    """Keys of ``df`` with more than ``hot_rows`` rows, with their number of ``__rows``; None
+    when there are none.
 
-    Runs a job that reads the key columns only and counts in the map tasks before it
-    shuffles. ``hot_rows=None`` takes it for granted that no key is hot.
+    Runs one job that reads the key columns only, counts in the map tasks before it shuffles
+    and stores what it finds: at most one row per ``hot_rows`` rows of ``df``. Spark knows the
+    size of that table and chooses by it how to join. ``hot_rows=None`` takes it for granted
+    that no key is hot.
     """
     if hot_rows is None:
         return None
-    share = HOT_SHARE if hot_share is None else hot_share
     counts = df.groupBy(*names(keys)).agg(F.count(F.lit(1)).alias(ROWS))
-    seen = counts.agg(F.sum(ROWS).alias("total"), F.max(ROWS).alias("largest")).first()
-    if seen["total"] is None:
-        return None
-    least = max(hot_rows, int(seen["total"] * share) + 1)
-    if seen["largest"] < least:
-        return None
-    hot = counts.where(F.col(ROWS) >= least)
-    return df.sparkSession.createDataFrame(hot.collect(), hot.schema)  # at most 1 / share rows
+    hot = stored(counts.where(F.col(ROWS) > hot_rows), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 def rows_of(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the hot keys."""
-    return match(df, F.broadcast(hot.select(*names(keys))), keys, "left_semi")
+    return match(df, hot.select(*names(keys)), keys, "left_semi")
 
 
 def rows_besides(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of all other keys."""
-    return match(df, F.broadcast(hot.select(*names(keys))), keys, "left_anti")
+    return match(df, hot.select(*names(keys)), keys, "left_anti")
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of the whole row (but for maps, which have none)."""
+    return F.xxhash64(*[name(f.name) for f in df.schema if "map<" not in f.dataType.simpleString()])
 
 
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -82,8 +74,3 @@ def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     half = F.pmod(F.spark_partition_id(), F.lit(2)).alias("__half")
     return df.select(*names(keys), half).distinct().select(*names(keys))
-
-
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most so many rows; stops counting right after."""
-    return df.limit(rows + 1).count() <= rows

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators count on: adaptive execution splits skewed join partitions,
 # sizes shuffles and drops branches that turn out empty.
@@ -22,9 +22,9 @@ def sized_for(input_bytes: int) -> dict[str, str]:
     """Settings for a job that reads and shuffles about so many bytes.
 
     Adaptive execution merges small shuffle partitions but never makes more of them, so the
-    number to start from has to fit the input: half a gigabyte each, at most 50,000.
+    number to start from has to fit the input: half a gigabyte each.
     """
-    start = min(max(input_bytes // (512 << 20), 200), 50_000)
+    start = max(input_bytes // (512 << 20), 200)
     return {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(start),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
@@ -50,3 +50,11 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="tidemark-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared folder and read from there: what follows does not run it
+    again, and survives lost executors."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
