@@ -76,6 +76,7 @@ def main() -> None:
             QUERIES[name](spark, directory).write.format("noop").mode("overwrite").save()
             seconds.append(time.perf_counter() - start)
         times[name] = round(statistics.median(seconds[1:]), 3)
+        print(name, times[name], file=sys.stderr, flush=True)
     print(
         json.dumps(
             {

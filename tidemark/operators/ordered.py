@@ -19,6 +19,9 @@ from tidemark.operators.skew import HOT_ROWS, ROWS, hot_keys, match, row_hash, r
 from tidemark.session import stored
 
 SLICE = "__slice"
+# No slice is planned smaller than this: with tiny limits, as in tests, a task per few rows
+# would cost more to start than to run.
+LEAST_SLICE = 200
 
 
 class KeyedOrder:
@@ -43,7 +46,7 @@ class KeyedOrder:
         self.slices = None
         if self.hot is not None:
             rows = self.hot.agg(F.sum(ROWS)).first()[0]
-            self.slices = -(-rows // hot_rows) + 1
+            self.slices = -(-rows // max(hot_rows, LEAST_SLICE)) + 1
         self.sliced_at_all = self.hot is not None or (not self.keys and hot_rows is not None)
 
     def sliced(self, df: DataFrame) -> DataFrame:
