@@ -21,7 +21,7 @@ from tidemark.session import stored
 SLICE = "__slice"
 # No slice is planned smaller than this: with tiny limits, as in tests, a task per few rows
 # would cost more to start than to run.
-LEAST_SLICE = 200
+LEAST_SLICE = 1000
 
 
 class KeyedOrder:

@@ -188,8 +188,11 @@ def gen_order_details(
     )
 
 
-def price_details(details: DataFrame, products: DataFrame, hot_rows: int | None = 1_000_000) -> DataFrame:
-    """Detail rows with the price that was valid when they were ordered."""
+def price_details(details: DataFrame, products: DataFrame, hot_rows: int | None = None) -> DataFrame:
+    """Detail rows with the price that was valid when they were ordered.
+
+    Generated orders draw their products evenly; give ``hot_rows`` for details that do not.
+    """
     versions = products.select(
         "product_nr", F.col("modified_at").alias("valid_from"), "price", "priceWithoutVAT"
     )
@@ -215,7 +218,7 @@ def order_rollup(priced: DataFrame, nest: bool = False) -> DataFrame:
     )
 
 
-def build_orders(details: DataFrame, products: DataFrame, hot_rows: int | None = 1_000_000) -> DataFrame:
+def build_orders(details: DataFrame, products: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """Nested order documents. An array holds the details of one order, nothing more."""
     return order_rollup(price_details(details, products, hot_rows), nest=True)
 

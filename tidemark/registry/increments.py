@@ -291,12 +291,13 @@ def upsert(spark, d):
 @query(
     "append_history",
     """select user_id, ts, value, cast(null as varchar) as event_type from events where event_type in ('view', 'click')
-    union all select user_id, ts, value, event_type from events where event_type = 'purchase'""",
+    union all select user_id, ts, value, event_type from events
+        where event_type is null or event_type not in ('view', 'click')""",
 )
 def append_history(spark, d):
     events = table(spark, d, "events")
     first = events.where("event_type in ('view', 'click')").select("user_id", "ts", "value")
-    second = events.where("event_type = 'purchase'").select("user_id", "ts", "value", "event_type")
+    second = events.where("event_type is null or event_type not in ('view', 'click')").select("user_id", "ts", "value", "event_type")
     return merge.append_history(first, second)
 
 
@@ -402,13 +403,13 @@ def document_prune_row_number(spark, d):
 @query(
     "scd1_with_delete_feed",
     """select user_id, event_type, ts, value, cast(null as varchar) as operation from (
-        select * from events where event_type <> 'view'
+        select * from events
         qualify row_number() over (partition by user_id order by ts desc) = 1)
     where event_type <> 'error'""",
 )
 def scd1_with_delete_feed(spark, d):
     """Live and delete rows of two loads; error events play the delete feed."""
-    events = table(spark, d, "events").select("user_id", "event_type", "ts", "value").where("event_type <> 'view'")
+    events = table(spark, d, "events").select("user_id", "event_type", "ts", "value")
     live = events.where("event_type <> 'error'")
     gone = events.where("event_type = 'error'").select("user_id", "ts", F.lit("D").alias("operation"))
     target = None
@@ -417,13 +418,13 @@ def scd1_with_delete_feed(spark, d):
     return target
 
 
-TOTALS = "select o_custkey as c_custkey, count(*) as orders from orders where o_totalprice > 200000 group by 1"
+TOTALS = "select o_custkey as c_custkey, count(*) as orders from orders group by 1"
 
 
 def customer_totals(spark, d):
     customer = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
     totals = (
-        table(spark, d, "orders").where("o_totalprice > 200000")
+        table(spark, d, "orders")
         .groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("orders"))
     )
     return customer, totals
@@ -575,19 +576,19 @@ def harmonize_master(spark, d):
     """select p_partkey as Account, p_brand as Chart, s_suppkey as Company, text_name as Account_Text,
         timestamp '2024-02-01' as Ingested_At, 'D80_' || p_type as Source_ID
     from part
-    left join (select distinct l_partkey, l_suppkey as s_suppkey from lineitem where l_returnflag = 'A') on p_partkey = l_partkey
-    left join (select p_partkey as tk, p_brand as tb, upper(p_name) as text_name from part where p_size > 20)
+    left join (select distinct l_partkey, l_suppkey as s_suppkey from lineitem) on p_partkey = l_partkey
+    left join (select p_partkey as tk, p_brand as tb, upper(p_name) as text_name from part)
         on p_partkey = tk and p_brand = tb""",
 )
 def harmonize_master3(spark, d):
     part = table(spark, d, "part")
     account = Feed(part, {"p_partkey": "Account", "p_brand": "Chart", "p_type": "Client"})
     company = Feed(
-        table(spark, d, "lineitem").where("l_returnflag = 'A'").select("l_partkey", "l_suppkey").distinct(),
+        table(spark, d, "lineitem").select("l_partkey", "l_suppkey").distinct(),
         {"l_partkey": "Account", "l_suppkey": "Company"},
     )
     text = Feed(
-        part.where("p_size > 20").withColumn("p_name", F.upper("p_name")),
+        part.withColumn("p_name", F.upper("p_name")),
         {"p_partkey": "Account", "p_brand": "Chart", "p_name": "Account_Text"},
     )
     return harmonize.harmonize_master3(

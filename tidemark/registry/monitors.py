@@ -22,7 +22,7 @@ def judged(source, metric, by="", sensitivity=3, direction="both"):
 
 ALL_DAYS = """
     days as (select unnest(generate_series(a, b, interval 1 day)) as bucket from (
-        select date_trunc('day', min(ts)) as a, date_trunc('day', max(ts)) as b from events where event_type = 'purchase'))
+        select date_trunc('day', min(ts)) as a, date_trunc('day', max(ts)) as b from events))
 """
 
 
@@ -30,26 +30,26 @@ def rounded(df, *extra):
     return df.withColumns({c: F.round(c, 6) for c in ("training_avg", "training_stddev", *extra)})
 
 
-def purchases(spark, d):
-    return table(spark, d, "events").where("event_type = 'purchase'")
+def events(spark, d):
+    return table(spark, d, "events")
 
 
 @query(
     "volume_anomalies",
     f"""with {ALL_DAYS}, counts as (
-        select date_trunc('day', ts) as bucket, count(*) as n from events where event_type = 'purchase' group by 1),
+        select date_trunc('day', ts) as bucket, count(*) as n from events group by 1),
     filled as (select cast(bucket as timestamp) as bucket, coalesce(n, 0) as row_count from days left join counts using (bucket))
     {judged('filled', 'row_count', sensitivity=2)}""",
 )
 def volume_anomalies(spark, d):
-    found = rounded(quality.volume_anomalies(purchases(spark, d), "ts", sensitivity=2))
+    found = rounded(quality.volume_anomalies(events(spark, d), "ts", sensitivity=2))
     return found.withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
 
 
 @query(
     "freshness_anomalies",
     f"""with {ALL_DAYS}, latest as (
-        select date_trunc('day', ts) as bucket, max(ts) as latest from events where event_type = 'purchase' group by 1),
+        select date_trunc('day', ts) as bucket, max(ts) as latest from events group by 1),
     filled as (
         select cast(bucket as timestamp) as bucket, last_value(latest ignore nulls) over (order by bucket
             rows between unbounded preceding and current row) as latest
@@ -59,7 +59,7 @@ def volume_anomalies(spark, d):
     {judged('delays', 'delay_seconds', sensitivity=2, direction='spike')}""",
 )
 def freshness_anomalies(spark, d):
-    found = rounded(quality.freshness_anomalies(purchases(spark, d), "ts", sensitivity=2))
+    found = rounded(quality.freshness_anomalies(events(spark, d), "ts", sensitivity=2))
     return found.withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
 
 

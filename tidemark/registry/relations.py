@@ -9,7 +9,6 @@ from tidemark.operators.history import range_join_validity, with_version_end
 from tidemark.plans import harmonize, reports, sales
 from tidemark.registry.base import LATEST_LINES, latest_lines, money, query, stored_lines, table
 
-BIG_ORDERS = "o_totalprice > 200000"
 
 
 @query(
@@ -118,25 +117,21 @@ def header_detail_join(spark, d):
 @query(
     "master_left_join",
     """select c_custkey, c_name, o_orderkey, o_totalprice from customer
-    left join (select * from orders where o_totalprice > 200000) on c_custkey = o_custkey""",
+    left join orders on c_custkey = o_custkey""",
 )
 def master_left_join(spark, d):
-    orders = table(spark, d, "orders").where(BIG_ORDERS).select(
-        F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice"
-    )
+    orders = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice")
     return joins.left_join_many(table(spark, d, "customer").select("c_custkey", "c_name"), orders, ["c_custkey"])
 
 
 @query(
     "left_join_hot_keys",
     """select n_nationkey, n_name, c_custkey, c_acctbal from nation
-    left join (select * from customer where c_mktsegment <> 'BUILDING') on n_nationkey = c_nationkey""",
+    left join customer on n_nationkey = c_nationkey""",
 )
 def left_join_hot_keys(spark, d):
     """The right side holds so many rows per nation that each nation counts as hot."""
-    customers = table(spark, d, "customer").where("c_mktsegment <> 'BUILDING'").select(
-        F.col("c_nationkey").alias("n_nationkey"), "c_custkey", "c_acctbal"
-    )
+    customers = table(spark, d, "customer").select(F.col("c_nationkey").alias("n_nationkey"), "c_custkey", "c_acctbal")
     return joins.left_join_many(table(spark, d, "nation").select("n_nationkey", "n_name"), customers, ["n_nationkey"], hot_rows=6)
 
 

@@ -85,11 +85,12 @@ def stream_microbatch_append(spark, d):
     orders = table(spark, d, "orders").select(
         F.concat(F.lit("O"), "o_orderkey").alias("order_nr"), "o_orderstatus", "o_totalprice"
     )
-    statuses = ["F", "O", "P"]
+    rest = "o_orderstatus is null or o_orderstatus not in ('F', 'O')"
+    batches = ["o_orderstatus = 'F'", "o_orderstatus = 'O'", rest]
     ingest.stream_microbatch_append(
-        lambda batch: orders.where(F.col("o_orderstatus") == statuses[batch]),
+        lambda batch: orders.where(batches[batch]),
         lambda df: io.write_append(df, target),
-        number_of_batches=len(statuses),
+        number_of_batches=len(batches),
     )
     return io.read_df(spark, target)
 
