@@ -76,6 +76,27 @@ def test_snapshot_table(spark):
     assert [r["version"] for r in table.history().orderBy("version").collect()] == [0, 1]
 
 
+def test_snapshot_table_keeps_its_buckets_and_keys(spark):
+    root, schema = shared_dir(spark, "snap"), "id int, v string"
+    SnapshotTable(spark, root, ["id"], buckets=8).merge(spark.createDataFrame([(i, "a") for i in range(100)], schema))
+    again = SnapshotTable(spark, root, ["id"])  # another number of buckets by default
+    again.merge(spark.createDataFrame([(i, "b") for i in range(10)], schema))
+    assert again.read().count() == again.read().select("id").distinct().count() == 100
+    assert again.read().where("v = 'b'").count() == 10
+    with pytest.raises(ValueError, match="keyed by"):
+        SnapshotTable(spark, root, ["v"]).read()
+
+
+def test_snapshot_table_refuses_a_second_writer(spark):
+    root, schema = shared_dir(spark, "snap"), "id int, v string"
+    one, two = (SnapshotTable(spark, root, ["id"], buckets=2) for _ in range(2))
+    one.merge(spark.createDataFrame([(1, "a")], schema))
+    seen = two._committed()
+    one.merge(spark.createDataFrame([(2, "b")], schema))
+    with pytest.raises(RuntimeError, match="another writer"):
+        two._commit(seen, spark.createDataFrame([(3, "c")], schema), [0, 1], None, "MERGE")
+
+
 def test_snapshot_table_purges_and_empties(spark):
     table = SnapshotTable(spark, shared_dir(spark, "snap"), ["id"], buckets=2)
     schema = "id int, v string, gone string"

@@ -130,13 +130,15 @@ def _all_buckets(df: DataFrame, bucket: str) -> DataFrame:
 
 
 def _judged(df, by, metric, days_back, sensitivity, direction):
-    """Compare with mean and deviation of the ``days_back`` buckets before.
+    """Compare with mean and deviation of the buckets that began in the ``days_back`` days
+    before, however many of them had rows.
 
     Works on one row per bucket and metric. Two earlier buckets are the least to judge by.
     """
     if direction not in DIRECTIONS:
         raise ValueError(f"direction must be one of {DIRECTIONS}")
-    w = Window.partitionBy(*names(by)).orderBy("bucket").rowsBetween(-days_back, -1)
+    seconds = F.unix_seconds(F.col("bucket").cast("timestamp"))
+    w = Window.partitionBy(*names(by)).orderBy(seconds).rangeBetween(-days_back * 86_400, -1)
     value, mean, deviation = name(metric), F.col("training_avg"), F.col("training_stddev")
     over = value > mean + F.lit(sensitivity) * deviation
     under = value < mean - F.lit(sensitivity) * deviation

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tidemark.plans import quality, tags
 from tidemark.registry.base import query, table
 
-WINDOW = "rows between 14 preceding and 1 preceding"
+WINDOW = "range between interval 14 day preceding and interval 1 second preceding"
 
 
 def judged(source, metric, by="", sensitivity=3, direction="both"):

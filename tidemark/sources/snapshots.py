@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.keys import key_bucket
 from tidemark.operators import merge as merges
+from tidemark.session import stored
 
 BUCKET = "__bucket"
 COMMIT_SCHEMA = "version long, bucket int, folder string, operation string, operationParameters string"
@@ -41,7 +42,9 @@ class SnapshotTable:
     """A keyed table in ``buckets`` hash buckets below ``root``.
 
     Choose ``buckets`` so that one bucket is what a few tasks write in a minute; a merge
-    rewrites whole buckets. One writer at a time.
+    rewrites whole buckets. The number is stored with the first commit and holds from then
+    on, whatever a later caller asks for; other keys than the stored ones are refused. One
+    writer at a time: a commit that meets another of the same version fails.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int = 64):
@@ -94,6 +97,8 @@ class SnapshotTable:
             rows = merges.reject_duplicate_keys(source, self.keys)
             rows = merges.delete_flagged(rows, purge) if purge else rows
             return self._commit(committed, rows, range(self.buckets), token, "CREATE TABLE AS SELECT")
+        # Stored first: what is written must be what the touched buckets were taken from.
+        source = stored(source, "merge-source")
         # At most ``buckets`` numbers reach the driver.
         touched = [r[0] for r in source.select(key_bucket(self.keys, self.buckets)).distinct().collect()]
         live = {b: folder for b, folder in committed.live.items() if b in set(touched)}
@@ -111,15 +116,22 @@ class SnapshotTable:
         if touched:
             rows = df.withColumn(BUCKET, key_bucket(self.keys, self.buckets))
             rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{self.root}/data/{folder}")
-            stored = self.spark.read.schema(rows.schema).parquet(f"{self.root}/data/{folder}")
-            written = {r[0] for r in stored.select(BUCKET).distinct().collect()}
-        parameters = json.dumps({"token": token, "schema": df.schema.jsonValue()})
+            found = self.spark.read.schema(rows.schema).parquet(f"{self.root}/data/{folder}")
+            written = {r[0] for r in found.select(BUCKET).distinct().collect()}
+            if not written <= set(touched):
+                raise RuntimeError(f"rows of other buckets than those read were written: {sorted(written - set(touched))}")
+        parameters = json.dumps(
+            {"token": token, "schema": df.schema.jsonValue(), "buckets": self.buckets, "keys": self.keys}
+        )
         commits = [(version, ALL_BUCKETS, folder, operation, parameters)]
         commits += [(version, b, folder if b in written else None, None, None) for b in touched]
         (
             self.spark.createDataFrame(commits, COMMIT_SCHEMA)
             .coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
         )
+        heads = self._commits().where((F.col("version") == version) & (F.col("bucket") == ALL_BUCKETS)).count()
+        if heads > 1:
+            raise RuntimeError(f"another writer committed version {version} of {self.root} at the same time")
         return version
 
     def _commits(self) -> DataFrame:
@@ -137,7 +149,11 @@ class SnapshotTable:
         head = rows.pop(ALL_BUCKETS, None)
         if head is None:
             return _Committed(-1, None, {}, False)
-        schema = T.StructType.fromJson(json.loads(head["parameters"])["schema"])
+        parameters = json.loads(head["parameters"])
+        schema = T.StructType.fromJson(parameters["schema"])
+        self.buckets = parameters.get("buckets", self.buckets)
+        if parameters.get("keys", self.keys) != self.keys:
+            raise ValueError(f"{self.root} is keyed by {parameters['keys']}, not by {self.keys}")
         live = {b: r["folder"] for b, r in rows.items() if r["folder"]}
         return _Committed(head["version"], schema, live, head["done"])
 
