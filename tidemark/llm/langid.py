@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain
 
@@ -28,9 +28,9 @@ BUCKETS = 1 << 17
 SEGMENT = 64
 EPOCHS = 3
 BATCH = 64
-CACHED = 400_000
-CELLS = 1 << 20
-TOGETHER = 2048
+CACHED = 200_000
+CELLS = 1 << 19
+TOGETHER = 1024
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -222,21 +222,25 @@ class Tagger:
             self.rows[n - len(new) : n] = _emissions(self.model, flat, begins)
         return self.rows[ids]
 
-    def marginals(self, texts: list[list[str]]) -> list[np.ndarray]:
-        """Per text the marginals of its words; texts of like length go together."""
-        out: list[np.ndarray] = [np.zeros((0, len(self.model.languages)), np.float32)] * len(texts)
-        order = sorted((i for i, t in enumerate(texts) if t), key=lambda i: len(texts[i]))
+    def marginals(self, texts: Iterable[list[str]]) -> list[np.ndarray]:
+        """Per text the marginals of its words; texts of like length go together.
+
+        Words become scores text by text, so only one text at a time is held as words.
+        """
+        scored = [self.scores(t) for t in texts]
+        out: list[np.ndarray] = [np.zeros((0, len(self.model.languages)), np.float32)] * len(scored)
+        order = sorted((i for i, s in enumerate(scored) if len(s)), key=lambda i: len(scored[i]))
         while order:
-            longest = len(texts[order[-1]])
+            longest = len(scored[order[-1]])
             take = max(1, CELLS // longest)
             group, order = order[-take:], order[:-take]
-            lengths = np.array([len(texts[i]) for i in group])
+            lengths = np.array([len(scored[i]) for i in group])
             scores = np.zeros((len(group), longest, len(self.model.languages)), np.float32)
             for r, i in enumerate(group):
-                scores[r, : lengths[r]] = self.scores(texts[i])
+                scores[r, : lengths[r]] = scored[i]
             gamma = forward_backward(scores, lengths, self.model)
             for r, i in enumerate(group):
-                out[i] = gamma[r, : lengths[r]]
+                out[i] = gamma[r, : lengths[r]].copy()
         return out
 
 
@@ -282,10 +286,8 @@ def identify(df: DataFrame, model: Model, text: str = "text", out: str = "langua
         for texts in batches:
             found = []
             for i in range(0, len(texts), TOGETHER):
-                words = [words_of(t) for t in texts.iloc[i : i + TOGETHER]]
-                if not model.languages:
-                    words = [[] for _ in words]
-                for m in tagger.marginals(words):
+                some = texts.iloc[i : i + TOGETHER]
+                for m in tagger.marginals(words_of(t) if model.languages else [] for t in some):
                     if not len(m):
                         found.append((UNKNOWN, 0.0, []))
                         continue
