@@ -133,3 +133,37 @@ def test_near_copies_repeats_and_columns(spark):
     rows = out.collect()
     assert sorted(r.doc_id for r in rows) == sorted({r.doc_id for r in simhash.drop_near_copies(df).collect()})
     assert simhash.drop_near_copies(odd.empty(spark)).count() == 0
+
+
+def kept_by_brute_force(texts):
+    """Positions of the first of each group that chains of pairs at 0.8 or more connect."""
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(texts)):
+        for b in range(a + 1, len(texts)):
+            if jaccard(texts[a], texts[b]) >= 0.8:
+                x, y = sorted((find(a), find(b)))
+                parent[y] = x
+    return [i for i in range(len(texts)) if find(i) == i]
+
+
+def test_near_copies_with_another_tail_or_block(spark):
+    """Many words differ, yet four fifths of the shingles are the same."""
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 8))) for _ in range(5000)]
+    texts = []
+    for n in (30, 100, 100, 300, 1000) * 4:
+        base = rng.choices(vocabulary, k=n)
+        texts.append(" ".join(base))
+        k = max(2, n // 11)
+        texts.append(" ".join([*base[:-k], *rng.choices(vocabulary, k=k)]))
+        at = rng.randrange(n - k)
+        texts.append(" ".join([*base[:at], *rng.choices(vocabulary, k=max(1, k - 5)), *base[at + max(1, k - 5) :]]))
+    want = kept_by_brute_force(texts)
+    assert len(want) < len(texts) - 25
+    assert sorted(r.doc_id for r in simhash.drop_near_copies(odd.documents(spark, texts)).collect()) == want

@@ -150,104 +150,136 @@ def links(fps: DataFrame, radius: int = 4) -> DataFrame:
     ).distinct()
 
 
-# Near copies. Texts whose shingles are 80 % the same still differ in some ten of 64 bits of a
-# SimHash of shingles, too many for a ball. Their sets of words are much closer: at four bits,
-# four fingerprints of the word set find more than 99 % of them (measured; see the README).
-# What they find is then compared shingle by shingle.
-VIEWS = 4
+# Near copies. In any order of all shingles, two sets that are at least SIMILARITY alike have
+# one in common among the first of each: of n shingles the first n - ceil(SIMILARITY * n) + 1.
+# So texts meet by these, and no pair is missed. With frequent shingles last few texts meet
+# that are not alike; which order it is changes no result.
 SHINGLE = 5
 SIMILARITY = 0.8
-NEXT = 8
+# Shingles known to be frequent, at most; and how many are looked at together.
+FREQUENT = 200_000
+COUNTED = 1 << 21
+# Groups of more rows are dealt out over salts, so many rows each.
+SALTED = 512
+_TINY = 1e-9  # what rounding may do to a share
 
 
-def word_fingerprints(text: Column, views: int = VIEWS) -> Column:
-    """SimHashes of the set of words of the whole text, one per view."""
-
-    @F.pandas_udf("array<bigint>")
-    def of(texts: pd.Series) -> pd.Series:
-        def one(t: str | None) -> np.ndarray:
-            words = set((t or "").encode("utf-8", "surrogatepass").lower().split())
-            digest = xxhash.xxh64_intdigest
-            return bit_majority(iter([np.array([digest(w, SEED) for w in words], np.uint64)] if words else []), views)
-
-        return pd.Series([one(t) for t in texts])
-
-    return of(text)
+def _distinct_shingles(text: str | None, shingle: int) -> np.ndarray:
+    """The distinct shingles of the whole text as sorted hashes; texts without words have one
+    of their own, so that they are copies of each other."""
+    found = list(shingle_hashes(text, shingle)) or [np.array([xxhash.xxh64_intdigest(b"", SEED)], np.uint64)]
+    return np.unique(np.concatenate(found).view(np.int64))
 
 
 def shingle_sets(text: Column, shingle: int = SHINGLE) -> Column:
-    """The distinct shingles of the whole text, as hashes of 32 bits."""
+    """The distinct shingles of the whole text, as hashes of 64 bits."""
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("array<bigint>")
     def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([
-            np.unique(np.concatenate([np.zeros(0, np.int32), *(h.astype(np.uint32).view(np.int32) for h in shingle_hashes(t, shingle))]))
-            for t in texts
-        ])
+        return pd.Series([_distinct_shingles(t, shingle) for t in texts])
 
     return of(text)
 
 
-def _pairs(radius: int):
-    """Pairs of nodes within the radius, of rows sorted by (variant, fp): each with the NEXT
-    before it at the same variant. Where there are more, the pair with the row right before
-    is marked as crowded: it stands for those that were not compared."""
+def frequent_shingles(texts: DataFrame, shingle: int = SHINGLE) -> np.ndarray:
+    """The shingles that most texts have, at most FREQUENT, the most frequent last.
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ("variant", "fp", "node")
-        held = {c: np.zeros(0, np.int64) for c in names}
-        for batch in batches:
-            old = len(held["fp"])
-            held = {c: np.concatenate([held[c], batch[c].to_numpy(np.int64)]) for c in names}
-            variant, fp, node = (held[c] for c in names)
-            for lag in range(1, NEXT + 1):
-                at = np.flatnonzero(variant[lag:] == variant[:-lag]) + lag
-                at = at[at >= old]
-                if not len(at):
-                    break
-                at = at[np.bitwise_count((fp[at] ^ fp[at - lag]).view(np.uint64)) <= radius]
-                crowded = np.zeros(len(at), bool)
-                if lag == 1:
-                    far = at - NEXT - 1
-                    crowded = (far >= 0) & (variant[at] == variant[np.maximum(far, 0)])
-                a, b = node[at], node[at - lag]
-                yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "crowded": crowded})
-            held = {c: held[c][-NEXT - 1 :] for c in names}
+    Only those that come twice among COUNTED shingles of a task are counted, so the counts
+    are lower bounds: they serve to order shingles.
+    """
 
-    return scan
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def repeated(held: list[np.ndarray]) -> pd.DataFrame:
+            tokens, n = np.unique(np.concatenate(held), return_counts=True)
+            return pd.DataFrame({"token": tokens[n > 1], "n": n[n > 1]})
 
+        held, size = [], 0
+        for batch in batches:
+            for text in batch["text"]:
+                held.append(_distinct_shingles(text, shingle))
+                size += len(held[-1])
+                if size >= COUNTED:
+                    yield repeated(held)
+                    held, size = [], 0
+        if held:
+            yield repeated(held)
+
+    n = texts.select("text").mapInPandas(counted, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+    most = n.where("n > 8").orderBy(F.desc("n"), "token").limit(FREQUENT).collect()
+    return np.array([r["token"] for r in reversed(most)], np.int64)
+
+
+def _meetings(texts: DataFrame, similarity: float, shingle: int = SHINGLE) -> DataFrame:
+    """Rows ``token``, ``node``, ``n``, ``rest``, ``m``: the first shingles of each node that
+    ``m`` > 1 nodes have among their first; ``n`` shingles in all, ``rest`` from this one on."""
+    frequent = frequent_shingles(texts, shingle)
+    by_token = np.argsort(frequent)
+    known = frequent[by_token]
+
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows: list[tuple] = []
+            size = 0
+            for node, text in zip(batch["node"], batch["text"]):
+                tokens = _distinct_shingles(text, shingle)
+                n = len(tokens)
+                rank = np.zeros(n, np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
+                    rank = np.where(known[at] == tokens, by_token[at] + 1, 0)
+                k = n - int(np.ceil(similarity * n - _TINY)) + 1
+                order = np.lexsort((tokens, rank))[:k]
+                rows.append((tokens[order], np.full(len(order), node), np.full(len(order), n), n - np.arange(len(order))))
+                size += len(order)
+                if size >= CHUNK:
+                    yield pd.DataFrame(dict(zip(("token", "node", "n", "rest"), map(np.concatenate, zip(*rows)))))
+                    rows, size = [], 0
+            if rows:
+                yield pd.DataFrame(dict(zip(("token", "node", "n", "rest"), map(np.concatenate, zip(*rows)))))
+
+    every = texts.select("node", "text").mapInPandas(first, "token bigint, node bigint, n int, rest int")
+    return every.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("m > 1")
+
+
+def _may_be_alike(similarity: float) -> Column:
+    """Of rows with the columns of two nodes that meet at their first common shingle: sizes
+    and what comes after it leave room for the similarity."""
+    sizes = F.least("n", "other_n") >= similarity * F.greatest("n", "other_n") - _TINY
+    return sizes & (F.least("rest", "other_rest") >= similarity / (1 + similarity) * (F.col("n") + F.col("other_n")) - _TINY)
+
+
+def _pairs(met: DataFrame, similarity: float, *apart: str) -> DataFrame:
+    """All distinct pairs ``a`` < ``b`` that meet and may be alike; with ``apart`` only those
+    that differ in that column."""
+    salts = F.ceil(F.col("m") / SALTED).cast("int")
+    left = met.withColumn("salt", F.pmod(F.xxhash64("node"), salts).cast("int"))
+    right = met.select(
+        "token", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"),
+        *[F.col(c).alias(f"other_{c}") for c in ("node", "n", "rest", *apart)],
+    )
+    both = left.join(right, ["token", "salt"]).where(_may_be_alike(similarity) & (F.col("node") < F.col("other_node")))
+    for c in apart:
+        both = both.where(F.col(c) != F.col(f"other_{c}"))
+    return both.select(F.col("node").alias("a"), F.col("other_node").alias("b")).distinct()
 
-def near_copy_links(texts: DataFrame, radius: int = 4, similarity: float = SIMILARITY, views: int = VIEWS) -> DataFrame:
-    """Links ``a``, ``b`` between the ``node`` of different ``text`` that are near copies.
 
-    The balls of both halves of every view meet as in ``with_neighbours``; pairs within the
-    radius are compared by their exact shingle sets. Around a place where more than NEXT meet,
-    not every pair is compared; there a pair of neighbours is also linked if it may have a
-    near copy in common, which needs twice the distance: 0.6 for a similarity of 0.8.
-    """
-    fps = stored(texts.select("node", word_fingerprints(F.col("text"), views).alias("fps")), "copies")
-    each = fps.select("node", F.posexplode_outer("fps").alias("view", "fp"))
-    halves = F.explode(F.array(*[
-        F.struct(
-            F.shiftrightunsigned("fp", 32 * h).bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(
-                F.shiftleft((F.col("view") * 2 + h).cast("bigint"), 32)).alias("half"),
-        )
-        for h in (0, 1)
-    ]))
-    emitted = _variants(
-        each.select("node", "fp", halves.alias("h")), F.col("h.half"), 32, -(-(radius // 2) // 2), "node", "fp"
-    )
-    met = emitted.repartition("variant").sortWithinPartitions("variant", "fp", "node")
-    pairs = met.mapInPandas(_pairs(radius), "a bigint, b bigint, crowded boolean")
-    pairs = stored(pairs.groupBy("a", "b").agg(F.max("crowded").alias("crowded")), "copies")
+def _alike(texts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """Those of the pairs ``a``, ``b`` whose exact shingle sets are as similar as that."""
+    pairs = stored(pairs, "copies")
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = stored(texts.join(nodes, "node", "left_semi").select("node", shingle_sets(F.col("text")).alias("s")), "copies")
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
-    either_has = F.size("sa") + F.size("sb") - common  # none in two texts without words: copies
-    least = F.when(F.col("crowded"), F.lit(2 * similarity - 1)).otherwise(F.lit(similarity))
-    return both.where(common >= least * either_has).select("a", "b")
+    either_has = F.size("sa") + F.size("sb") - common
+    return stored(both.where(common >= F.lit(similarity) * either_has).select("a", "b"), "copies")
+
+
+def near_copy_links(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links ``a``, ``b`` between the ``node`` of different ``text`` whose shingle sets are at
+    least ``similarity`` alike."""
+    met = stored(_meetings(texts, similarity), "copies")
+    return _alike(texts, _pairs(met, similarity), similarity)
 
 
 def drop_near_copies(
