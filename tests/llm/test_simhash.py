@@ -1,4 +1,5 @@
 import random
+from itertools import combinations
 
 import numpy as np
 import odd
@@ -167,3 +168,20 @@ def test_near_copies_with_another_tail_or_block(spark):
     want = kept_by_brute_force(texts)
     assert len(want) < len(texts) - 25
     assert sorted(r.doc_id for r in simhash.drop_near_copies(odd.documents(spark, texts)).collect()) == want
+
+
+def test_near_copies_in_a_crowd_over_one_vocabulary(spark):
+    """Texts with the same word set: copies far from each other are found, likeness of 0.6 to
+    0.8 between neighbours links none."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(12)]
+    rows = [[*words, *rng.choices(words, k=88)] for _ in range(30)]
+    texts = [" ".join(r) for r in rows]
+    texts += [" ".join([*r[:-2], "w0", "w1"]) for r in rows]  # 30 rows after what it is a copy of
+    page = [*words, *rng.choices(words, k=88)]
+    others = {i: iter([w for w in words if w != page[i]]) for i in range(5, 100, 10)}
+    for at in list(combinations(others, 2))[:30]:  # two words of their own: alike by 0.65 to 0.75
+        texts.append(" ".join(next(others[i]) if i in at else w for i, w in enumerate(page)))
+    want = kept_by_brute_force(texts)
+    assert all(i not in want for i in range(30, 60)) and sum(i >= 60 for i in want) == 30
+    assert sorted(r.doc_id for r in simhash.drop_near_copies(odd.documents(spark, texts)).collect()) == want

@@ -159,6 +159,8 @@ SIMILARITY = 0.8
 # Shingles known to be frequent, at most; and how many are looked at together.
 FREQUENT = 200_000
 COUNTED = 1 << 21
+# Groups that are compared each with each at once.
+FEW = 9
 # Groups of more rows are dealt out over salts, so many rows each.
 SALTED = 512
 _TINY = 1e-9  # what rounding may do to a share
@@ -277,9 +279,28 @@ def _alike(texts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
 
 def near_copy_links(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Links ``a``, ``b`` between the ``node`` of different ``text`` whose shingle sets are at
-    least ``similarity`` alike."""
+    least ``similarity`` alike: not all pairs, but enough to connect all that are.
+
+    Up to FEW that meet are compared each with each. In larger crowds everyone is first
+    compared with the two before it; then all pairs that this has not connected are compared.
+    """
     met = stored(_meetings(texts, similarity), "copies")
-    return _alike(texts, _pairs(met, similarity), similarity)
+    crowds = met.where(F.col("m") > FEW)
+    in_order = Window.partitionBy("token").orderBy("n", "node")
+    before = [
+        crowds.select("node", "n", "rest", *[F.lag(c, k).over(in_order).alias(f"other_{c}") for c in ("node", "n", "rest")])
+        .where(F.col("other_node").isNotNull() & _may_be_alike(similarity))
+        .select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b"))
+        for k in (1, 2)
+    ]
+    nearest = before[0].unionByName(before[1]).unionByName(_pairs(met.where(F.col("m") <= FEW), similarity))
+    links = _alike(texts, nearest.distinct(), similarity)
+    labels = components(links, "copies")
+    labelled = crowds.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    of_token = Window.partitionBy("token")
+    apart = labelled.withColumn("several", F.min("label").over(of_token) < F.max("label").over(of_token)).where("several")
+    rest = _pairs(stored(apart.drop("several"), "copies"), similarity, "label")
+    return links.unionByName(_alike(texts, rest, similarity))
 
 
 def drop_near_copies(
