@@ -2,6 +2,7 @@ import struct
 import zlib
 from collections import defaultdict
 
+import corpus_pipeline
 import odd
 import public_tokenizers
 from hypothesis import given, settings
@@ -121,3 +122,17 @@ def test_best_fit_places_all(counts):
     assert spread(bins) == counts and all(b.free == 50 - sum(s * k for s, k in b.parts) >= 0 for b in bins)
     least = max(-(-sum(s * n for s, n in counts.items()) // 50), sum(n for s, n in counts.items() if s > 25))
     assert sum(b.count for b in bins) <= 2 * least
+
+
+def test_added_tokens_as_the_tokenizer_gives_them(spark, tmp_path):
+    """The query and the pipeline, against the tokenizer as loaded."""
+    loaded = Tokenizer.from_file(PATH)
+    texts = ["<|endoftext|> a", "a b<|endoftext|>  <|endoftext|>\n", "<|endoftext", "plain words"]
+    odd.documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    want = {}
+    for i, t in enumerate(texts):
+        ids = loaded.encode(t, add_special_tokens=False).ids + [0]
+        want[i] = (len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)))
+    for out in (QUERIES["op7_best_fit_packing"](spark, str(tmp_path)), corpus_pipeline.pack(spark, docs, str(tmp_path))):
+        assert {r.doc_id: (r.length, r.ids_crc32) for r in out.collect()} == want

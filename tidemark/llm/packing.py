@@ -21,6 +21,7 @@ import pandas as pd
 import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tidemark.llm.base import column, stored
 
@@ -34,12 +35,18 @@ class Encoder:
     The vocabulary is that of a byte-level BPE file of ``tokenizers``. No token reaches over
     a single space or line feed between words, so texts are cut there and each chunk is
     encoded once; chunks that come again are looked up. Texts with other white space are
-    encoded whole. The table of known chunks is emptied when it has got large.
+    encoded whole. The table of known chunks is emptied when it has got large. Texts that hold
+    an added token of the file ('<|endoftext|>') are encoded by ``tokenizers`` itself, unless
+    ``special_as_text``: then it is text like any other.
     """
 
     ODD_SPACE = re.compile(r"[ \n]{2}|[^\S \n]|[\x01\x1c-\x1f]|^[ \n]|[ \n]$")
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = True):
+        with open(path, encoding="utf-8") as f:
+            added = [t["content"] for t in json.load(f).get("added_tokens", [])]
+        self.added = None if special_as_text or not added else re.compile("|".join(map(re.escape, added)))
+        self.loaded = self.added and Tokenizer.from_file(path)
         self.encoding = tiktoken.Encoding("bytes", pat_str=_PATTERN, mergeable_ranks=ranks(path), special_tokens={})
         self.known = _Chunks(self._encode)
 
@@ -48,6 +55,9 @@ class Encoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def ids(self, text: str) -> bytes:
+        if self.added and self.added.search(text):
+            ids = self.loaded.encode(text, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
         if self.ODD_SPACE.search(text):
             return self._encode(text)
         chunks = text.replace(" ", "\x01 ").replace("\n", "\x01\n\x01").split("\x01")
@@ -197,11 +207,13 @@ def cut(n: int, capacity: int) -> Iterator[tuple[int, int]]:
         start, length = start + length, capacity
 
 
-def pieces(df: DataFrame, id_column: str, text: str, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
+def pieces(
+    df: DataFrame, id_column: str, text: str, tokenizer: str, capacity: int = CAPACITY, special_as_text: bool = True
+) -> DataFrame:
     """One row per piece, with its task and its number among that task's pieces of its length."""
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(tokenizer)
+        encoder = Encoder(tokenizer, special_as_text)
         seen: dict[int, int] = defaultdict(int)
         for batch in batches:
             rows = []
@@ -223,16 +235,18 @@ def pieces(df: DataFrame, id_column: str, text: str, tokenizer: str, capacity: i
 
 
 def pack(
-    df: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str = "text", capacity: int = CAPACITY
+    df: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
+    special_as_text: bool = True,
 ) -> DataFrame:
     """One row per piece of a document: ``piece``, ``start``, ``length``, ``ids_crc32``,
     ``sequence_id``, ``offset``.
 
     A document is its token ids and id 0; null and empty texts are that id alone. Documents
     longer than ``capacity`` are cut; all others stay whole. Repeated rows and ids are
-    packed each for itself. An empty table gives no rows.
+    packed each for itself. An empty table gives no rows. With ``special_as_text`` off, added
+    tokens of the file in a text are the ids that ``tokenizers`` gives them as loaded.
     """
-    rows = stored(pieces(df, id_column, text, tokenizer, capacity), "pieces")
+    rows = stored(pieces(df, id_column, text, tokenizer, capacity, special_as_text), "pieces")
     by_task = stored(rows.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n")), "pieces")
     # One line per length: at most ``capacity`` of them.
     counts = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}

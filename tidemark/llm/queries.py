@@ -101,7 +101,7 @@ def quotation_linking(spark: SparkSession, directory: str) -> DataFrame:
 
 @query("op7_best_fit_packing")
 def best_fit_packing(spark: SparkSession, directory: str) -> DataFrame:
-    return packing.pack(table(spark, directory, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(table(spark, directory, "documents"), public_tokenizers.path("byte_bpe_50k.json"), special_as_text=False)
 
 
 @query("op8_simhash_near_dedup")
