@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.base import column, either, stored
 
-# At least twelve characters of keys and codes, one of them a digit.
-CANDIDATE = r"(?<![A-Za-z0-9+/_=\-])(?=[A-Za-z+/_=\-]*[0-9])[A-Za-z0-9+/_=\-]{12,}"
 AROUND = 80
 MAX_LABELLED = 20_000
 TREES, DEPTH, SEED = 20, 5, 7
@@ -32,20 +30,36 @@ DICTIONARY = (
     "the and for with from that this not are was der die und ein mit von den das les des une est "
     "que los las del por para con"
 ).split()
-CREDENTIAL = ("token", "secret", "password", "passwd", "pwd", "api[_-]?key", "access[_-]?key", "auth", "credential", "bearer", "private[_-]?key")
+CREDENTIAL = ("token", "secret", "password", "passwd", "pwd", "api[_-]?key", "access[_-]?key", "secret[_-]?key", "auth", "credential", "bearer", "private[_-]?key")
+# What stands right before a value that is given to the name of a credential.
+_NAMED = r"(?:" + either(CREDENTIAL) + r"[0-9_]{0,3}[\"'`]?\s{0,3}(?:[=:]|:=|=>)\s{0,3}|bearer\s{1,3})"
+# Such a value, whatever it is made of: up to the closing quotation mark, or without one up to
+# white space. Anywhere else at least twelve characters of keys and codes, one of them a digit;
+# '=' is part of them only as padding at the end.
+CANDIDATE = (
+    rf"(?i:(?<=[\"'`])(?<={_NAMED}[\"'`]))[^\"'`\n]+(?=[\"'`])"
+    rf"|(?i:(?<=[=:>\s\"'`])(?<={_NAMED}[\"'`]?))(?![=:])[^\s\"'`,;&<>]*[^\s\"'`,;&<>.):]"
+    r"|(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{12,}(?:={1,2}(?![A-Za-z0-9+/_=\-\"'`]))?"
+)
+# Keys that are known by their own shape.
+KNOWN = (
+    r"^(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{20,}|github_pat_[A-Za-z0-9_]{20,}|glpat-[A-Za-z0-9_\-]{20,}"
+    r"|xox[abeoprs]-[A-Za-z0-9\-]{10,}|[sr]k_(?:live|test)_[A-Za-z0-9]{16,}|sk-[A-Za-z0-9_\-]{20,}|AIza[A-Za-z0-9_\-]{35}"
+    r"|npm_[A-Za-z0-9]{36}|eyJ[A-Za-z0-9_\-]{10,})"
+)
 HARMLESS = ("sha1?", "sha256", "md5", "hash", "checksum", "commit", "uuid", "guid", "id", "phone", "tel", "order", "invoice", "isbn", "card")
 TEST_PATH = ("test", "tests", "spec", "example", "examples", "fixture", "fixtures", "mock", "sample", "docs?")
 
 FEATURES = (
     "f_length", "f_digits", "f_letter_digit", "f_case", "f_symbol", "f_distinct", "f_hex", "f_dictionary",
-    "f_path_test", "f_path_depth", "f_announced", "f_assigned", "f_quoted", "f_harmless", "f_words_after",
+    "f_path_test", "f_path_depth", "f_announced", "f_assigned", "f_quoted", "f_harmless", "f_words_after", "f_known",
 )
 
 
 def candidates(df: DataFrame, text: str = "text", path: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """One row per candidate: the ``keep`` columns, ``row`` (a number of the row of ``df``),
     ``nr`` within it, ``start`` (characters before it), ``candidate``, ``before`` and ``after``
-    (80 characters), ``path``.
+    (80 characters, before it at most back to the second candidate before), ``path``.
 
     Null and empty texts have none. Each repeated row has its own candidates.
     """
@@ -60,7 +74,9 @@ def candidates(df: DataFrame, text: str = "text", path: str | None = None, keep:
         *[column(k) for k in keep], "row", "path",
         F.posexplode_outer(F.transform("found", lambda c, i: F.struct(
             c.alias("candidate"), F.length(F.get("between", i)).alias("gap"),
-            F.right(F.get("between", i), F.lit(AROUND)).alias("before"),
+            F.right(F.concat(
+                F.coalesce(F.get("between", i - 1), F.lit("")), F.coalesce(F.get("found", i - 1), F.lit("")), F.get("between", i),
+            ), F.lit(AROUND)).alias("before"),
             F.substring(F.get("between", i + 1), 1, AROUND).alias("after"),
         ))).alias("nr", "c"),
     ).select(*[column(k) for k in keep], "row", "path", "nr", "c.*")
@@ -91,11 +107,12 @@ def features(found: DataFrame) -> DataFrame:
         "f_dictionary": (n - F.length(F.regexp_replace(F.lower(c), words, ""))) / n,
         "f_path_test": folder.rlike(r"(^|[/._-])" + either(TEST_PATH) + r"([/._-]|$)"),
         "f_path_depth": F.length(folder) - F.length(F.translate(folder, "/", "")),
-        "f_announced": before.rlike(either(CREDENTIAL) + r"[^a-z\n]{0,6}$"),
+        "f_announced": before.rlike(either(CREDENTIAL) + r"[^a-z\n]{0,6}$") | before.rlike(_NAMED + r"[\"'`]?$"),
         "f_assigned": before.rlike(r"[=:]\s*[\"'`]?$"),
         "f_quoted": before.rlike(r"[\"'`]$") & after.rlike(r"^[\"'`]"),
         "f_harmless": before.rlike(r"(^|[^a-z])" + either(HARMLESS) + r"[^a-z\n]{0,6}$"),
         "f_words_after": F.regexp_count(after, F.lit(r"[\p{L}]+")),
+        "f_known": c.rlike(KNOWN),
     }
     return found.withColumns({k: F.coalesce(v.cast("double"), F.lit(0.0)) for k, v in values.items()})
 
@@ -129,10 +146,23 @@ def judge(found: DataFrame, model, threshold: float = 0.5) -> DataFrame:
 
 
 def plain_label(found: DataFrame) -> Column:
-    """Labels for tables without labelled findings: 1 for a long value that is assigned to
-    the name of a credential, 0 for what no such name announces; null in between."""
+    """Labels for tables without labelled findings: 1 for a key of a well-known shape and for
+    a long value that is assigned to the name of a credential, 0 for what no such name
+    announces; null in between."""
     announced, assigned = F.col("f_announced") > 0, F.col("f_assigned") > 0
-    return F.when(announced & assigned & (F.col("f_length") >= 20), 1).when(~announced, 0)
+    sure = (F.col("f_known") > 0) | announced & assigned & (F.col("f_length") >= 20)
+    return F.when(sure, 1).when(~announced, 0)
+
+
+def _judged(found: DataFrame, labelled: DataFrame | None) -> DataFrame:
+    """``found`` as a forest judges it that ``labelled`` trained. Without that, plain labels
+    train it, and a key of a well-known shape is a secret for certain."""
+    if labelled is not None:
+        return judge(found, train(labelled))
+    known = found.withColumn("known", F.col("f_known") > 0)
+    judged = judge(known, train(found.withColumn("label", plain_label(found))))
+    score = F.when(F.col("known"), F.lit(1.0)).otherwise(F.col("score"))
+    return judged.withColumns({"score": score, "is_secret": F.col("known") | F.col("is_secret")}).drop("known")
 
 
 def scan_secrets(
@@ -147,8 +177,7 @@ def scan_secrets(
     """
     found = stored(features(candidates(df.select(column(id_column).alias("id"), column(text).alias("text"), *(
         [column(path).alias("where")] if path else [])), "text", "where" if path else None, ["id"])), "candidates")
-    model = train(found.withColumn("label", plain_label(found)) if labelled is None else labelled)
-    return judge(found, model).select(
+    return _judged(found, labelled).select(
         F.col("id").alias(id_column), "start", F.length("candidate").cast("long").alias("length"), "candidate", "score", "is_secret"
     )
 
@@ -159,7 +188,7 @@ def redact_secrets(
     """``df`` with every secret in ``text`` replaced by ``mark``, all rows and columns kept.
 
     A string judged a secret in one place of a text is replaced wherever it stands in that
-    text. Texts without candidates are passed on as they are. Null texts stay null; equal
+    text; one without a digit or of fewer than twelve characters only behind its name. Texts without candidates are passed on as they are. Null texts stay null; equal
     texts are treated alike.
     """
     rows = df.withColumn("__key", F.xxhash64(column(text), F.length(column(text))))
@@ -168,12 +197,16 @@ def redact_secrets(
         df.select(column(text).alias("text"), *([column(path).alias("where")] if path else []),
                   F.xxhash64(column(text), F.length(column(text))).alias("key")),
         "text", "where" if path else None, ["key"])), "candidates")
-    model = train(found.withColumn("label", plain_label(found)) if labelled is None else labelled)
-    secrets = judge(found, model).where("is_secret").groupBy("key").agg(F.collect_set("candidate").alias("__secrets"))
+    # Common strings are secrets only where they are given to a name, so they go with it.
+    common = (F.length("candidate") < 12) | ~F.col("candidate").rlike("[0-9]")
+    name = F.when(common, F.regexp_extract("before", r"(?i)" + _NAMED + r"[\"'`]?$", 0)).otherwise(F.lit(""))
+    given = F.struct(name.alias("name"), F.col("candidate").alias("value"))
+    secrets = _judged(found, labelled).where("is_secret").groupBy("key").agg(F.collect_set(given).alias("__secrets"))
     # Longer ones first, so that none is torn by a shorter one inside it.
-    ordered = F.array_sort(F.col("__secrets"), lambda a, b: F.length(b) - F.length(a))
+    ordered = F.array_sort(F.col("__secrets"), lambda a, b: F.length(b["value"]) - F.length(a["value"]))
     secrets = stored(secrets.select(F.col("key").alias("__key"), ordered.alias("__secrets")), "secrets")
     joined = rows.where(has).join(secrets, "__key", "left")
-    cleaned = F.aggregate("__secrets", column(text), lambda t, s: F.replace(t, s, F.lit(mark)))
+    cleaned = F.aggregate("__secrets", column(text), lambda t, s: F.replace(
+        t, F.concat(s["name"], s["value"]), F.concat(s["name"], F.lit(mark))))
     cleaned = joined.withColumn(text, F.coalesce(cleaned, column(text)))
     return cleaned.select(*[column(c) for c in df.columns]).unionByName(df.where(~has))
