@@ -86,3 +86,22 @@ def test_common_words_go_only_behind_their_name(spark):
     text = 'the word staple stands here; password = "staple" and staple again'
     rows = secrets.redact_secrets(odd.documents(spark, [*texts, text])).collect()
     assert {r.doc_id: r.text for r in rows}[len(texts)] == 'the word staple stands here; password = "<SECRET>" and staple again'
+
+
+def test_clean_tables_stay_as_they_are(spark):
+    """No finding announces a credential: nothing is a secret."""
+    texts = [f"order {1234567890123 + i} of 2024-01-{10 + i % 20}T10:00 at example.org/en/page/{i}" for i in range(30)]
+    df = odd.documents(spark, texts)
+    assert not any(r.is_secret for r in secrets.scan_secrets(df).collect())
+    assert [r.text for r in secrets.redact_secrets(df).orderBy("doc_id").collect()] == texts
+
+
+def test_few_secrets_among_many_findings(spark):
+    """The draw is made per label, so one announced key more or fewer does not turn the result."""
+    texts = [f"call the shop with card {4000000000000000 + i * 977} today please" for i in range(400)] + [f'token = "{KEY}"']
+    df = odd.documents(spark, texts).select(F.col("doc_id").alias("k"), "text")
+    found = secrets.features(secrets.candidates(df, keep=["k"]))
+    labelled = found.withColumn("label", secrets.plain_label(found))
+    assert secrets.train(labelled, max_labelled=4) is not None
+    many = labelled.crossJoin(spark.range(3)).withColumn("before", F.concat("before", F.col("id").cast("string")))
+    assert secrets.train(many, max_labelled=2) is not None

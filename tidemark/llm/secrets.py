@@ -119,25 +119,30 @@ def features(found: DataFrame) -> DataFrame:
 
 def train(labelled: DataFrame, label: str = "label", max_labelled: int = MAX_LABELLED):
     """A forest fitted on at most ``max_labelled`` rows of ``labelled`` (candidates with their
-    features and a label 0 or 1), drawn by hash; None if one of the labels is missing.
+    features and a label 0 or 1); None if one of the labels is missing. Those labelled 1 make
+    up half of them at most, those labelled 0 the rest; either are drawn by hash.
 
     Rows without a label are left out, repeated findings count once per text and place.
     """
     drawn = labelled.where(column(label).isNotNull()).select(*FEATURES, column(label).cast("double").alias("label"), "candidate", "before")
     order = F.xxhash64("candidate", "before")
-    drawn = drawn.orderBy(order, "candidate").limit(max_labelled)
-    drawn = stored(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(drawn).select("features", "label"), "findings")
-    if drawn.select("label").distinct().count() < 2:
+    secret = stored(drawn.where("label = 1").orderBy(order, "candidate").limit(max_labelled // 2), "findings")
+    n = secret.count()
+    harmless = stored(drawn.where("label = 0").orderBy(order, "candidate").limit(max_labelled - n), "findings")
+    if not n or harmless.isEmpty():
         return None
+    drawn = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(secret.unionByName(harmless))
+    drawn = stored(drawn.select("features", "label"), "findings")
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, cacheNodeIds=False)
     return forest.fit(drawn)
 
 
 def judge(found: DataFrame, model, threshold: float = 0.5) -> DataFrame:
-    """``found`` (with its features) with ``score`` and ``is_secret``. Without a model every
-    candidate counts as a secret, with score 1."""
+    """``found`` (with its features) with ``score`` and ``is_secret``. Without a model
+    those that ``plain_label`` labels 1 are secrets, with score 1, and all others score 0."""
     if model is None:
-        return found.drop(*FEATURES).withColumn("score", F.lit(1.0)).withColumn("is_secret", F.lit(True))
+        sure = F.coalesce(plain_label(found) == 1, F.lit(False))
+        return found.withColumns({"score": sure.cast("double"), "is_secret": sure}).drop(*FEATURES)
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(found)
     scored = model.transform(vectors).withColumn("score", F.get(vector_to_array("probability"), 1))
     return scored.drop(*FEATURES, "features", "rawPrediction", "probability", "prediction").withColumn(
