@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontamination, langid, licenses, packing, quality, secrets, simhash, toxicity, url_filter
+from tidemark.llm import chat, decontamination, divergence, importance, langid, licenses, packing, quality, secrets, simhash, toxicity, url_filter
 from tidemark.llm.base import LOWER, ORACLES, QUERIES, UPPER, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -126,3 +126,13 @@ def quality_rules(spark: SparkSession, directory: str) -> DataFrame:
 def template_decontamination(spark: SparkSession, directory: str) -> DataFrame:
     documents = table(spark, directory, "documents").select("doc_id", "text")
     return decontamination.find_leaks(documents, table(spark, directory, "benchmark"))
+
+
+@query("op12_source_divergence", divergence.oracle_sql())
+def source_divergence(spark: SparkSession, directory: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, directory, "documents"))
+
+
+@query("op13_importance_resampling", importance.oracle_sql())
+def importance_resampling(spark: SparkSession, directory: str) -> DataFrame:
+    return importance.resample(table(spark, directory, "documents"), table(spark, directory, "benchmark"))
