@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontamination, divergence, importance, langid, licenses, packing, quality, secrets, simhash, toxicity, url_filter
+from tidemark.llm import chat, decontamination, divergence, importance, langid, licenses, neighbours, packing, quality, secrets, simhash, toxicity, url_filter
 from tidemark.llm.base import LOWER, ORACLES, QUERIES, UPPER, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -136,3 +136,8 @@ def source_divergence(spark: SparkSession, directory: str) -> DataFrame:
 @query("op13_importance_resampling", importance.oracle_sql())
 def importance_resampling(spark: SparkSession, directory: str) -> DataFrame:
     return importance.resample(table(spark, directory, "documents"), table(spark, directory, "benchmark"))
+
+
+@query("op11_pruned_graph_search")
+def pruned_graph_search(spark: SparkSession, directory: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, directory, "embeddings"))
