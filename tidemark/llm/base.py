@@ -50,6 +50,24 @@ def either(patterns: Sequence[str]) -> str:
     return "(?:" + "|".join(patterns) + ")"
 
 
+class Scratch:
+    """Stored tables in a folder of their own, which are deleted together when nothing reads
+    them any more."""
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        self.spark, self.folder, self.number = spark, shared_dir(spark, purpose), 0
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{self.number}"
+        self.number += 1
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    def delete(self) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once to the shared folder and read again.
 

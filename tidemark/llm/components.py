@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.base import stored
+from tidemark.llm.base import Scratch, stored
 
 
 def components(links: DataFrame, purpose: str = "components") -> DataFrame:
@@ -16,16 +16,22 @@ def components(links: DataFrame, purpose: str = "components") -> DataFrame:
     label names; then labels are replaced by the labels of their nodes. The number of rounds
     grows with the logarithm of the longest path. Labels only ever fall, so the rounds end
     when their sum stays. Every round is written to the shared folder; both sides of each
-    join come straight from there, so adaptive execution can split hot nodes.
+    join come straight from there, so adaptive execution can split hot nodes. Only the last
+    round is kept.
     """
-    both = stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), purpose)
-    labels = stored(both.groupBy("a").agg(F.min("b").alias("b")).select(
-        F.col("a").alias("node"), F.least("a", "b").alias("label")), purpose)
+    links_table = Scratch(links.sparkSession, purpose)
+    both = links_table(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    rounds = Scratch(links.sparkSession, purpose)
+    labels = rounds(both.groupBy("a").agg(F.min("b").alias("b")).select(
+        F.col("a").alias("node"), F.least("a", "b").alias("label")))
     before = None
     while True:
         total = labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
         if total is None or total == before:
-            return labels
+            last = stored(labels, purpose)
+            rounds.delete()
+            links_table.delete()
+            return last
         before = total
         near = both.join(labels.select(F.col("node").alias("b"), F.col("label").alias("near")), "b").select("a", "near")
         heard = near.join(labels.select(F.col("node").alias("a"), "label"), "a")
@@ -35,8 +41,10 @@ def components(links: DataFrame, purpose: str = "components") -> DataFrame:
                 F.struct(F.col("label").alias("node"), F.col("near").alias("label")),
             )).alias("x")
         ).select("x.*")
-        hooked = stored(labels.unionByName(heard).groupBy("node").agg(F.min("label").alias("label")), purpose)
+        earlier, rounds = rounds, Scratch(links.sparkSession, purpose)
+        hooked = rounds(labels.unionByName(heard).groupBy("node").agg(F.min("label").alias("label")))
         jumped = hooked.select("node", F.col("label").alias("__via")).join(
             hooked.select(F.col("node").alias("__via"), "label"), "__via"
         )
-        labels = stored(jumped.select("node", "label"), purpose)
+        labels = rounds(jumped.select("node", "label"))
+        earlier.delete()

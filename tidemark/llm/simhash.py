@@ -20,11 +20,13 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.base import column, stored
+from tidemark.llm.base import Scratch, column, stored
 from tidemark.llm.components import components
+from tidemark.llm.url_filter import MAX_BLOCKS, URLS_PER_BLOCK, bloom_filter, listed_marks, may_contain
 
 SEED = 42
 CHUNK = 1 << 16
@@ -163,14 +165,35 @@ COUNTED = 1 << 21
 FEW = 9
 # Groups of more rows are dealt out over salts, so many rows each.
 SALTED = 512
+# Hashes of words that a task remembers.
+KNOWN_WORDS = 50_000
 _TINY = 1e-9  # what rounding may do to a share
 
 
+class _WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        self[word] = found = xxhash.xxh64_intdigest(word, SEED)
+        return found
+
+
+_WORDS = _WordHashes()
+
+
 def _distinct_shingles(text: str | None, shingle: int) -> np.ndarray:
-    """The distinct shingles of the whole text as sorted hashes; texts without words have one
-    of their own, so that they are copies of each other."""
-    found = list(shingle_hashes(text, shingle)) or [np.array([xxhash.xxh64_intdigest(b"", SEED)], np.uint64)]
-    return np.unique(np.concatenate(found).view(np.int64))
+    """The distinct shingles of the whole text as sorted hashes: those of the words, mixed in
+    order. Texts with fewer words are one shingle; those without words have one of their own,
+    so that they are copies of each other."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    each = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    length = min(shingle, len(each))
+    mixed = np.full(max(1, len(each) - shingle + 1), length, np.uint64)
+    for i in range(length):
+        mixed ^= each[i : i + len(mixed)]
+        mixed *= _ODD
+        mixed ^= mixed >> np.uint64(29)
+    return np.unique(mixed.view(np.int64))
 
 
 def shingle_sets(text: Column, shingle: int = SHINGLE) -> Column:
@@ -212,17 +235,22 @@ def frequent_shingles(texts: DataFrame, shingle: int = SHINGLE) -> np.ndarray:
 
 
 def _meetings(texts: DataFrame, similarity: float, shingle: int = SHINGLE) -> DataFrame:
-    """Rows ``token``, ``node``, ``n``, ``rest``, ``m``: the first shingles of each node that
-    ``m`` > 1 nodes have among their first; ``n`` shingles in all, ``rest`` from this one on."""
+    """Rows ``token``, ``k1``, ``n``, ``rest``, ``m``: the first shingles of each text (``k1``
+    is its hash) that ``m`` > 1 rows have among their first; ``n`` shingles in all, ``rest``
+    from this one on. A task looks at equal texts once."""
     frequent = frequent_shingles(texts, shingle)
     by_token = np.argsort(frequent)
     known = frequent[by_token]
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[int] = set()
         for batch in batches:
             rows: list[tuple] = []
             size = 0
-            for node, text in zip(batch["node"], batch["text"]):
+            for key, text in zip(batch["k1"].tolist(), batch["text"]):
+                if key in seen:
+                    continue
+                seen.add(key)
                 tokens = _distinct_shingles(text, shingle)
                 n = len(tokens)
                 rank = np.zeros(n, np.int64)
@@ -231,23 +259,26 @@ def _meetings(texts: DataFrame, similarity: float, shingle: int = SHINGLE) -> Da
                     rank = np.where(known[at] == tokens, by_token[at] + 1, 0)
                 k = n - int(np.ceil(similarity * n - _TINY)) + 1
                 order = np.lexsort((tokens, rank))[:k]
-                rows.append((tokens[order], np.full(len(order), node), np.full(len(order), n), n - np.arange(len(order))))
+                rows.append((tokens[order], np.full(len(order), key), np.full(len(order), n), n - np.arange(len(order))))
                 size += len(order)
                 if size >= CHUNK:
-                    yield pd.DataFrame(dict(zip(("token", "node", "n", "rest"), map(np.concatenate, zip(*rows)))))
+                    yield pd.DataFrame(dict(zip(("token", "k1", "n", "rest"), map(np.concatenate, zip(*rows)))))
                     rows, size = [], 0
             if rows:
-                yield pd.DataFrame(dict(zip(("token", "node", "n", "rest"), map(np.concatenate, zip(*rows)))))
+                yield pd.DataFrame(dict(zip(("token", "k1", "n", "rest"), map(np.concatenate, zip(*rows)))))
 
-    every = texts.select("node", "text").mapInPandas(first, "token bigint, node bigint, n int, rest int")
-    return every.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("m > 1")
+    every = texts.select("k1", "text").mapInPandas(first, "token bigint, k1 bigint, n int, rest int")
+    # Equal texts of several tasks: one exchange by token serves both steps.
+    once = every.repartition("token").groupBy("token", "k1").agg(F.first("n").alias("n"), F.first("rest").alias("rest"))
+    return once.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("m > 1")
 
 
-def _may_be_alike(similarity: float) -> Column:
+def _may_be_alike(similarity: float, other: str = "other_") -> Column:
     """Of rows with the columns of two nodes that meet at their first common shingle: sizes
     and what comes after it leave room for the similarity."""
-    sizes = F.least("n", "other_n") >= similarity * F.greatest("n", "other_n") - _TINY
-    return sizes & (F.least("rest", "other_rest") >= similarity / (1 + similarity) * (F.col("n") + F.col("other_n")) - _TINY)
+    n, rest = F.col(f"{other}n"), F.col(f"{other}rest")
+    sizes = F.least(F.col("n"), n) >= similarity * F.greatest(F.col("n"), n) - _TINY
+    return sizes & (F.least(F.col("rest"), rest) >= similarity / (1 + similarity) * (F.col("n") + n) - _TINY)
 
 
 def _pairs(met: DataFrame, similarity: float, *apart: str) -> DataFrame:
@@ -265,68 +296,96 @@ def _pairs(met: DataFrame, similarity: float, *apart: str) -> DataFrame:
     return both.select(F.col("node").alias("a"), F.col("other_node").alias("b")).distinct()
 
 
-def _alike(texts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """Those of the pairs ``a``, ``b`` whose exact shingle sets are as similar as that."""
-    pairs = stored(pairs, "copies")
+def _alike(rows: DataFrame, first: DataFrame, pairs: DataFrame, similarity: float, keep: Scratch) -> DataFrame:
+    """Those of the pairs ``a``, ``b`` whose exact shingle sets are as similar as that.
+
+    Only texts that stand in a pair are shuffled: a Bloom filter of their rows lets pass few
+    others.
+    """
+    work = Scratch(rows.sparkSession, "copies")
+    pairs = work(pairs)
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = stored(texts.join(nodes, "node", "left_semi").select("node", shingle_sets(F.col("text")).alias("s")), "copies")
+    wanted = work(first.join(nodes, "node", "left_semi").select("node", "at"))
+    blocks = max(1, min(MAX_BLOCKS, -(-wanted.count() // URLS_PER_BLOCK)))
+    maybe = may_contain(rows.select("at", "text"), "at", bloom_filter(wanted, "at", blocks), blocks, "maybe").where("maybe")
+    sets = work(maybe.join(wanted, "at").select("node", shingle_sets(F.col("text")).alias("s")))
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     either_has = F.size("sa") + F.size("sb") - common
-    return stored(both.where(common >= F.lit(similarity) * either_has).select("a", "b"), "copies")
+    links = keep(both.where(common >= F.lit(similarity) * either_has).select("a", "b"))
+    work.delete()
+    return links
 
 
-def near_copy_links(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Links ``a``, ``b`` between the ``node`` of different ``text`` whose shingle sets are at
-    least ``similarity`` alike: not all pairs, but enough to connect all that are.
+def near_copy_links(rows: DataFrame, first: DataFrame, similarity: float, keep: Scratch) -> DataFrame:
+    """Links ``a``, ``b`` between the ``node`` of ``first`` whose shingle sets are at least
+    ``similarity`` alike: not all pairs, but enough to connect all that are.
 
     Up to FEW that meet are compared each with each. In larger crowds everyone is first
     compared with the two before it; then all pairs that this has not connected are compared.
     """
-    met = stored(_meetings(texts, similarity), "copies")
+    work = Scratch(rows.sparkSession, "copies")
+    # Texts of one hash are one while they meet; from here on each is a node.
+    met = work(_meetings(rows, similarity).join(first.select("k1", "node"), "k1").drop("k1"))
     crowds = met.where(F.col("m") > FEW)
     in_order = Window.partitionBy("token").orderBy("n", "node")
-    before = [
-        crowds.select("node", "n", "rest", *[F.lag(c, k).over(in_order).alias(f"other_{c}") for c in ("node", "n", "rest")])
-        .where(F.col("other_node").isNotNull() & _may_be_alike(similarity))
-        .select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b"))
-        for k in (1, 2)
-    ]
-    nearest = before[0].unionByName(before[1]).unionByName(_pairs(met.where(F.col("m") <= FEW), similarity))
-    links = _alike(texts, nearest.distinct(), similarity)
+    lagged = crowds.select("node", "n", "rest", *[F.lag(F.struct("node", "n", "rest"), k).over(in_order).alias(f"o{k}") for k in (1, 2)])
+    nearest = lagged.select("node", "n", "rest", F.explode(F.array("o1", "o2")).alias("o")).where(F.col("o").isNotNull() & _may_be_alike(similarity, "o."))
+    nearest = nearest.select(F.least("node", "o.node").alias("a"), F.greatest("node", "o.node").alias("b"))
+    nearest = nearest.unionByName(_pairs(met.where(F.col("m") <= FEW), similarity))
+    links = _alike(rows, first, nearest.distinct(), similarity, keep)
     labels = components(links, "copies")
     labelled = crowds.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     of_token = Window.partitionBy("token")
     apart = labelled.withColumn("several", F.min("label").over(of_token) < F.max("label").over(of_token)).where("several")
-    rest = _pairs(stored(apart.drop("several"), "copies"), similarity, "label")
-    return links.unionByName(_alike(texts, rest, similarity))
+    rest = _pairs(work(apart.drop("several")), similarity, "label")
+    links = links.unionByName(_alike(rows, first, rest, similarity, keep))
+    work.delete()
+    return links
+
+
+def known_by_place(df: DataFrame) -> bool:
+    """Whether Spark can tell the file and place of a row of ``df``."""
+    try:
+        return bool(df.select("_metadata.file_path", "_metadata.row_index").columns)
+    except AnalysisException:
+        return False
 
 
 def drop_near_copies(
-    df: DataFrame, id_column: str = "doc_id", text: str = "text", similarity: float = SIMILARITY
+    df: DataFrame, id_column: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, from_files: bool = False
 ) -> DataFrame:
     """``df`` with one row of each group of exact and near copies: the one with the smallest
     id (nulls last; of repeated ids any one row). All columns stay as they are.
 
     Groups are all texts that chains of near copies connect. Null texts count as empty, and
     empty texts are copies of each other. Texts too short for a shingle are compared whole.
+    Equal texts are known by 128 bits of hashes.
+
+    ``from_files`` says that ``df`` is a table as it is read from files; its rows are then
+    known by file and place, otherwise ``df`` is stored to number them.
     """
-    row, key = "__row", "__key"
-    rows = stored(df.withColumn(row, F.monotonically_increasing_id()), "copies")
+    keep = Scratch(df.sparkSession, "copies")
+    if from_files:
+        numbered = df.withColumn("__at", F.struct("_metadata.file_path", "_metadata.row_index"))
+    else:
+        number = F.struct(F.lit("").alias("file_path"), F.monotonically_increasing_id().alias("row_index"))
+        numbered = stored(df.withColumn("__at", number), "copies")
     whole = F.coalesce(column(text), F.lit(""))
-    order = F.struct(column(id_column).isNull().alias("none"), column(id_column).alias("id"), F.col(row).alias("row"))
-    keyed = rows.select(row, order.alias("order"), F.xxhash64(whole, F.length(whole)).alias(key))
-    first = stored(keyed.groupBy(key).agg(F.min("order").alias("order")), "copies")
-    texts = rows.join(first.select(F.col("order.row").alias(row)), row, "left_semi").select(
-        F.col(row).alias("node"), whole.alias("text")
+    rows = numbered.select(
+        F.col("__at").alias("at"), column(id_column).alias("id"), whole.alias("text"),
+        F.xxhash64(whole).alias("k1"), F.xxhash64(F.lit(1), whole).alias("k2"),
     )
-    texts = stored(texts, "copies")
-    labels = components(near_copy_links(texts, similarity=similarity), "copies")
-    best = first.join(labels, F.col("order.row") == F.col("node"), "left")
-    kept = best.groupBy(F.coalesce("label", F.col("order.row")).alias("label")).agg(F.min("order").alias("order"))
-    kept = stored(kept.select(F.col("order.row").alias(row)), "copies")
-    return rows.join(kept, row, "left_semi").drop(row)
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "at")
+    first = rows.groupBy("k1", "k2").agg(F.min(order).alias("order")).select("k1", "order", F.col("order.at").alias("at"))
+    first = keep(first.withColumn("node", F.monotonically_increasing_id()))
+    labels = components(near_copy_links(rows, first, similarity, keep), "copies")
+    best = first.join(labels, "node", "left").groupBy(F.coalesce("label", "node").alias("label")).agg(F.min("order").alias("order"))
+    kept = keep(best.select(F.col("order.at").alias("at")))
+    gone = stored(rows.select("at").join(kept, "at", "left_anti"), "copies")
+    keep.delete()
+    return listed_marks(numbered, "__at", gone, "at", "__gone").where("not __gone").drop("__gone", "__at")
 
 
 def near_duplicates(
