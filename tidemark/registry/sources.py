@@ -7,6 +7,7 @@ from tidemark.operators.joins import insert_select_where_new
 from tidemark.registry.base import EVENT_FEED, event_feed, query, table
 from tidemark.session import shared_dir
 from tidemark.sources import tables as io
+from tidemark.sources.landing import LandingLedger
 from tidemark.sources.snapshots import SnapshotTable, load_state, save_load_version
 
 EVENT_JSON = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -43,17 +44,39 @@ def scan_json_landing(spark, d):
     )
 
 
-@query("scan_json_new_files", "select event_id, user_id, event_type from events where event_type <> 'signup'")
-def scan_json_new_files(spark, d):
-    folder = shared_dir(spark, "landing")
+NEW_EVENTS = "select event_id, ts, user_id, event_type, value, props from events where event_type <> 'signup' or event_type is null"
+
+
+def arrivals(spark, d):
+    """A landing folder and the two loads that arrive in it."""
     events = table(spark, d, "events")
-    events.where("event_type = 'signup'").write.mode("append").json(folder)
-    loaded = io.scan_json_landing(spark, folder, EVENT_JSON)
+    signup = F.coalesce(F.col("event_type") == "signup", F.lit(False))
+    return shared_dir(spark, "landing"), events.where(signup), events.where(~signup)
+
+
+def write_json(df, folder):
+    df.write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").json(folder)
+
+
+@query("scan_json_new_files", NEW_EVENTS)
+def scan_json_new_files(spark, d):
+    folder, first, second = arrivals(spark, d)
+    ledger = LandingLedger(spark, folder, shared_dir(spark, "ledger"), EVENT_JSON, max_files=100)
+    write_json(first, folder)
+    io.write_table(io.scan_json_new_files(spark, folder, ledger), shared_dir(spark, "loaded"))
+    ledger.confirm()
+    write_json(second, folder)
+    return io.scan_json_new_files(spark, folder, ledger).drop("file_path")
+
+
+@query("scan_json_new_files_by_table", NEW_EVENTS)
+def scan_json_new_files_by_table(spark, d):
+    folder, first, second = arrivals(spark, d)
     target = shared_dir(spark, "loaded")
-    io.write_table(loaded, target)
-    events.where("event_type <> 'signup'").write.mode("append").json(folder)
-    new = io.scan_json_new_files(spark, folder, io.read_df(spark, target), EVENT_JSON)
-    return new.select("event_id", "user_id", "event_type")
+    write_json(first, folder)
+    io.write_table(io.scan_json_landing(spark, folder, EVENT_JSON), target)
+    write_json(second, folder)
+    return io.scan_json_new_files(spark, folder, io.read_df(spark, target), EVENT_JSON).drop("file_path")
 
 
 @query(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.joins import anti_join, insert_select_where_new
+from tidemark.sources.landing import BATCH, FILE_PATH, LandingLedger
 
 
 @dataclass(frozen=True)
@@ -45,24 +46,20 @@ def scan_json_landing(
 def scan_json_new_files(
     spark: SparkSession,
     path: str,
-    loaded: DataFrame | None,
+    loaded: DataFrame | LandingLedger | None,
     schema: T.StructType | str | None = None,
 ) -> DataFrame:
-    """Landing rows of files that ``loaded`` has no row of.
+    """Landing rows of files that were not loaded before.
 
-    Files are listed and compared first, so files loaded before are not opened again.
+    With a table of rows that carry their ``file_path``, files it has no row of are new; all
+    files are read to tell. With a :class:`LandingLedger` only new files are opened; confirm
+    there what has been loaded.
     """
-    if loaded is None:
-        return scan_json_landing(spark, path, schema)
-    listing = (
-        spark.read.format("binaryFile").load(path)
-        .select("path", F.col("_metadata.file_path").alias("file_path"))
-    )
-    # Paths of the new files; the driver lists files anyway to plan a read.
-    new = [r["path"] for r in anti_join(listing, loaded, ["file_path"]).select("path").collect()]
-    if not new:
-        return scan_json_landing(spark, path, schema).where(F.lit(False))
-    return scan_json_landing(spark, new, schema)
+    if isinstance(loaded, LandingLedger):
+        loaded.discover()
+        return loaded.pending().drop(BATCH)
+    landing = scan_json_landing(spark, path, schema)
+    return landing if loaded is None else anti_join(landing, loaded, [FILE_PATH])
 
 
 def scan_csv_seed(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
