@@ -5,7 +5,9 @@ from conftest import SF, rows
 from pyspark.sql import functions as F
 
 from tidemark.operators import merge
+from tidemark.operators.changes import SourceBehindTarget, SourceState
 from tidemark.plans import sales
+from tidemark.plans.loads import load_increment
 from tidemark.session import shared_dir
 from tidemark.sources import tables as io
 from tidemark.sources.snapshots import SnapshotTable, last_loaded_version, load_state, save_load_version
@@ -152,13 +154,157 @@ def test_stream_ingest_reads_each_file_once(spark, tmp_path):
 
 
 def test_limits():
-    with pytest.raises(ValueError):
-        ingest.stream_microbatch_append(lambda i: i, print)
-    seen = []
-    assert ingest.stream_microbatch_append(lambda i: i, seen.append, number_of_batches=3) == 3 and seen == [0, 1, 2]
-    assert ingest.stream_microbatch_append(lambda i: i, seen.append, number_of_seconds=0.05) >= 1
     runs = []
-    assert ingest.stream_continuous_refresh(runs.append, finish_after_runs=2, finish_after_seconds=0) == 2
+    assert ingest.stream_continuous_refresh(runs.append, finish_after_runs=2, finish_after_seconds=0) == 2 and runs == [0, 1]
+    with pytest.raises(ValueError):
+        ingest.stream_microbatch_append(None, None, "", "", 1)
+
+
+def test_microbatch_append_goes_on_and_repeats_a_lost_batch(spark, tmp_path):
+    path, progress = str(tmp_path / "orders"), str(tmp_path / "progress")
+    attempts = []
+
+    def make(numbers):
+        attempts.append(1)
+        return numbers.select(F.concat(F.lit("O"), F.col("value")).alias("order_nr"), F.xxhash64("value").alias("drawn"))
+
+    def lost(numbers):
+        made = make(numbers)
+        if len(attempts) == 3:  # rows are there, the stream does not know it yet
+            made.write.mode("overwrite").parquet(f"{path}/{ingest.APPENDED}=2")
+            raise RuntimeError("killed")
+        return made
+
+    with pytest.raises(Exception, match="killed"):
+        ingest.stream_microbatch_append(spark, lost, path, progress, 4, number_of_batches=5)
+    before = rows(spark.read.parquet(path).select("order_nr", "drawn"))
+    assert len(before) == 12
+    assert ingest.stream_microbatch_append(spark, make, path, progress, 4, number_of_batches=2) == 2
+    found = spark.read.parquet(path)
+    assert sorted(int(r["order_nr"][1:]) for r in found.collect()) == list(range(20))  # the lost batch and two more
+    assert set(before) <= set(rows(found.select("order_nr", "drawn")))
+    assert ingest.stream_microbatch_append(spark, make, path, progress, 4, number_of_seconds=0.01) == 1
+    assert spark.read.parquet(path).count() == 24
+
+
+UPDATES = "id int, v string, gone string, at timestamp"
+
+
+def updates(spark, tmp_path, batches):
+    """Batches of (id, v, gone, day of January), one file each, in this order."""
+    for batch in batches:
+        data = [(i, v, g, datetime(2024, 1, day)) for i, v, g, day in batch]
+        spark.createDataFrame(data, UPDATES).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    return ingest.scan_parquet_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], UPDATES).schema, max_files=1)
+
+
+def test_late_rows_do_not_bring_back_what_was_deleted(spark, tmp_path):
+    batches = [[(1, "a", None, 2), (2, "b", None, 2)], [(1, None, "D", 10)], [(1, "late", None, 9), (3, "c", None, 11)], [(2, "late", None, 1)]]
+    table = SnapshotTable(spark, shared_dir(spark, "snap"), ["id"], buckets=2)
+    for checkpoint in ("one", "two"):  # the second replays everything
+        stream = updates(spark, tmp_path, batches if checkpoint == "one" else [])
+        ingest.stream_upsert(stream, table, ["at"], str(tmp_path / checkpoint), "gone", horizon="20 days").awaitTermination()
+        assert rows(ingest.live_rows(table, "gone").select("id", "v")) == [(2, "b"), (3, "c")]
+    assert table.read().where("gone = 'D'").count() == 1
+    again = updates(spark, tmp_path, [[(1, "newer", None, 12)]])  # a later row does
+    ingest.stream_upsert(again, table, ["at"], str(tmp_path / "one"), "gone", horizon="20 days").awaitTermination()
+    assert rows(ingest.live_rows(table, "gone").select("id", "v")) == [(1, "newer"), (2, "b"), (3, "c")]
+
+
+def test_tombstones_end_at_the_horizon(spark, tmp_path):
+    batches = [
+        [(1, "a", None, 1)], [(1, None, "D", 2)], [(2, "b", None, 20)],  # the watermark is the 15th
+        [(1, "too late", None, 1), (3, "too late", None, 14), (4, "in time", None, 16), (2, "older", None, 3)],
+    ]
+    table = SnapshotTable(spark, shared_dir(spark, "snap"), ["id"], buckets=1)
+    stream = updates(spark, tmp_path, batches)
+    ingest.stream_upsert(stream, table, ["at"], str(tmp_path / "progress"), "gone", horizon="5 days").awaitTermination()
+    assert rows(table.read().select("id", "v")) == [(2, "b"), (4, "in time")]
+    assert table.notes()["watermark"].startswith("2024-01-15")
+
+
+def test_columns_of_a_stored_table_change(spark):
+    """Add, drop, retype and add again over merges that touch one bucket or none."""
+    table = SnapshotTable(spark, shared_dir(spark, "snap"), ["id"], buckets=8)
+
+    def merge(data, schema, how):
+        table.merge(spark.createDataFrame(data, schema), schema_change=how)
+
+    merge([(i, "a", i) for i in range(20)], "id int, v string, n int", "ignore")
+    merge([(0, "b", 1.5)], "id int, v string, more double", "append_new_columns")
+    assert table.read().dtypes == [("id", "int"), ("v", "string"), ("n", "int"), ("more", "double")]
+    assert rows(table.read().where("id < 2")) == [(0, "b", None, 1.5), (1, "a", 1, None)]
+    merge([(1, 7, "x")], "id int, N bigint, more string", "sync_all_columns")
+    assert table.read().dtypes == [("id", "int"), ("N", "bigint"), ("more", "string")]
+    assert rows(table.read().where("id < 3")) == [(0, None, "1.5"), (1, 7, "x"), (2, 2, None)]
+    merge([(2, "new")], "id int, v string", "append_new_columns")  # the old v is gone for good
+    assert rows(table.read().where("id < 4")) == [(0, None, "1.5", None), (1, 7, "x", None), (2, None, None, "new"), (3, 3, None, None)]
+    merge([(3, 9, "cut")], "id int, N int, other string", "ignore")
+    assert rows(table.read().where("id = 3")) == [(3, 9, None, None)]
+    assert table.read().count() == 20
+    with pytest.raises(ValueError, match="columns differ"):
+        merge([(3, 9)], "id int, N int", "fail")
+    with pytest.raises(ValueError, match="key columns"):
+        merge([(3,)], "N int", "sync_all_columns")
+    with pytest.raises(ValueError, match="schema_change"):
+        merge([(3,)], "id int", "other")
+    table.overwrite(spark.createDataFrame([(1, "z")], "id int, w string"))
+    assert rows(table.read()) == [(1, "z")] and table.read().columns == ["id", "w"]
+
+
+def feed_of(spark, changes_):
+    return spark.createDataFrame(changes_, "id int, v string, _change_type string, _commit_version long, _commit_timestamp timestamp")
+
+
+@pytest.mark.parametrize("lost", [None, "before", "after"])
+def test_rows_and_load_state_are_one_commit(spark, monkeypatch, lost):
+    """All five situations of an increment; a load is lost before its commit or right after."""
+    day = datetime(2024, 1, 1)
+    table = SnapshotTable(spark, shared_dir(spark, "snap"), ["id"], buckets=2)
+    versions = {
+        1: ([(1, "a"), (2, "b")], []),
+        3: ([(1, "A"), (3, "c")], [(1, "A", "update_postimage", 2, day), (3, "c", "insert", 3, day), (2, "b", "delete", 3, day)]),
+    }
+
+    def load(version, feed_enabled=True):
+        data, feed = versions[version]
+        source = spark.createDataFrame(data, "id int, v string")
+        state = SourceState(version, feed_enabled=feed_enabled)
+        return load_increment(table, "src", source, feed_of(spark, feed), state, delete_column="deleted_date")
+
+    def tried(*args, **options):
+        if lost:
+            commit = table._commit
+
+            def failing(*a, **k):
+                if lost == "after":
+                    commit(*a, **k)
+                raise RuntimeError("killed")
+
+            monkeypatch.setattr(table, "_commit", failing)
+            with pytest.raises(RuntimeError, match="killed"):
+                load(*args, **options)
+            monkeypatch.undo()
+        return load(*args, **options)
+
+    assert table.loaded_version("src") is None
+    assert tried(1) == 0 and table.loaded_version("src") == 1  # version unknown: all rows
+    assert load(1) == 0  # nothing new
+    assert tried(3) == 1 and table.loaded_version("src") == 3  # newer: changes only
+    assert rows(table.read().select("id", "v")) == [(1, "A"), (3, "c")]
+    with pytest.raises(SourceBehindTarget):
+        load(1)
+    assert load(3, feed_enabled=False) == 1  # no feed: the full read of a version that is in
+    assert table.notes() == {"loaded": {"src": 3}} and rows(table.history().select("version")) == [(0,), (1,)]
+
+
+def test_reading_only_buckets_of_keys(spark):
+    table = SnapshotTable(spark, shared_dir(spark, "snap"), ["id"], buckets=16)
+    table.merge(spark.range(1000).selectExpr("cast(id as int) as id", "id * 2 as v"))
+    some = spark.createDataFrame([(5,), (6,), (-1,)], "id int")
+    found = table.read_keys(some)
+    assert found.where("id in (5, 6)").count() == 2 and found.count() < 300
+    assert len(found.inputFiles()) < len(table.read().inputFiles())
 
 
 def test_sales_load(spark):

@@ -11,31 +11,72 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.keys import key_bucket
+from tidemark.functions.keys import key_bucket, name
 from tidemark.operators import merge as merges
 from tidemark.session import stored
 
 BUCKET = "__bucket"
+# What a merge does about columns that only the table or only the increment has.
+IGNORE, FAIL, APPEND, SYNC = SCHEMA_CHANGES = ("ignore", "fail", "append_new_columns", "sync_all_columns")
 COMMIT_SCHEMA = "version long, bucket int, folder string, operation string, operationParameters string"
 STATE_SCHEMA = "source string, last_version long"
 ALL_BUCKETS = -1
 
 
+@dataclass(frozen=True)
+class _Layout:
+    """Columns of a commit. A column keeps its id when it is retyped; one that is dropped and
+    added again is another column."""
+
+    schema: T.StructType
+    ids: dict[str, int]
+
+    @classmethod
+    def of(cls, parameters: dict) -> _Layout:
+        schema = T.StructType.fromJson(parameters["schema"])
+        return cls(schema, parameters.get("ids") or {f.name: i for i, f in enumerate(schema)})
+
+    def changed_to(self, schema: T.StructType, next_id: int) -> _Layout:
+        known = {n.lower(): i for n, i in self.ids.items()}
+        ids = {}
+        for f in schema:
+            ids[f.name] = known.get(f.name.lower(), next_id)
+            next_id = max(next_id, ids[f.name] + 1)
+        return _Layout(schema, ids)
+
+    def cast(self, df: DataFrame, to: _Layout) -> DataFrame:
+        """Rows of this layout with the columns of another: by id, null where there was none."""
+        mine = {i: n for n, i in self.ids.items()}
+        return df.select(*[
+            (name(mine[to.ids[f.name]]) if to.ids[f.name] in mine else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in to.schema
+        ])
+
+
 @dataclass(frozen=True)
 class _Committed:
-    """What the commit table says: latest version, its schema, bucket -> folder to read."""
+    """What the commit table says: latest version, its columns, bucket -> folder to read, and
+    the columns of folders that were written before columns changed."""
 
     version: int
-    schema: T.StructType | None
+    layout: _Layout | None
     live: dict[int, str]
     done: bool
+    next_id: int = 0
+    notes: dict = field(default_factory=dict)
+    earlier: dict[int, _Layout] = field(default_factory=dict)
+    altered: bool = False
+
+    def layout_of(self, folder: str) -> _Layout:
+        return self.earlier.get(int(folder.split("-")[0]), self.layout)
 
 
 class SnapshotTable:
@@ -65,16 +106,33 @@ class SnapshotTable:
 
     def read(self) -> DataFrame:
         committed = self._committed()
-        if committed.schema is None:
+        if committed.layout is None:
+            raise FileNotFoundError(f"nothing was committed to {self.root} yet")
+        return self._read(committed, committed.live)
+
+    def read_keys(self, keys: DataFrame) -> DataFrame:
+        """Rows of the buckets that the ``keys`` (a stored frame with the key columns) fall
+        into: all rows of these keys, some others, and no file of the other buckets."""
+        committed = self._committed()
+        if committed.layout is None:
             raise FileNotFoundError(f"nothing was committed to {self.root} yet")
-        return self._read(committed.schema, committed.live)
+        return self._read(committed, self._touched(committed, keys))
 
-    def overwrite(self, df: DataFrame, token: str | None = None) -> int:
-        """Replace all rows."""
+    def notes(self) -> dict:
+        """What merges noted: one value per name, the latest."""
+        return self._committed().notes
+
+    def loaded_version(self, source: str) -> int | None:
+        """The version of ``source`` that the rows of this table stand for."""
+        return self.notes().get("loaded", {}).get(source)
+
+    def overwrite(self, df: DataFrame, token: str | None = None, loaded: dict[str, int] | None = None) -> int:
+        """Replace all rows, whatever columns there were."""
         committed = self._committed(token)
         if committed.done:
             return committed.version
-        return self._commit(committed, df, range(self.buckets), token, "CREATE OR REPLACE TABLE AS SELECT")
+        notes = _noted(committed.notes, None, loaded)
+        return self._commit(committed, df, range(self.buckets), token, "CREATE OR REPLACE TABLE AS SELECT", notes)
 
     def merge(
         self,
@@ -82,6 +140,9 @@ class SnapshotTable:
         token: str | None = None,
         apply: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
         purge: str | None = None,
+        schema_change: str = IGNORE,
+        notes: dict | None = None,
+        loaded: dict[str, int] | None = None,
     ) -> int:
         """Upsert ``source``; only buckets that hold one of its keys are read and written.
 
@@ -89,27 +150,65 @@ class SnapshotTable:
         alone. ``purge`` names a delete column whose rows are removed afterwards. A
         ``token`` that was committed before is not merged again, so a repeated call with
         the same one changes nothing. Returns the version the table is at.
+
+        ``schema_change`` says what becomes of columns that differ: ``ignore`` keeps the
+        table's, ``fail`` raises, ``append_new_columns`` adds those of the increment,
+        ``sync_all_columns`` takes over its columns and types. Files are not rewritten for
+        that: each commit knows its columns, and older files are cast when they are read.
+
+        ``notes`` and ``loaded`` (source -> version) are committed together with the rows, so
+        a failure leaves both as they were or both as they should be.
         """
+        if schema_change not in SCHEMA_CHANGES:
+            raise ValueError(f"schema_change must be one of {SCHEMA_CHANGES}")
         committed = self._committed(token)
         if committed.done:
             return committed.version
-        if committed.schema is None:
+        notes = _noted(committed.notes, notes, loaded)
+        if committed.layout is None:
             rows = merges.reject_duplicate_keys(source, self.keys)
             rows = merges.delete_flagged(rows, purge) if purge else rows
-            return self._commit(committed, rows, range(self.buckets), token, "CREATE TABLE AS SELECT")
+            return self._commit(committed, rows, range(self.buckets), token, "CREATE TABLE AS SELECT", notes)
+        layout = self._changed_layout(committed, source.schema, schema_change)
+        fitted = _Layout(source.schema, {
+            f.name: next((i for n, i in layout.ids.items() if n.lower() == f.name.lower()), -1 - k) for k, f in enumerate(source.schema)
+        })
         # Stored first: what is written must be what the touched buckets were taken from.
-        source = stored(source, "merge-source")
-        # At most ``buckets`` numbers reach the driver.
-        touched = [r[0] for r in source.select(key_bucket(self.keys, self.buckets)).distinct().collect()]
-        live = {b: folder for b, folder in committed.live.items() if b in set(touched)}
-        target = self._read(committed.schema, live)
+        source = stored(fitted.cast(source, layout), "merge-source")
+        live = self._touched(committed, source)
+        target = committed.layout.cast(self._read(committed, live), layout)
         merged = apply(target, source) if apply else merges.upsert(target, source, self.keys)
         if purge:
             merged = merges.delete_flagged(merged, purge)
-        return self._commit(committed, merged, touched, token, "MERGE")
+        return self._commit(committed, merged, self._buckets_of(source), token, "MERGE", notes, layout)
+
+    def _changed_layout(self, committed: _Committed, schema: T.StructType, schema_change: str) -> _Layout:
+        now = committed.layout
+        known, given = ({f.name.lower(): f for f in x} for x in (now.schema, schema))
+        if missing := [k for k in self.keys if k.lower() not in given]:
+            raise ValueError(f"the increment lacks key columns: {missing}")
+        if schema_change == FAIL and {n: f.dataType for n, f in known.items()} != {n: f.dataType for n, f in given.items()}:
+            raise ValueError(f"columns differ from those of {self.root}")
+        if schema_change == APPEND:
+            schema = T.StructType([*now.schema, *[T.StructField(f.name, f.dataType) for n, f in given.items() if n not in known]])
+        elif schema_change != SYNC:
+            schema = now.schema
+        return now.changed_to(schema, committed.next_id)
+
+    def _buckets_of(self, rows: DataFrame) -> list[int]:
+        # At most ``buckets`` numbers reach the driver.
+        return [r[0] for r in rows.select(key_bucket(self.keys, self.buckets)).distinct().collect()]
 
-    def _commit(self, committed, df, touched, token, operation) -> int:
+    def _touched(self, committed: _Committed, rows: DataFrame) -> dict[int, str]:
+        touched = set(self._buckets_of(rows))
+        return {b: folder for b, folder in committed.live.items() if b in touched}
+
+    def _commit(self, committed, df, touched, token, operation, notes=None, layout=None) -> int:
         version, touched = committed.version + 1, list(touched)
+        if layout is None:  # all columns are new
+            layout = _Layout(df.schema, {f.name: committed.next_id + i for i, f in enumerate(df.schema)})
+        else:
+            df = df.select(*[name(f.name).cast(f.dataType).alias(f.name) for f in layout.schema])
         # A folder of its own for every attempt: leftovers of a lost one are never read.
         folder = f"{version}-{uuid.uuid4().hex[:12]}"
         written: set[int] = set()
@@ -120,9 +219,12 @@ class SnapshotTable:
             written = {r[0] for r in found.select(BUCKET).distinct().collect()}
             if not written <= set(touched):
                 raise RuntimeError(f"rows of other buckets than those read were written: {sorted(written - set(touched))}")
-        parameters = json.dumps(
-            {"token": token, "schema": df.schema.jsonValue(), "buckets": self.buckets, "keys": self.keys}
-        )
+        changed = committed.layout is not None and (layout.ids, layout.schema) != (committed.layout.ids, committed.layout.schema)
+        parameters = json.dumps({
+            "token": token, "schema": layout.schema.jsonValue(), "ids": layout.ids, "buckets": self.buckets, "keys": self.keys,
+            "next_id": max([committed.next_id - 1, *layout.ids.values()], default=-1) + 1, "notes": notes or {},
+            "altered": operation == "MERGE" and (committed.altered or changed),
+        })
         commits = [(version, ALL_BUCKETS, folder, operation, parameters)]
         commits += [(version, b, folder if b in written else None, None, None) for b in touched]
         (
@@ -150,23 +252,45 @@ class SnapshotTable:
         if head is None:
             return _Committed(-1, None, {}, False)
         parameters = json.loads(head["parameters"])
-        schema = T.StructType.fromJson(parameters["schema"])
+        layout = _Layout.of(parameters)
         self.buckets = parameters.get("buckets", self.buckets)
         if parameters.get("keys", self.keys) != self.keys:
             raise ValueError(f"{self.root} is keyed by {parameters['keys']}, not by {self.keys}")
         live = {b: r["folder"] for b, r in rows.items() if r["folder"]}
-        return _Committed(head["version"], schema, live, head["done"])
-
-    def _read(self, schema: T.StructType, live: dict[int, str]) -> DataFrame:
+        altered, earlier = parameters.get("altered", False), {}
+        if altered:  # one row per folder that is read, at most
+            versions = sorted({int(f.split("-")[0]) for f in live.values()})
+            heads = self._commits().where((F.col("bucket") == ALL_BUCKETS) & F.col("version").isin(versions))
+            earlier = {r["version"]: _Layout.of(json.loads(r["operationParameters"])) for r in heads.collect()}
+        next_id = parameters.get("next_id", len(layout.ids))
+        return _Committed(head["version"], layout, live, head["done"], next_id, parameters.get("notes", {}), earlier, altered)
+
+    def _read(self, committed: _Committed, live: dict[int, str]) -> DataFrame:
         if not live:
-            return self.spark.createDataFrame([], schema)
-        paths = [f"{self.root}/data/{folder}/{BUCKET}={b}" for b, folder in sorted(live.items())]
+            return self.spark.createDataFrame([], committed.layout.schema)
+        # Folders of the same columns are read together; there are as many reads as column sets.
+        groups: list[tuple[_Layout, list[str]]] = []
+        for b, folder in sorted(live.items()):
+            layout = committed.layout_of(folder)
+            paths = next((p for known, p in groups if known == layout), None)
+            if paths is None:
+                groups.append((layout, paths := []))
+            paths.append(f"{self.root}/data/{folder}/{BUCKET}={b}")
         # The schema is known, so no file has to be opened to find it.
-        return self.spark.read.schema(schema).parquet(*paths)
+        reads = [(layout, self.spark.read.schema(layout.schema).parquet(*paths)) for layout, paths in groups]
+        return reduce(DataFrame.unionByName, [df if layout == committed.layout else layout.cast(df, committed.layout) for layout, df in reads])
+
+
+def _noted(before: dict, notes: dict | None, loaded: dict[str, int] | None) -> dict:
+    after = {**before, **(notes or {})}
+    if loaded:
+        after["loaded"] = {**before.get("loaded", {}), **loaded}
+    return after
 
 
 def save_load_version(spark: SparkSession, path: str, source: str, version: int | None) -> None:
-    """Remember what was loaded from a source. Call it after the target is written."""
+    """Remember what was loaded from a source. Call it after the target is written; a failure
+    between the two repeats the load. ``SnapshotTable.merge(loaded=...)`` does both at once."""
     if version is not None:
         spark.createDataFrame([(source, version)], STATE_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
