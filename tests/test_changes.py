@@ -124,3 +124,36 @@ def test_feed_of_two_snapshots_replays_to_the_second(spark, before, after):
     once = merge.upsert(target, loaded, ["id"])
     assert rows(merge.delete_flagged(once, "deleted_date").select("id", "v")) == rows(new)
     assert rows(merge.upsert(once, loaded, ["id"])) == rows(once)  # a repeated load changes nothing
+
+
+def digest_case(spark, changed):
+    old = [(i, f"v{i}", None if i % 7 else i) for i in range(500)]
+    new = [(i, "x" if i in changed else v, n) for i, v, n in old if i not in (3, 400)] + [(900, None, 1)]
+    schema = "id int, v string, n int"
+    return spark.createDataFrame(old, schema), spark.createDataFrame(new, schema)
+
+
+@pytest.mark.parametrize("buckets", [1, 16, 5000])
+def test_digests_give_the_same_feed(spark, buckets):
+    old, new = digest_case(spark, {5, 77})
+    at = datetime(2024, 1, 1)
+    plain = rows(changes.change_feed(old, new, ["id"], 2, at))
+    assert rows(changes.change_feed(old, new, ["id"], 2, at, buckets)) == plain and len(plain) == 2 * 2 + 2 + 1
+    assert changes.change_feed(old, old, ["id"], 2, at, buckets).count() == 0
+    assert rows(changes.change_feed(old.limit(0), new, ["id"], 2, at, buckets)) == rows(changes.change_feed(old.limit(0), new, ["id"], 2, at))
+
+
+def test_equal_buckets_are_not_joined(spark):
+    old, new = digest_case(spark, {5})
+    unlike = changes.unlike_buckets(old, new, ["id"], 5000)
+    assert unlike.count() <= 4
+    assert changes._of_buckets(new, unlike, ["id"], 5000).count() <= 8
+    # Nulls that change places, and values that do.
+    a = spark.createDataFrame([(1, "x", None), (2, "p", "q")], "id int, v string, w string")
+    b = spark.createDataFrame([(1, None, "x"), (2, "q", "p")], "id int, v string, w string")
+    assert changes.unlike_buckets(a, b, ["id"], 64).count() == 2
+    assert changes.unlike_buckets(a, a.select("w", "id", "v"), ["id"], 64).count() == 0
+    with pytest.raises(ValueError):
+        changes.unlike_buckets(a, b, ["id"], 0)
+    with pytest.raises(ValueError):
+        changes.unlike_buckets(a, b.drop("w"), ["id"], 4)

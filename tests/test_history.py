@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 
 import pytest
@@ -173,3 +174,49 @@ def test_planning_does_not_grow_with_slices(spark):
     start = time.time()
     history.scd2_history(df, ["k"], "at", hot_rows=40)._jdf.queryExecution().executedPlan()
     assert time.time() - start < 60
+
+
+def overlapping_case(spark, facts, versions):
+    f = spark.createDataFrame(facts, "k int, at int, fact int")
+    v = spark.createDataFrame(versions, "k int, valid_from int, valid_to int, version int")
+    plain = [(k, at, n, a, b, m) for k, at, n in facts for j, a, b, m in versions
+             if None not in (k, at, j, a, b) and k == j and a <= at < b]
+    return f, v, sorted(plain)
+
+
+@pytest.mark.parametrize("hot_rows,slice_facts", [(None, 512), (40, 7), (None, 1)])
+def test_range_join_of_overlapping_versions(spark, monkeypatch, hot_rows, slice_facts):
+    """Equal to the plain range join: ties, empty and endless intervals, nulls, a hot key."""
+    monkeypatch.setattr(history, "SLICE_FACTS", slice_facts)
+    rng = random.Random(slice_facts)
+    key = lambda: 1 if rng.random() < 0.5 else rng.choice([2, 3, 4, None])
+    facts = [(key(), rng.choice([None, *range(40)]), i) for i in range(150)] + [(9, 5, -1)]
+    versions = []
+    for i in range(120):
+        start = rng.choice([None, *range(-5, 45)])
+        length = rng.choice([-1, 0, 1, 3, 20, 1000])
+        versions.append((key(), start, None if start is None else start + length, i))
+    f, v, want = overlapping_case(spark, facts, versions)
+    got = history.range_join_validity(f, v, ["k"], "at", hot_rows=hot_rows, overlapping=True)
+    assert got.columns == ["k", "at", "fact", "valid_from", "valid_to", "version"]
+    assert sorted(tuple(r) for r in got.collect()) == want
+    assert history.range_join_validity(f.limit(0), v, ["k"], "at", hot_rows=hot_rows, overlapping=True).count() == 0
+    assert history.range_join_validity(f, v.limit(0), ["k"], "at", hot_rows=hot_rows, overlapping=True).count() == 0
+
+
+def test_a_hot_key_is_spread_over_its_slices(spark, monkeypatch):
+    monkeypatch.setattr(history, "SLICE_FACTS", 100)
+    facts = spark.range(10_000).selectExpr("1 as k", "cast(id as int) as at")
+    versions = spark.range(50).selectExpr("1 as k", "cast(id * 100 as int) as valid_from", "cast(id * 100 + 250 as int) as valid_to")
+    found = history.range_join_validity(facts, versions, ["k"], "at", overlapping=True)
+    assert found.count() == 50 * 250
+    # What the join shuffles by: (key, slice), each slice holding 100 facts.
+    assert "__slice_nr" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_overlap_check(spark):
+    versions = spark.createDataFrame([(1, 0, 5, 0), (1, 5, 9, 1), (1, 8, 10, 2), (2, 0, 3, 3), (2, 3, 3, 4), (None, 0, 9, 5)], "k int, valid_from int, valid_to int, version int")
+    for hot_rows in (None, 1):
+        assert [(r["version"], r["next_from"]) for r in history.overlapping_versions(versions, ["k"], hot_rows=hot_rows).collect()] == [(1, 8)]
+    with pytest.raises(ValueError):
+        history.range_join_validity(versions, versions, ["k"], "valid_from", valid_to=None, overlapping=True)

@@ -3,6 +3,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.operators import merge, shape
+from tidemark.session import stored
 from tidemark.plans import harmonize
 
 
@@ -131,3 +132,38 @@ def test_flatten_orders(spark):
     expected = spark.sql("select md5('h1') a, 2 b union all select md5('h2'), 3")
     assert rows(found.select("new_hash_key", "qty")) == rows(expected)
     assert set(rows(found.select("year", "month", "day"))) == {(2022, 3, 5)}
+
+
+def test_document_prune_splits_a_hot_document(spark):
+    """A third of all lines are one document: the join that finds its latest lines splits it."""
+    size = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id"))
+    lines = spark.range(60_000).select(size.alias("doc"), F.col("id").alias("line"), (F.col("id") % 2).alias("at"), F.lit("I").alias("OPFLAG"))
+    lines = stored(lines, "lines")
+    target = lines.select("doc", "line")
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        kept = merge.document_prune(target, lines, ["doc"], ["doc", "line"], ["at"])
+        # Latest of document 0: lines with an odd number; of all others: their only line.
+        assert len(kept.collect()) == 10_000 + 40_000
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_document_prune_nulls_and_flags(spark):
+    lines = spark.createDataFrame(
+        [(1, 1, 1, "I"), (1, 2, 2, "I"), (1, 3, 2, "D"), (None, 4, 1, "I"), (None, 5, 2, None), (2, 6, None, "I")],
+        "doc int, line int, at int, OPFLAG string",
+    )
+    target = lines.select("doc", "line").unionByName(spark.createDataFrame([(7, 7)], "doc int, line int"))
+    kept = merge.document_prune(target, lines, ["doc"], ["line"], ["at"]).select("doc", "line")
+    assert rows(kept) == [(1, 2), (2, 6), (7, 7), (None, 5)]

@@ -1,3 +1,5 @@
+import random
+import statistics
 from datetime import datetime, timedelta
 
 import pytest
@@ -196,3 +198,46 @@ def test_run_report(spark):
                                  "invocation_id string, name string, execution_time double, status string")
     inv = spark.createDataFrame([("i1", "Test performance. 1st run. All"), ("i2", "other 2nd run.")], "invocation_id string, invocation_vars string")
     assert rows(reports.run_report(runs, inv)) == [("1st run", "m", 2.0, 1.0, 1.5, 2)]
+
+
+def test_monitor_of_minutes_over_years(spark):
+    """Buckets are numbered by a range and compared slice by slice, no window in one task."""
+
+    def monitored(year):
+        ends = [(datetime(year, 1, 1) - timedelta(days=60),), (datetime(2024, 1, 1, 0, 1),), (None,), (None,)]
+        return quality.volume_anomalies(spark.createDataFrame(ends, "ts timestamp_ntz"), "ts", bucket="minute", days_back=1)
+
+    # The last minute is like no other before it: their mean and deviation are 0.
+    some = monitored(2024).where("is_anomalous").select("bucket", "row_count").collect()
+    assert {tuple(r) for r in some} == {(datetime(2024, 1, 1, 0, 1), 1), (None, 2)}
+    plan = monitored(1974)._jdf.queryExecution().executedPlan().toString()
+    assert "Range (0, 26" in plan and "SinglePartition" not in plan and "__slice" in plan.split("Window")[1]
+
+
+def test_monitor_slices_change_nothing(spark):
+    """Equal to one window over all buckets, for every length of the days before."""
+    rng = random.Random(3)
+    times = [datetime(2024, 1, 1) + timedelta(hours=rng.randrange(24 * 60)) for _ in range(400)]
+    df = spark.createDataFrame([(t,) for t in times], "ts timestamp_ntz")
+    for bucket, days in (("day", 1), ("day", 7), ("hour", 2), ("week", 14), ("month", 31)):
+        got = {r["bucket"]: r for r in quality.volume_anomalies(df, "ts", bucket, days, 1).collect()}
+        counts = {b: r["row_count"] for b, r in got.items()}
+        assert sum(counts.values()) == 400
+        for b, r in got.items():
+            before = [n for a, n in counts.items() if timedelta(0) < b - a <= timedelta(days=days)]
+            assert (r["training_avg"] is None) == (not before)
+            if before:
+                assert abs(r["training_avg"] - sum(before) / len(before)) < 1e-9
+            if len(before) > 1:
+                assert abs(r["training_stddev"] - statistics.stdev(before)) < 1e-9
+
+
+def test_all_units_of_buckets(spark):
+    df = spark.createDataFrame([(datetime(2023, 11, 30, 23, 59, 58),), (datetime(2024, 3, 1, 0, 0, 1),)], "ts timestamp_ntz")
+    n = {u: quality.volume_anomalies(df, "ts", u).count() for u in ("day", "week", "month", "quarter", "year", "hour")}
+    assert n == {"day": 93, "week": 14, "month": 5, "quarter": 2, "year": 2, "hour": 2186}
+    with pytest.raises(ValueError):
+        quality.volume_anomalies(df, "ts", "fortnight")
+    assert quality.volume_anomalies(df.limit(0), "ts").count() == 0
+    fresh = quality.freshness_anomalies(df, "ts", "day").orderBy("bucket").collect()
+    assert [r["delay_seconds"] for r in fresh[:2]] == [2.0, 86402.0] and len(fresh) == 93

@@ -12,7 +12,8 @@ from tidemark.functions.keys import besides, name, names
 from tidemark.operators.history import dedup_latest
 from tidemark.operators.joins import anti_join
 from tidemark.operators.ordered import KeyedOrder
-from tidemark.operators.skew import HOT_ROWS
+from tidemark.operators.skew import HOT_ROWS, match
+from tidemark.session import stored
 
 DUPLICATE_KEY = "upsert source has more than one row for a key"
 
@@ -123,23 +124,28 @@ def document_prune(
     """After an initial load, drop superseded lines of each document and flagged lines.
 
     ``dense_rank`` keeps the lines of the latest version of a document (all lines that share
-    its newest order values). ``row_number`` keeps only the single newest line per document,
-    and drops its key too when an older row has that key. Neither needs a rank of every
-    line: the newest line per document is found with one row per map task.
+    its newest order values); lines without a document number are one document. ``row_number``
+    keeps only the single newest line per document, and drops its key too when an older row
+    has that key. Neither needs a rank of every line: the newest line per document is found
+    with one row per map task.
     """
-    flagged = lines.where(name(flag_column) == F.lit(flag)).select(*names(keys))
     if mode == "dense_rank":
-        newest = lines.groupBy(*names(header_keys)).agg(
-            F.max(F.struct(*[name(c).alias(f"o{i}") for i, c in enumerate(order_by)])).alias("__newest")
-        )
         position = F.struct(*[name(c).alias(f"o{i}") for i, c in enumerate(order_by)])
-        latest = (
-            lines.join(newest, list(header_keys), "inner")
-            .where(position == F.col("__newest"))
-            .select(*names(keys))
+        # Read from a table of its own, with one row per document, the newest positions do
+        # not force the grouping of their documents on the join: both sides are shuffled
+        # for it, and adaptive execution splits the lines of a hot document.
+        newest = stored(lines.groupBy(*names(header_keys)).agg(F.max(position).alias("__newest")), "newest")
+        placed = lines.select(
+            *names(dict.fromkeys([*header_keys, *keys])), position.alias("__position"),
+            F.coalesce(name(flag_column) == F.lit(flag), F.lit(False)).alias("__flagged"),
         )
-        outdated = anti_join(lines.select(*names(keys)).distinct(), latest, keys)
-    elif mode == "row_number":
+        judged = match(placed, newest, header_keys).groupBy(*names(keys)).agg(
+            F.bool_or(F.col("__position") == F.col("__newest")).alias("__latest"), F.bool_or("__flagged").alias("__flagged")
+        )
+        gone = judged.where(~F.coalesce("__latest", F.lit(False)) | F.col("__flagged")).select(*names(keys))
+        return anti_join(target, gone, keys)
+    flagged = lines.where(name(flag_column) == F.lit(flag)).select(*names(keys))
+    if mode == "row_number":
         newest = dedup_latest(lines.select(*names(dict.fromkeys([*keys, *order_by]))), header_keys, order_by)
         repeated = lines.groupBy(*names(keys)).agg(F.count(F.lit(1)).alias("__n"))
         single = repeated.where(F.col("__n") == 1).select(*names(keys))

@@ -14,7 +14,7 @@ from tidemark.operators.changes import high_water_mark
 from tidemark.operators.history import dedup_latest
 from tidemark.operators.joins import anti_join, inner_join_keys, left_join_many
 from tidemark.operators.merge import delete_flagged, delete_opflag, document_replace, upsert
-from tidemark.operators.skew import HOT_ROWS, hot_keys
+from tidemark.operators.skew import HOT_ROWS
 from tidemark.operators.shape import (
     add_source_id,
     rename_project,
@@ -23,6 +23,8 @@ from tidemark.operators.shape import (
     union_distinct,
     union_two_feeds,
 )
+from tidemark.session import stored
+from tidemark.sources.snapshots import SnapshotTable
 
 
 @dataclass(frozen=True)
@@ -50,8 +52,8 @@ class Feed:
 
 
 def affected_key_join(
-    base: DataFrame,
-    sides: Sequence[tuple[DataFrame, Sequence[str]]],
+    base: DataFrame | SnapshotTable,
+    sides: Sequence[tuple[DataFrame | SnapshotTable, Sequence[str]]],
     keys: Sequence[str],
     changed: Sequence[DataFrame],
     hot_rows: int | None = HOT_ROWS,
@@ -60,20 +62,27 @@ def affected_key_join(
 
     ``changed`` holds the changed rows of each input; only their ``keys`` count. Base and
     sides are cut to those keys by semi-joins before the wide join, and both are complete,
-    so a changed detail brings its header along and a changed header all its details.
+    so a changed detail brings its header along and a changed header all its details. Hot
+    keys are looked for in what the cut leaves.
+
+    Of a :class:`SnapshotTable` whose buckets are made of the ``keys`` only the buckets that
+    the changed keys fall into are read. A frame is read in full.
     """
-    affected = union_distinct(*[c.select(*names(keys)) for c in changed])
-    result = inner_join_keys(base, affected, keys)
+    affected = stored(union_distinct(*[c.select(*names(keys)) for c in changed]), "affected")
+    result = inner_join_keys(_possible(base, affected, keys), affected, keys)
     for side, on in sides:
-        hot = hot_keys(side, keys, hot_rows)
-        cut = inner_join_keys(side, affected, keys, hot)
-        if list(on) == list(keys):
-            result = left_join_many(result, cut, on, hot_rows=None, hot=hot)
-        else:
-            result = left_join_many(result, cut, on, hot_rows)
+        cut = stored(inner_join_keys(_possible(side, affected, keys), affected, keys), "cut")
+        result = left_join_many(result, cut, on, hot_rows)
     return result
 
 
+def _possible(side: DataFrame | SnapshotTable, affected: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All rows of a frame, of a table those that may have one of the keys."""
+    if not isinstance(side, SnapshotTable):
+        return side
+    return side.read_keys(affected) if side.bucket_by == list(keys) else side.read()
+
+
 def harmonize_joined(
     base: Feed,
     sides: Sequence[tuple[Feed, Sequence[str]]],
@@ -185,8 +194,8 @@ def scd1_join(
 
 def scd1_join_with_delete(
     target: DataFrame | None,
-    left: DataFrame,
-    right: DataFrame,
+    left: DataFrame | SnapshotTable,
+    right: DataFrame | SnapshotTable,
     keys: Sequence[str],
     changed: Sequence[DataFrame],
     delete_column: str,

@@ -1,5 +1,8 @@
 """History, change feeds, merges and harmonized tables."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import row_checksum, with_surrogate_key
@@ -111,10 +114,10 @@ def lag_checksum(spark, d):
 
 @query(
     "lead_next_change",
-    "select user_id, ts, lead(ts) over (partition by user_id order by ts) as next_change_at from events where event_type <> 'view'",
+    "select user_id, ts, lead(ts) over (partition by user_id order by ts) as next_change_at from events",
 )
 def lead_next_change(spark, d):
-    kept = states(spark, d).where("event_type <> 'view'").select("user_id", "ts")
+    kept = states(spark, d).select("user_id", "ts")
     time = KeyedOrder(kept, ["user_id"], ["ts"], hot_rows=5)
     return time.plain(time.next(time.sliced(kept), "ts", "next_change_at"))
 
@@ -200,6 +203,23 @@ def latest_changes_with_deletes(spark, d):
     return changes.latest_changes(event_feed(spark, d), 10, ["user_id"], ["ts"], append_delete=True)
 
 
+CHANGE_HISTORY = """
+    select version, count(*) filter (kind = 'CREATE TABLE AS SELECT') > 0 as destructive from (
+        select date_diff('day', date '2024-01-01', cast(ts as date)) as version,
+            case when event_type = 'signup' and value > 100 then 'CREATE TABLE AS SELECT' else 'WRITE' end as kind from events)
+    where version < 20 or kind = 'WRITE' group by 1
+"""
+
+
+def change_history(spark, d):
+    """History of the events as a table: one operation per event, large signups create it."""
+    feed = event_feed(spark, d)
+    created = (F.col("_change_type") == "insert") & (F.col("value") > 100)
+    operation = F.when(created, "CREATE TABLE AS SELECT").otherwise("WRITE")
+    rows = feed.select(F.col("_commit_version").alias("version"), operation.alias("operation"), F.lit("{}").alias("operationParameters"))
+    return rows.where("version < 20 or operation = 'WRITE'")
+
+
 @query(
     "soft_delete_column",
     f"""with feed as ({EVENT_FEED}) select *, case when _change_type = 'delete' then _commit_timestamp end as deleted_date
@@ -209,17 +229,40 @@ def soft_delete_column(spark, d):
     return changes.soft_delete_column(event_feed(spark, d))
 
 
+INCREMENT = """qualify row_number() over (partition by user_id order by ts desc) = 1"""
+
+
 @query(
     "plan_increment",
-    f"""with feed as ({EVENT_FEED}) select event_id, user_id, ts, value from feed
-    where _commit_version >= 15 and _change_type in ('insert', 'update_postimage')
-    qualify row_number() over (partition by user_id order by ts desc) = 1""",
+    f"""with feed as ({EVENT_FEED}), history as ({CHANGE_HISTORY}),
+    versions as (select max(version) as last, coalesce(max(version) filter (destructive), -1) as valid from history),
+    changes as (
+        select event_id, user_id, ts, value, _commit_version from feed where _change_type in ('insert', 'update_postimage'))
+    select 'feed off' as situation, event_id, user_id, ts, value from feed
+    union all select 'version unknown', event_id, user_id, ts, value from feed
+    union all (select 'newer', event_id, user_id, ts, value from changes, versions where _commit_version >= greatest(11, valid) {INCREMENT})
+    union all (select 'long ago', event_id, user_id, ts, value from changes, versions where _commit_version >= greatest(1, valid) {INCREMENT})""",
 )
 def plan_increment(spark, d):
+    """All situations, from a table history and the loads so far; nothing comes of a source
+    that is at the loaded version, and one behind it is refused."""
     feed = event_feed(spark, d)
     source = feed.drop(*changes.FEED_COLUMNS)
-    rows, _ = changes.plan_increment(source, feed, changes.SourceState(29, 15), 10, ["user_id"], ["ts"])
-    return rows
+    seen = changes.scan_history(change_history(spark, d)).first()
+    last, valid = seen["source_last_update_version"], seen["source_first_valid_update_version"]
+    state = changes.SourceState(last, changes.UNKNOWN_VERSION if valid is None else valid)
+    off = changes.SourceState(state.last_version, state.first_valid_version, feed_enabled=False)
+
+    def planned(situation, loaded, state=state):
+        rows, _ = changes.plan_increment(source, feed, state, loaded, ["user_id"], ["ts"])
+        return rows.withColumn("situation", F.lit(situation))
+
+    found = [planned("feed off", 10, off), planned("version unknown", None), planned("newer", 10), planned("long ago", 0), planned("same", last)]
+    try:
+        found.append(planned("behind", last + 1))
+    except changes.SourceBehindTarget:
+        pass
+    return reduce(DataFrame.unionByName, found)
 
 
 SNAPSHOTS = """
@@ -239,9 +282,7 @@ def snapshots(spark, d):
     return orders.where("o_orderstatus <> 'O'").select(*columns), lowered.where("o_orderstatus <> 'F'").select(*columns)
 
 
-@query(
-    "change_feed",
-    f"""with {SNAPSHOTS}, both_rows as (
+CHANGES = f"""with {SNAPSHOTS}, both_rows as (
         select old.o_orderkey as ok, old.o_orderpriority as op, old.o_totalprice as ot,
             new.o_orderkey as nk, new.o_orderpriority as np, new.o_totalprice as nt
         from old full join new on old.o_orderkey = new.o_orderkey)
@@ -249,13 +290,23 @@ def snapshots(spark, d):
         7 as _commit_version, timestamp '2024-01-07' as _commit_timestamp from both_rows where ok is null
     union all select ok, op, ot, 'delete', 7, timestamp '2024-01-07' from both_rows where nk is null
     union all select ok, op, ot, 'update_preimage', 7, timestamp '2024-01-07' from both_rows where ok = nk and op <> np
-    union all select nk, np, nt, 'update_postimage', 7, timestamp '2024-01-07' from both_rows where ok = nk and op <> np""",
-)
+    union all select nk, np, nt, 'update_postimage', 7, timestamp '2024-01-07' from both_rows where ok = nk and op <> np"""
+
+
+@query("change_feed", CHANGES)
 def change_feed(spark, d):
     old, new = snapshots(spark, d)
     return changes.change_feed(old, new, ["o_orderkey"], 7, F.lit("2024-01-07").cast("timestamp_ntz"))
 
 
+@query("change_feed_digests", CHANGES)
+def change_feed_digests(spark, d):
+    """Only buckets of keys whose digests differ are joined."""
+    old, new = snapshots(spark, d)
+    at = F.lit("2024-01-07").cast("timestamp_ntz")
+    return changes.change_feed(old, new, ["o_orderkey"], 7, at, buckets=4096)
+
+
 @query("replay_changes", f"with {SNAPSHOTS} select * from new")
 def replay_changes(spark, d):
     """Feed of two snapshots, applied to the first one, gives the second."""

@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 from tidemark.functions.calendar import date_dimension_of
 from tidemark.functions.keys import name
 from tidemark.operators import joins
-from tidemark.operators.history import range_join_validity, with_version_end
+from tidemark.operators.history import overlapping_versions, range_join_validity, with_version_end
 from tidemark.plans import harmonize, reports, sales
 from tidemark.registry.base import LATEST_LINES, latest_lines, money, query, stored_lines, table
+from tidemark.session import shared_dir
+from tidemark.sources.snapshots import SnapshotTable
 
 
 
@@ -215,6 +217,45 @@ def range_join_hot(spark, d):
     return range_join_validity(facts, versions, ["user_id"], "ts", valid_to=None, hot_rows=5)
 
 
+OVERLAPPING = """
+    versions as (select event_id as version_id, user_id, event_type as state, ts as valid_from,
+        ts + to_hours(cast(floor(value) as bigint)) as valid_to from events where event_type <> 'purchase'),
+    facts as (select event_id, user_id, ts from events where event_type = 'purchase')
+"""
+
+
+def overlapping(spark, d):
+    """Facts, and versions that are valid for as many hours as their value, rounded down."""
+    events = table(spark, d, "events")
+    hours = F.make_dt_interval(hours=F.floor("value").cast("int"))
+    versions = events.where("event_type <> 'purchase'").select(
+        F.col("event_id").alias("version_id"), "user_id", F.col("event_type").alias("state"),
+        F.col("ts").alias("valid_from"), (F.col("ts") + hours).alias("valid_to"),
+    )
+    return events.where("event_type = 'purchase'").select("event_id", "user_id", "ts"), versions
+
+
+@query(
+    "range_join_overlapping",
+    f"""with {OVERLAPPING} select event_id, user_id, ts, version_id, state, valid_from, valid_to
+    from facts join versions using (user_id) where ts >= valid_from and ts < valid_to""",
+)
+def range_join_overlapping(spark, d):
+    facts, versions = overlapping(spark, d)
+    return range_join_validity(facts, versions, ["user_id"], "ts", hot_rows=1_000_000, overlapping=True)
+
+
+@query(
+    "overlapping_versions",
+    f"""with {OVERLAPPING}, followed as (
+        select *, lead(valid_from) over (partition by user_id order by valid_from, valid_to) as next_from
+        from versions where valid_from < valid_to)
+    select * from followed where next_from < valid_to""",
+)
+def overlap_check(spark, d):
+    return overlapping_versions(overlapping(spark, d)[1], ["user_id"])
+
+
 SIZES = ["small", "medium", "large"]
 
 
@@ -288,21 +329,35 @@ def self_join_merge(spark, d):
     )
 
 
-@query(
-    "affected_key_join",
-    f"""with lines as ({LATEST_LINES}), affected as (
+AFFECTED = f"""with lines as ({LATEST_LINES}), affected as (
         select o_orderkey as k from orders where o_orderdate >= timestamp '1998-06-01'
         union select l_orderkey from lines where l_shipdate >= timestamp '1998-06-01')
     select o_orderkey, o_orderdate, l_linenumber, l_shipdate from orders
-    left join lines on o_orderkey = l_orderkey where o_orderkey in (select k from affected)""",
-)
-def affected_key_join(spark, d):
+    left join lines on o_orderkey = l_orderkey where o_orderkey in (select k from affected)"""
+
+
+def header_and_detail(spark, d):
     header = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
     detail = stored_lines(spark, d).select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_shipdate")
-    return harmonize.affected_key_join(
-        header, [(detail, ["o_orderkey"])], ["o_orderkey"],
-        [header.where("o_orderdate >= timestamp_ntz'1998-06-01'"), detail.where("l_shipdate >= timestamp_ntz'1998-06-01'")],
-    )
+    late = [header.where("o_orderdate >= timestamp_ntz'1998-06-01'"), detail.where("l_shipdate >= timestamp_ntz'1998-06-01'")]
+    return header, detail, late
+
+
+@query("affected_key_join", AFFECTED)
+def affected_key_join(spark, d):
+    header, detail, late = header_and_detail(spark, d)
+    return harmonize.affected_key_join(header, [(detail, ["o_orderkey"])], ["o_orderkey"], late)
+
+
+@query("affected_key_join_buckets", AFFECTED)
+def affected_key_join_buckets(spark, d):
+    """Both sides are stored in buckets of the order; only those of changed orders are read."""
+    header, detail, late = header_and_detail(spark, d)
+    headers = SnapshotTable(spark, shared_dir(spark, "headers"), ["o_orderkey"], buckets=32)
+    details = SnapshotTable(spark, shared_dir(spark, "details"), ["o_orderkey", "l_linenumber"], buckets=32, bucket_by=["o_orderkey"])
+    headers.merge(header)
+    details.merge(detail)
+    return harmonize.affected_key_join(headers, [(details, ["o_orderkey"])], ["o_orderkey"], late)
 
 
 @query(

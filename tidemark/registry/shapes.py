@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.keys import case_map, key_suffix, system_id_lookup
 from tidemark.operators import changes, merge, shape
 from tidemark.registry.base import LATEST_LINES, latest_lines, money, query, table
+from tidemark.session import shared_dir
+from tidemark.sources.snapshots import SnapshotTable
 
 CUSTOMER_NAMES = {
     "c_custkey": "Customer_Number", "c_name": "Customer_Name",
@@ -293,6 +295,27 @@ def sync_columns(spark, d):
     return merge.sync_columns(supplier, new)
 
 
+@query(
+    "sync_columns_stored",
+    """select s_suppkey, s_name, case when s_suppkey % 3 = 0 then cast(null as varchar) when s_suppkey % 3 = 1 then 'B'
+            else cast(null as varchar) end as s_rating,
+        case when s_suppkey % 3 = 2 then 'late' end as s_comment, cast(s_nationkey as bigint) as s_nationkey from supplier""",
+)
+def sync_columns_stored(spark, d):
+    """A stored table over merges that add, drop, retype and add again."""
+    supplier = table(spark, d, "supplier")
+    target = SnapshotTable(spark, shared_dir(spark, "supplier"), ["s_suppkey"], buckets=8)
+    third = F.col("s_suppkey") % 3
+    nation = F.col("s_nationkey").cast("int").alias("s_nationkey")
+    target.merge(supplier.select("s_suppkey", "s_name", nation, F.lit("first").alias("s_comment")))
+    rated = supplier.where(third == 1).select("s_suppkey", "s_name", nation, F.lit("B").alias("s_rating"))
+    target.merge(rated, schema_change="sync_all_columns")  # drops the comment
+    wide = supplier.where(third == 2).select("s_suppkey", "s_name", F.lit(None).cast("string").alias("s_rating"),
+                                             F.lit("late").alias("s_comment"), F.col("s_nationkey").cast("bigint").alias("s_nationkey"))
+    target.merge(wide, schema_change="sync_all_columns")  # widens the nation; comments of before stay gone
+    return target.read()
+
+
 @query("ignore_new_columns", "select s_suppkey, s_name, s_nationkey, cast(null as double) as s_acctbal from supplier")
 def ignore_new_columns(spark, d):
     supplier = table(spark, d, "supplier")

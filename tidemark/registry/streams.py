@@ -15,15 +15,15 @@ def event_stream(spark, d, max_files=None):
     return ingest.scan_parquet_stream(spark, f"{d}/events*.parquet", schema, max_files)
 
 
-@query("scan_json_stream", "select event_type, count(*) as n, sum(user_id)::bigint as users from events group by 1")
+@query("scan_json_stream", "select event_id, ts, user_id, event_type, value, props, true as has_path from events")
 def scan_json_stream(spark, d):
     folder, target = shared_dir(spark, "landing"), shared_dir(spark, "stream")
-    table(spark, d, "events").write.json(folder)
+    table(spark, d, "events").write.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").json(folder)
     schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
     stream = ingest.scan_json_stream(spark, folder, schema, max_files=4)
     ingest.stream_file_ingest(stream, target, shared_dir(spark, "progress")).awaitTermination()
-    return io.read_df(spark, target).groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("user_id").alias("users")
+    return io.read_df(spark, target).select(
+        "event_id", "ts", "user_id", "event_type", "value", "props", F.col("file_path").endswith(".json").alias("has_path")
     )
 
 
@@ -75,24 +75,47 @@ def stream_continuous_refresh(spark, d):
     return target.read()
 
 
+@query(
+    "stream_upsert_deletes",
+    """select user_id, event_type, ts, value from events
+    qualify row_number() over (partition by user_id order by ts desc) = 1 and event_type is distinct from 'error'""",
+)
+def stream_upsert_deletes(spark, d):
+    """Errors delete their user. The newest third of the events arrives first, the oldest
+    last: what comes late stays deleted."""
+    events = table(spark, d, "events").select("user_id", "event_type", "ts", "value")
+    rows = events.withColumn("deleted", F.when(F.col("event_type") == "error", "D"))
+    folder = shared_dir(spark, "landing")
+    ends = events.agg(F.expr("approx_percentile(ts, array(0.33, 0.66))").alias("t")).first()["t"]
+    early, middle = [F.coalesce(F.col("ts") < F.lit(t), F.lit(True)) for t in ends or [None, None]]
+    for part in (~middle, middle & ~early, early):
+        rows.where(part).coalesce(1).write.mode("append").parquet(folder)
+    target = SnapshotTable(spark, shared_dir(spark, "users"), ["user_id"], buckets=8)
+    stream = ingest.scan_parquet_stream(spark, folder, rows.schema, max_files=1)
+    progress = shared_dir(spark, "progress")
+    ingest.stream_upsert(stream, target, ["ts"], progress, "deleted", horizon="3650 days").awaitTermination()
+    return ingest.live_rows(target, "deleted").drop("deleted")
+
+
 @query(
     "stream_microbatch_append",
-    """select 'O' || o_orderkey as order_nr, o_orderstatus, o_totalprice from orders""",
+    "select 'O' || o_orderkey as order_nr, o_orderstatus, o_totalprice from orders",
 )
 def stream_microbatch_append(spark, d):
-    """Orders appended status by status until all are in."""
-    target = shared_dir(spark, "orders")
+    """Batch numbers meet the orders that hash to them; all orders are in after all batches,
+    although the stream stops and goes on in between."""
+    batches = 6
     orders = table(spark, d, "orders").select(
-        F.concat(F.lit("O"), "o_orderkey").alias("order_nr"), "o_orderstatus", "o_totalprice"
+        F.concat(F.lit("O"), "o_orderkey").alias("order_nr"), "o_orderstatus", "o_totalprice",
+        F.pmod(F.xxhash64("o_orderkey"), F.lit(batches)).alias("value"),
     )
-    rest = "o_orderstatus is null or o_orderstatus not in ('F', 'O')"
-    batches = ["o_orderstatus = 'F'", "o_orderstatus = 'O'", rest]
-    ingest.stream_microbatch_append(
-        lambda batch: orders.where(batches[batch]),
-        lambda df: io.write_append(df, target),
-        number_of_batches=len(batches),
-    )
-    return io.read_df(spark, target)
+    target, progress = shared_dir(spark, "orders"), shared_dir(spark, "progress")
+    for some in (2, batches - 2):
+        ingest.stream_microbatch_append(
+            spark, lambda numbers: orders.join(numbers, "value").drop("value"), target, progress,
+            rows_per_batch=1, number_of_batches=some, partitions=1,
+        )
+    return io.read_df(spark, target).drop(ingest.APPENDED)
 
 
 @query("stream_scd2", "select user_id, count(*) as versions, count(*) filter (next_ts is null) as current_versions from ("

@@ -86,10 +86,16 @@ class SnapshotTable:
     rewrites whole buckets. The number is stored with the first commit and holds from then
     on, whatever a later caller asks for; other keys than the stored ones are refused. One
     writer at a time: a commit that meets another of the same version fails.
+
+    ``bucket_by`` names the key columns that decide the bucket, all of them by default. Lines
+    put into buckets by their document are read bucket by bucket when documents change.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int = 64):
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int = 64, bucket_by: Sequence[str] | None = None):
         self.spark, self.root, self.keys, self.buckets = spark, root.rstrip("/"), list(keys), buckets
+        self.bucket_by = list(bucket_by or keys)
+        if not set(self.bucket_by) <= set(self.keys):
+            raise ValueError(f"buckets are made of key columns: {self.bucket_by}")
 
     def history(self) -> DataFrame:
         """Commits so far, one row per version."""
@@ -197,7 +203,7 @@ class SnapshotTable:
 
     def _buckets_of(self, rows: DataFrame) -> list[int]:
         # At most ``buckets`` numbers reach the driver.
-        return [r[0] for r in rows.select(key_bucket(self.keys, self.buckets)).distinct().collect()]
+        return [r[0] for r in rows.select(key_bucket(self.bucket_by, self.buckets)).distinct().collect()]
 
     def _touched(self, committed: _Committed, rows: DataFrame) -> dict[int, str]:
         touched = set(self._buckets_of(rows))
@@ -213,7 +219,7 @@ class SnapshotTable:
         folder = f"{version}-{uuid.uuid4().hex[:12]}"
         written: set[int] = set()
         if touched:
-            rows = df.withColumn(BUCKET, key_bucket(self.keys, self.buckets))
+            rows = df.withColumn(BUCKET, key_bucket(self.bucket_by, self.buckets))
             rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{self.root}/data/{folder}")
             found = self.spark.read.schema(rows.schema).parquet(f"{self.root}/data/{folder}")
             written = {r[0] for r in found.select(BUCKET).distinct().collect()}
@@ -222,6 +228,7 @@ class SnapshotTable:
         changed = committed.layout is not None and (layout.ids, layout.schema) != (committed.layout.ids, committed.layout.schema)
         parameters = json.dumps({
             "token": token, "schema": layout.schema.jsonValue(), "ids": layout.ids, "buckets": self.buckets, "keys": self.keys,
+            "bucket_by": self.bucket_by,
             "next_id": max([committed.next_id - 1, *layout.ids.values()], default=-1) + 1, "notes": notes or {},
             "altered": operation == "MERGE" and (committed.altered or changed),
         })
@@ -256,6 +263,7 @@ class SnapshotTable:
         self.buckets = parameters.get("buckets", self.buckets)
         if parameters.get("keys", self.keys) != self.keys:
             raise ValueError(f"{self.root} is keyed by {parameters['keys']}, not by {self.keys}")
+        self.bucket_by = parameters.get("bucket_by", self.bucket_by)
         live = {b: r["folder"] for b, r in rows.items() if r["folder"]}
         altered, earlier = parameters.get("altered", False), {}
         if altered:  # one row per folder that is read, at most
