@@ -42,6 +42,11 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
 
 
+def text_key(text: Column) -> Column:
+    """128 bits of hashes that stand for a text; null and '' have different ones."""
+    return F.struct(F.xxhash64(text, text.isNull()).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"))
+
+
 def strings(values: Sequence[str]) -> Column:
     return F.array(*[F.lit(v) for v in values])
 

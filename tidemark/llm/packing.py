@@ -26,54 +26,29 @@ from tokenizers import Tokenizer
 from tidemark.llm.base import column, stored
 
 CAPACITY = 2048
-CACHED = 200_000
 
 
 class Encoder:
     """Token ids of texts as packed little-endian unsigned 32-bit numbers.
 
-    The vocabulary is that of a byte-level BPE file of ``tokenizers``. No token reaches over
-    a single space or line feed between words, so texts are cut there and each chunk is
-    encoded once; chunks that come again are looked up. Texts with other white space are
-    encoded whole. The table of known chunks is emptied when it has got large. Texts that hold
+    The vocabulary is that of a byte-level BPE file of ``tokenizers``. Texts are encoded whole:
+    to look known words up in a table costs more than to encode them again. Texts that hold
     an added token of the file ('<|endoftext|>') are encoded by ``tokenizers`` itself, unless
     ``special_as_text``: then it is text like any other.
     """
 
-    ODD_SPACE = re.compile(r"[ \n]{2}|[^\S \n]|[\x01\x1c-\x1f]|^[ \n]|[ \n]$")
-
     def __init__(self, path: str, special_as_text: bool = True):
         with open(path, encoding="utf-8") as f:
             added = [t["content"] for t in json.load(f).get("added_tokens", [])]
         self.added = None if special_as_text or not added else re.compile("|".join(map(re.escape, added)))
         self.loaded = self.added and Tokenizer.from_file(path)
         self.encoding = tiktoken.Encoding("bytes", pat_str=_PATTERN, mergeable_ranks=ranks(path), special_tokens={})
-        self.known = _Chunks(self._encode)
-
-    def _encode(self, text: str) -> bytes:
-        ids = self.encoding.encode_ordinary(text)
-        return struct.pack(f"<{len(ids)}I", *ids)
 
     def ids(self, text: str) -> bytes:
         if self.added and self.added.search(text):
             ids = self.loaded.encode(text, add_special_tokens=False).ids
             return struct.pack(f"<{len(ids)}I", *ids)
-        if self.ODD_SPACE.search(text):
-            return self._encode(text)
-        chunks = text.replace(" ", "\x01 ").replace("\n", "\x01\n\x01").split("\x01")
-        return b"".join(map(self.known.__getitem__, chunks))
-
-
-class _Chunks(dict):
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= CACHED:
-            self.clear()
-        self[chunk] = found = self.encode(chunk)
-        return found
+        return self.encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
 
 
 # Fixed value: how byte-level BPE cuts a text.

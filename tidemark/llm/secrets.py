@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.base import column, either, stored
+from tidemark.llm.base import column, either, stored, text_key
 
 AROUND = 80
 MAX_LABELLED = 20_000
@@ -196,11 +196,11 @@ def redact_secrets(
     text; one without a digit or of fewer than twelve characters only behind its name. Texts without candidates are passed on as they are. Null texts stay null; equal
     texts are treated alike.
     """
-    rows = df.withColumn("__key", F.xxhash64(column(text), F.length(column(text))))
+    rows = df.withColumn("__key", text_key(column(text)))
     has = F.coalesce(column(text).rlike(CANDIDATE), F.lit(False))
     found = stored(features(candidates(
         df.select(column(text).alias("text"), *([column(path).alias("where")] if path else []),
-                  F.xxhash64(column(text), F.length(column(text))).alias("key")),
+                  text_key(column(text)).alias("key")),
         "text", "where" if path else None, ["key"])), "candidates")
     # Common strings are secrets only where they are given to a name, so they go with it.
     common = (F.length("candidate") < 12) | ~F.col("candidate").rlike("[0-9]")
