@@ -73,6 +73,14 @@ def test_language_odd_texts(spark):
     assert {r.language.lang for r in langid.identify(df, one).collect()} == {"und", "en"}
 
 
+def test_language_features_cover_whole_words():
+    """In scripts without spaces a clause is one word: nothing of it is passed over."""
+    head = "ab" * 40
+    assert langid.features(head + "xyz") != langid.features(head + "uvw")
+    assert set(langid.features(head + "xyz")) >= {langid._bucket("xyz$"), langid._bucket("xyz"), langid._bucket("^abab")}
+    assert len(langid.features("q" * 10_000)) == 9 + 9_998
+
+
 def test_toxicity_held_out():
     """Toxic stems in new inflections, by language; clean texts stay below the decision."""
     rng = np.random.default_rng(2)

@@ -57,12 +57,13 @@ _BUCKETS = _Buckets()
 
 
 def features(word: str) -> list[int]:
-    """Hash buckets of the word, its first and last letters, and the groups of three inside."""
-    w = word[:64]
-    n = len(w)
+    """Hash buckets of the word, its first and last letters, and the groups of three inside, of
+    the whole word however long it is."""
+    n = len(word)
     known = _BUCKETS.__getitem__
-    parts = ["^" + w[:1], "^" + w[:2], "^" + w[:3], "^" + w[:4], w[-1:] + "$", w[-2:] + "$", w[-3:] + "$", w[-4:] + "$"]
-    parts += [w[i : i + 3] for i in range(n - 2)]
+    parts = ["^" + word[:1], "^" + word[:2], "^" + word[:3], "^" + word[:4]]
+    parts += [word[-1:] + "$", word[-2:] + "$", word[-3:] + "$", word[-4:] + "$"]
+    parts += [word[i : i + 3] for i in range(n - 2)]
     return [_bucket("=" + word), *map(known, parts)]
 
 
