@@ -1,13 +1,15 @@
 """Example-data jobs, numbered by the rows of the given tables."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.keys import key_number, name
-from tidemark.operators.merge import identity_key
+from tidemark.functions.keys import name
 from tidemark.plans import sales
 from tidemark.registry.base import query, table
 from tidemark.session import shared_dir
-from tidemark.sources.tables import read_df, write_df
+from tidemark.sources.tables import read_df
 
 YEAR = 2023
 
@@ -28,19 +30,23 @@ def numbered(spark, d, source, key):
     return table(spark, d, source).select(name(key).alias("n")).repartition(spark.sparkContext.defaultParallelism)
 
 
-def customer_sql():
+def numbers_of(source):
+    return f"(select unnest(range((select count(*) from {source}))) as n)"
+
+
+def customer_sql(rows="(select c_custkey as n from customer)", year=YEAR, first=sales.FIRST_NUMBER):
     def address(v):
         return f"({pick(f'house{v}', 400, 'n')} + 1) || ' ' || {choose(sales.STREETS, f'street{v}', 'n')}"
 
-    moved_at = f"timestamp '{YEAR}-01-01' + to_seconds({pick('moved at', 364 * 86400 - 1, 'n')} + 1)"
+    moved_at = f"timestamp '{year}-01-01' + to_seconds({pick('moved at', 364 * 86400 - 1, 'n')} + 1)"
     return f"""
-        with numbers as (select c_custkey as n from customer), base as (
-            select n, 'C' || ({sales.FIRST_NUMBER} + n) as customer_nr,
+        with base as (
+            select n, 'C' || ({first} + n) as customer_nr,
                 {choose(sales.FIRST_NAMES, 'first', 'n')} || ' ' || {choose(sales.LAST_NAMES, 'last', 'n')} as name,
                 {address(1)} as address, {choose(sales.COUNTRIES, 'country1', 'n')} as country,
-                'c' || ({sales.FIRST_NUMBER} + n) || '@example.com' as email, {choose(('F', 'M'), 'gender', 'n')} as gender,
+                'c' || ({first} + n) || '@example.com' as email, {choose(('F', 'M'), 'gender', 'n')} as gender,
                 cast(date '1940-01-01' + {pick('birth', 25000, 'n')}::int as date) as birthdate,
-                timestamp '{YEAR}-01-01' as modified_at from numbers)
+                timestamp '{year}-01-01' as modified_at from {rows})
         select * exclude (n) from base
         union all
         select customer_nr, name, {address(2)}, {choose(sales.COUNTRIES, 'country2', 'n')}, email, gender, birthdate, {moved_at}
@@ -77,21 +83,23 @@ def leaf_categories(spark, d):
     return sales.leaf_categories(gen_categories(spark, d))
 
 
-PRODUCTS = f"""
-    with leaf as ({LEAVES}), members as (
-        select product_category_nr, row_number() over (order by product_category_nr) as i from leaf),
+def product_versions(leaves, rows="(select p_partkey as n from part)", year=YEAR, first=sales.FIRST_NUMBER, mutated=sales.PRODUCT_MUTATIONS):
+    """Products of the categories that ``leaves`` selects."""
+    return f"""
+    with members as (select product_category_nr, row_number() over (order by product_category_nr) as i from ({leaves})),
     base as (
-        select n, 'P' || ({sales.FIRST_NUMBER} + n) as product_nr, {choose(sales.WORDS, 'adjective', 'n')} || ' product' as name,
+        select n, 'P' || ({first} + n) as product_nr, {choose(sales.WORDS, 'adjective', 'n')} || ' product' as name,
             {choose(sales.COLORS, 'color1', 'n')} as color, product_category_nr,
-            cast(10 + {pick('price', 79, 'n')} * 5 as decimal(18,2)) as net, timestamp '{YEAR}-01-01' as modified_at
-        from (select p_partkey as n from part) join members on i = {pick('category', '(select count(*) from members)', 'n')} + 1),
-    versions as (
-        select * from base union all
-        select n, product_nr, name, {choose(sales.COLORS, 'color2', 'n')}, product_category_nr,
-            cast(floor(net * (100 + {pick('price change', 21, 'n')} - 10) / 100) as decimal(18,2)),
-            timestamp '{YEAR}-01-01' + to_seconds({pick('changed at', 333 * 86400 - 1, 'n')} + 1)
-        from base where {pick('product changes', 100, 'n')} < {sales.PRODUCT_MUTATIONS})
-"""
+            cast(10 + {pick('price', 79, 'n')} * 5 as decimal(18,2)) as net, timestamp '{year}-01-01' as modified_at
+        from {rows} join members on i = {pick('category', '(select count(*) from members)', 'n')} + 1)
+    select * from base union all
+    select n, product_nr, name, {choose(sales.COLORS, 'color2', 'n')}, product_category_nr,
+        cast(floor(net * (100 + {pick('price change', 21, 'n')} - 10) / 100) as decimal(18,2)),
+        timestamp '{year}-01-01' + to_seconds({pick('changed at', 333 * 86400 - 1, 'n')} + 1)
+    from base where {pick('product changes', 100, 'n')} < {mutated}"""
+
+
+PRODUCTS = f"with versions as ({product_versions(LEAVES)})"
 
 
 @query(
@@ -108,15 +116,19 @@ def products_of(spark, d):
     return sales.gen_products(numbered(spark, d, "part", "p_partkey"), YEAR, leaf_categories(spark, d))
 
 
-DETAILS = f"""
-    select 'O' || ({sales.FIRST_NUMBER} + n) as order_nr,
-        timestamp '{YEAR}-01-01' + to_seconds({pick('ordered at', 364 * 86400 - 1, 'n')} + 1) as ordered_at,
-        'C' || ({sales.FIRST_NUMBER} + {pick('customer', '(select count(*) from customer)', 'n')}) as customer_number,
+def detail_rows(rows="(select o_orderkey as n from orders)", year=YEAR, first=sales.FIRST_NUMBER,
+                customers="(select count(*) from customer)", products="(select count(*) from part)"):
+    return f"""
+    select 'O' || ({first} + n) as order_nr,
+        timestamp '{year}-01-01' + to_seconds({pick('ordered at', 364 * 86400 - 1, 'n')} + 1) as ordered_at,
+        'C' || ({sales.FIRST_NUMBER} + {pick('customer', customers, 'n')}) as customer_number,
         {choose(sales.PAYMENT_METHODS, 'payment', 'n')} as payment_method, k as order_detail_nr,
-        'P' || ({sales.FIRST_NUMBER} + {pick('product', '(select count(*) from part)', 'n', 'k')}) as product_nr,
+        'P' || ({sales.FIRST_NUMBER} + {pick('product', products, 'n', 'k')}) as product_nr,
         {pick('amount', 5, 'n', 'k')} + 1 as amount
-    from (select n, unnest(generate_series(1, {pick('details', 5, 'n')} + 1)) as k from (select o_orderkey as n from orders))
-"""
+    from (select n, unnest(generate_series(1, {pick('details', 5, 'n')} + 1)) as k from {rows})"""
+
+
+DETAILS = detail_rows()
 
 
 @query("gen_order_details", DETAILS)
@@ -151,35 +163,101 @@ def build_orders(spark, d):
     )
 
 
-@query("load_initial", "select count(*) as customers, count(*) filter (c_acctbal is not null) as with_number from customer")
+# What the loads are sized by: rows of the given tables.
+FIRST_LOAD = {"customer": "customer", "category": "supplier", "product": "part", "order": "orders"}
+NEXT_LOAD = {"customer": "supplier", "category": "nation", "product": "supplier", "order": "customer"}
+ROW_TEXT = """
+    select 'customer' as table_name, customer_nr as key, modified_at as at,
+        concat_ws('|', name, address, country, email, gender, cast(birthdate as varchar)) as row_text from customers
+    union all select 'product_category', product_category_nr, modified_at, concat_ws('|', name, parent_nr) from categories
+    union all select 'product', product_nr, modified_at, concat_ws('|', name, color, product_category_nr,
+        cast(cast(net * 1.21 as decimal(18,2)) as varchar), cast(net as varchar)) from versions
+    union all select 'order', order_nr, ordered_at, concat_ws('|', customer_number, payment_method, cast(count(*) as varchar),
+        cast(sum(amount) as varchar), cast(cast(sum(cast(net * 1.21 as decimal(18,2)) * amount) as decimal(18,2)) as varchar),
+        cast(cast(sum(net * amount) as decimal(18,2)) as varchar),
+        string_agg(order_detail_nr || ':' || product_nr || ':' || amount, ',' order by order_detail_nr))
+    from (select o.*, net from details o asof join versions v on o.product_nr = v.product_nr and o.ordered_at >= v.modified_at)
+    group by order_nr, ordered_at, customer_number, payment_method
+"""
+
+
+def rows_in(source):
+    return f"(select count(*) from {source})"
+
+
+LOADED = f"""
+    customers1 as ({customer_sql(numbers_of('customer'))}),
+    categories1 as ({CATEGORIES}),
+    versions1 as ({product_versions(
+        'select product_category_nr from categories1 c where not exists (select 1 from categories1 p where p.parent_nr = c.product_category_nr)',
+        numbers_of('part'), mutated=sales.FIRST_PRODUCT_MUTATIONS)}),
+    details1 as ({detail_rows(numbers_of('orders'))})
+"""
+FIRST_ONLY = ", ".join(f"{t} as (select * from {t}1)" for t in ("customers", "categories", "versions", "details"))
+AFTER = {k: f"({sales.FIRST_NUMBER} + {rows_in(v)})" for k, v in FIRST_LOAD.items()}
+LOADED_MORE = f"""
+    customers2 as ({customer_sql(numbers_of('supplier'), YEAR + 1, AFTER['customer'])}),
+    free as (
+        select product_category_nr, row_number() over (order by product_category_nr) as i from categories1
+        where product_category_nr not in (select product_category_nr from versions1)),
+    categories2 as (
+        select 'A' || ({AFTER['category']} + n) as product_category_nr,
+            {choose(sales.WORDS, 'word1', 'n')} || ' ' || {choose(sales.WORDS, 'word2', 'n')} as name,
+            free.product_category_nr as parent_nr, timestamp '{YEAR + 1}-01-01' as modified_at
+        from {numbers_of('nation')} left join free on i = {pick('parent', '(select greatest(count(*), 1) from free)', 'n')} + 1),
+    categories as (select * from categories1 union all select * from categories2),
+    versions2 as ({product_versions(
+        'select product_category_nr from categories c where not exists (select 1 from categories p where p.parent_nr = c.product_category_nr)',
+        numbers_of('supplier'), YEAR + 1, AFTER['product'])}),
+    details2 as ({detail_rows(
+        numbers_of('customer'), YEAR + 1, AFTER['order'],
+        f"({rows_in('customer')} + {rows_in('supplier')})", f"({rows_in('part')} + {rows_in('supplier')})")}),
+    customers as (select * from customers1 union all select * from customers2),
+    versions as (select * from versions1 union all select * from versions2),
+    details as (select * from details1 union all select * from details2)
+"""
+
+
+def sizes(spark, d, load):
+    counted = {k: table(spark, d, t).count() for k, t in load.items()}
+    return sales.Sizes(counted["customer"], counted["category"], counted["product"], counted["order"])
+
+
+def loaded_rows(spark, root):
+    """All rows of the four tables, as text."""
+    at = {t: read_df(spark, p) for t, p in sales.paths(root).items()}
+    details = F.transform("order_details", lambda x: F.concat_ws(":", x["order_detail_nr"], x["product_nr"], x["amount"]))
+    texts = {
+        "customer": ("customer_nr", "modified_at", ["name", "address", "country", "email", "gender", F.col("birthdate").cast("string")]),
+        "product_category": ("product_category_nr", "modified_at", ["name", "parent_nr"]),
+        "product": ("product_nr", "modified_at", ["name", "color", "product_category_nr", F.col("price").cast("string"), F.col("priceWithoutVAT").cast("string")]),
+        "order": ("order_nr", "ordered_at", [
+            "customer_number", "payment_method", *[F.col(c).cast("string") for c in (
+                "OrderDistinctProductCount", "OrderTotalAmount", "OrderTotalPayableAmount", "OrderTotalPayableAmountWithoutVAT")],
+            F.array_join(details, ",")]),
+    }
+    found = [
+        at[t].select(F.lit(t).alias("table_name"), name(key).alias("key"), name(time).alias("at"), F.concat_ws("|", *parts).alias("row_text"))
+        for t, (key, time, parts) in texts.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query("load_initial", f"with {LOADED}, {FIRST_ONLY} {ROW_TEXT}")
 def load_initial(spark, d):
-    """First load of the customer table, sized by the given one."""
-    target = shared_dir(spark, "customer")
-    write_df(sales.gen_customers(numbered(spark, d, "customer", "c_custkey"), YEAR), target, "overwrite")
-    known = read_df(spark, target)
-    return known.agg(
-        F.countDistinct("customer_nr").alias("customers"),
-        F.count_if((F.col("modified_at") == F.lit(f"{YEAR}-01-01").cast("timestamp_ntz"))).alias("with_number"),
-    )
+    """First load of all four tables, sized by the given ones."""
+    root = shared_dir(spark, "sales")
+    sales.load_initial(spark, root, YEAR, sizes(spark, d, FIRST_LOAD))
+    return loaded_rows(spark, root)
 
 
-@query(
-    "load_more",
-    f"""with loaded as (select count(*) as n from customer), added as (select count(*) as n from orders)
-    select cast({sales.FIRST_NUMBER} + loaded.n + added.n - 1 as bigint) as last_number, loaded.n + added.n as customers
-    from loaded, added""",
-)
+@query("load_more", f"with {LOADED}, {LOADED_MORE} {ROW_TEXT}")
 def load_more(spark, d):
-    """Customers appended, one per given order, numbers going on after the first load."""
-    target = shared_dir(spark, "customer")
-    write_df(sales.gen_customers(numbered(spark, d, "customer", "c_custkey"), YEAR), target, "overwrite")
-    first = sales.last_business_key(read_df(spark, target), "customer_nr") + 1
-    rows = identity_key(numbered(spark, d, "orders", "o_orderkey"), "i", ["n"]).select((F.col("i") - 1).alias("n"))
-    write_df(sales.gen_customers(rows, YEAR + 1, first), target, "append")
-    known = read_df(spark, target)
-    return known.agg(
-        F.max(key_number("customer_nr")).alias("last_number"), F.countDistinct("customer_nr").alias("customers")
-    )
+    """All four tables after a second load, numbers going on after the first."""
+    root = shared_dir(spark, "sales")
+    sales.load_initial(spark, root, YEAR, sizes(spark, d, FIRST_LOAD))
+    sales.load_more(spark, root, YEAR + 1, sizes(spark, d, NEXT_LOAD))
+    return loaded_rows(spark, root)
 
 
 ORDER_ROWS = "select cast(o_orderkey as varchar) as order_nr, cast(o_custkey as varchar) as customer_number, o_orderdate as ordered_at, md5(cast(o_orderkey as varchar)) as hash_key from orders"
