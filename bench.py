@@ -36,6 +36,8 @@ HEADLINE = [
     "harmonize_master",
     "harmonize_balance",
     "range_join_validity",
+    "range_join_overlapping",
+    "change_feed_digests",
     "order_rollup",
     "nest_details",
     "flatten_orders",

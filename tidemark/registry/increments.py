@@ -44,7 +44,7 @@ def scd2_history(spark, d):
 
 @query("scd2_hot_keys", scd2_sql())
 def scd2_hot_keys(spark, d):
-    """The same history with every user cut into slices."""
+    """The same history with users of many rows cut into slices."""
     return history.scd2_history(states(spark, d), ["user_id"], "ts", hot_rows=5)
 
 
