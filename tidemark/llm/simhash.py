@@ -163,6 +163,8 @@ FREQUENT = 200_000
 COUNTED = 1 << 21
 # Groups that are compared each with each at once.
 FEW = 9
+# Tokens of a text that tell whether two have met before.
+HEAD = 64
 # Groups of more rows are dealt out over salts, so many rows each.
 SALTED = 512
 # Hashes of words that a task remembers.
@@ -281,9 +283,23 @@ def _may_be_alike(similarity: float, other: str = "other_") -> Column:
     return sizes & (F.least(F.col("rest"), rest) >= similarity / (1 + similarity) * (F.col("n") + n) - _TINY)
 
 
-def _pairs(met: DataFrame, similarity: float, *apart: str) -> DataFrame:
+def _with_heads(met: DataFrame) -> DataFrame:
+    """``met`` with ``before``: of the first HEAD tokens of the node those before the row's."""
+    place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("rest"), "token"))
+    heads = met.select("node", "token", "rest").withColumn("place", place).where(F.col("place") <= HEAD)
+    heads = heads.groupBy("node").agg(F.collect_list(F.struct("rest", "token")).alias("head"))
+    earlier = F.filter("head", lambda x: x["rest"] > F.col("rest"))
+    return met.join(heads, "node").withColumn("before", F.transform(earlier, lambda x: x["token"])).drop("head")
+
+
+def _pairs(met: DataFrame, similarity: float, *apart: str, once: bool = False) -> DataFrame:
     """All distinct pairs ``a`` < ``b`` that meet and may be alike; with ``apart`` only those
-    that differ in that column."""
+    that differ in that column.
+
+    Two copies meet at many tokens. With ``once`` (``met`` has ``before``) the join leaves a
+    pair out where both are known to have met at an earlier token.
+    """
+    apart = (*apart, "before") if once else apart
     salts = F.ceil(F.col("m") / SALTED).cast("int")
     left = met.withColumn("salt", F.pmod(F.xxhash64("node"), salts).cast("int"))
     right = met.select(
@@ -292,7 +308,8 @@ def _pairs(met: DataFrame, similarity: float, *apart: str) -> DataFrame:
     )
     both = left.join(right, ["token", "salt"]).where(_may_be_alike(similarity) & (F.col("node") < F.col("other_node")))
     for c in apart:
-        both = both.where(F.col(c) != F.col(f"other_{c}"))
+        new = ~F.arrays_overlap(c, f"other_{c}") if c == "before" else F.col(c) != F.col(f"other_{c}")
+        both = both.where(new)
     return both.select(F.col("node").alias("a"), F.col("other_node").alias("b")).distinct()
 
 
@@ -339,7 +356,7 @@ def near_copy_links(rows: DataFrame, first: DataFrame, similarity: float, keep:
     labelled = crowds.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     of_token = Window.partitionBy("token")
     apart = labelled.withColumn("several", F.min("label").over(of_token) < F.max("label").over(of_token)).where("several")
-    rest = _pairs(work(apart.drop("several")), similarity, "label")
+    rest = _pairs(work(_with_heads(work(apart.drop("several")))), similarity, "label", once=True)
     links = links.unionByName(_alike(rows, first, rest, similarity, keep))
     work.delete()
     return links
