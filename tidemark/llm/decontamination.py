@@ -2,26 +2,35 @@
 
 Numbers, names and units become typed placeholders. Windows of the resulting templates are
 hashed and joined, so a question is found again with other numbers or other names in it.
-What stands in the placeholders must then be consistent: along one alignment, the same slot
-value of the benchmark always meets the same value of the document.
+What stands in the placeholders must then be consistent: along one alignment, or a chain of
+alignments that are a few tokens apart, the same slot value of the benchmark always meets the
+same value of the document.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.base import column, stored
 from tidemark.llm.url_filter import MAX_BLOCKS, URLS_PER_BLOCK, bloom_filter, may_contain
 
-WINDOW = 8
-# Words of a window that are no placeholders, at least.
-LITERAL = 5
-# Share of an item's windows that one alignment must hold.
-SHARE = 0.3
-
-TOKEN = r"\p{N}+(?:[.,]\p{N}+)*|[\p{L}\p{M}]+|[%$€£°]"
-NUMBER, NAME, UNIT = "\ue000", "\ue001", "\ue002"
+WINDOW = 5
+# Different words of a window that are no placeholders, at least; a window with fewer counts
+# with the values of its placeholders.
+LITERAL = 2
+# Tokens of an item that must be found: these, and this share of the others.
+FIRST, SHARE = 7, 0.3
+# Tokens by which neighbouring alignments of a chain may be apart: as many may be inserted or
+# left out at one place.
+DRIFT = 5
+# Items of fewer tokens are no evidence inside a longer text.
+SHORTEST = 3
+
+NUMBER, NAME, UNIT, END = "\ue000", "\ue001", "\ue002", "\ue003"
+# Blocks of scripts that are written without spaces (Thai, Lao, Burmese, Khmer,
+# Japanese syllables, Chinese characters).
+SPACELESS = r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\x{20000}-\x{323af}]"
 # Units of measurement.
 UNITS = (
     "mm cm m km g kg mg t ml l s ms min h mph inch inches ft feet yd yard yards mile miles "
@@ -31,106 +40,162 @@ UNITS = (
 ).split()
 
 
+def _marked(text: Column) -> Column:
+    """``text`` with each number, run of names and unit between its placeholder and END, and
+    the letters of scripts without spaces set apart."""
+    whole = F.translate(F.coalesce(text, F.lit("")), NUMBER + NAME + UNIT + END, "    ")
+    apart = F.when(whole.rlike(SPACELESS), F.regexp_replace(whole, rf"({SPACELESS}\p{{M}}*)", "$1 ")).otherwise(whole)
+    name = r"\p{Lu}\p{Ll}[\p{L}\p{M}]*"
+    named = F.regexp_replace(apart, rf"(?<=[\p{{Ll}}\p{{N}},;] ){name}(?: {name})*", f"{NAME}$0{END}")
+    units = "|".join(sorted(UNITS, key=len, reverse=True))
+    united = F.regexp_replace(
+        named, rf"(?<=\p{{N}}|\p{{N}} )(?:{units})(?![\p{{L}}\p{{M}}\p{{N}}])|[%$€£°]", f"{UNIT}$0{END}"
+    )
+    return F.regexp_replace(united, r"\p{N}+(?:[.,]\p{N}+)*", f"{NUMBER}$0{END}")
+
+
+def _split(marked: Column) -> Column:
+    return F.regexp_extract_all(marked, F.lit(rf"[{NUMBER}{NAME}{UNIT}][^{END}]*{END}|[\p{{L}}\p{{M}}]+"), 0)
+
+
+def _is_slot(token: Column) -> Column:
+    return (token >= NUMBER) & (token < END)
+
+
+def _template(parts: Column) -> Column:
+    return F.transform(parts, lambda x: F.when(_is_slot(x), F.left(x, F.lit(1))).otherwise(x))
+
+
 def tokens(text: Column) -> Column:
-    """Words, numbers and currency or percent signs as they stand in the text."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), 0)
+    """Words, numbers, runs of names and currency or percent signs as they stand in the text.
+    A letter of a script without spaces is a word."""
+    return F.transform(_split(_marked(text)), lambda x: F.translate(x, NUMBER + NAME + UNIT + END, ""))
 
 
 def template(text: Column) -> Column:
-    """The same tokens, lower-cased, with placeholders for numbers, names and units.
+    """The same tokens, lower-cased, with placeholders for numbers, runs of names and units.
 
     A name is a capitalised word after a lower-case letter, digit or comma and one space, so
-    the first word of a sentence is none. A unit stands right behind a number. Characters of
-    the placeholders in the text itself count as letters of no word.
+    the first word of a sentence is none; names with one space between them are one. A unit
+    stands right behind a number. Characters of the placeholders in the text itself count as
+    letters of no word.
     """
-    whole = F.translate(F.coalesce(text, F.lit("")), NUMBER + NAME + UNIT, "   ")
-    named = F.regexp_replace(whole, r"(?<=[\p{Ll}\p{N},;] )\p{Lu}\p{Ll}[\p{L}\p{M}]*", NAME)
-    units = "|".join(sorted(UNITS, key=len, reverse=True))
-    united = F.regexp_replace(named, rf"(?<=\p{{N}}|\p{{N}} )(?:{units})(?![\p{{L}}\p{{M}}\p{{N}}])|[%$€£°]", UNIT)
-    numbered = F.regexp_replace(united, r"\p{N}+(?:[.,]\p{N}+)*", NUMBER)
-    return F.regexp_extract_all(F.lower(numbered), F.lit(rf"[{NUMBER}{NAME}{UNIT}]|[\p{{L}}\p{{M}}]+"), 0)
+    return _template(_split(F.lower(_marked(text))))
 
 
-def _windows(words: Column, size: int) -> Column:
-    """Hash of each window, null where it has too few literal words; shorter texts are one window."""
+def _windows(size: int) -> Column:
+    """(at, hash) of each window of the columns ``parts`` and ``t``; shorter texts are one
+    window. Those poor in words are hashed with what stands in their placeholders."""
     holes = F.array(F.lit(NUMBER), F.lit(NAME), F.lit(UNIT))
-    last = F.greatest(F.size(words) - size, F.lit(0))
-    literal = F.least(F.lit(LITERAL), F.size(words))
+    places = F.sequence(F.lit(0), F.greatest(F.size("t") - size, F.lit(0)))
+
+    def plain(i: Column) -> Column:
+        return F.struct(i.alias("at"), F.xxhash64(F.slice("t", i + 1, size)).alias("hash"))
+
+    def checked(i: Column) -> Column:
+        window = F.slice("t", i + 1, size)
+        poor = F.size(F.array_except(window, holes)) < LITERAL
+        chosen = F.when(poor, F.slice("parts", i + 1, size)).otherwise(window)
+        return F.struct(i.alias("at"), F.xxhash64(chosen).alias("hash"))
 
-    def one(i: Column) -> Column:
-        window = F.slice(words, i + 1, size)
-        return F.when(F.size(F.array_except(window, holes)) >= F.least(literal, F.lit(LITERAL)), F.xxhash64(window))
+    hashed = F.when(F.arrays_overlap("t", holes), F.transform(places, checked)).otherwise(F.transform(places, plain))
+    return F.when(F.size("t") > 0, hashed).otherwise(F.array().cast("array<struct<at:int,hash:bigint>>"))
 
-    return F.when(F.size(words) > 0, F.transform(F.sequence(F.lit(0), last), one)).otherwise(F.array().cast("array<bigint>"))
+
+def _exact(size: int) -> Column:
+    """(at, hash) of each run of ``size`` tokens with the values of its placeholders."""
+    runs = F.transform(F.sequence(F.lit(0), F.size("t") - size), lambda i: F.struct(
+        i.alias("at"), F.xxhash64(F.lit(size), F.slice("parts", i + 1, size)).alias("hash")))
+    return F.when(F.size("t") >= size, runs).otherwise(F.array().cast("array<struct<at:int,hash:bigint>>"))
 
 
 def find_leaks(
     df: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
-    keys: tuple[str, ...] = ("doc_id",), window: int = WINDOW, share: float = SHARE,
+    keys: tuple[str, ...] = ("doc_id",), window: int = WINDOW, share: float = SHARE, drift: int = DRIFT,
 ) -> DataFrame:
-    """One row per (``keys``, item) that a document holds: ``n_windows`` windows of the item
-    along the best alignment, ``share`` of all windows of the item, ``start`` (token where
-    the item would begin in the document), ``n_slots`` placeholders compared and ``changed``,
-    whether any of them has another value than in the benchmark.
-
-    A window has eight tokens, at least five of them different literal words; a shorter item
-    is one window, found only where a document is nothing but it. An alignment is a leak if
-    it holds the given share of the item's windows and its slots are consistent. Documents
-    and items with null or empty text give nothing; rows that repeat a key are one document.
-    Null keys count as a key of their own. All columns but those named are ignored.
+    """One row per (``keys``, item) that a document holds: ``n_windows`` different windows of
+    the item in the best place, ``share`` of the item's tokens that they cover, ``start``
+    (token where the item would begin in the document), ``n_slots`` different pairs of
+    placeholder values compared and ``changed``, whether any of them differ.
+
+    A window has five tokens; one with fewer than two different literal words must have the
+    item's values in its placeholders, any other only its template. Windows are added up
+    along one alignment, and along a chain of alignments each at most ``drift`` tokens from
+    the one before, so words may be inserted or left out. Either is a leak if it covers seven
+    tokens of the item and ``share`` of its others (all tokens of an item with up to seven)
+    and if its slots are consistent. The best place covers most; ties go to one alignment
+    before a chain, then to the smallest start.
+
+    Items of three and four tokens are found inside a text with their own values only, and
+    those of one and two only where a text is nothing but them. Documents and items with null
+    or empty text give nothing; rows that repeat a key are one document. Null keys count as a
+    key of their own. All columns but those named are ignored.
     """
-    items = benchmark.select(
-        column(item_id).alias("item"), template(column(item_text)).alias("t"), tokens(column(item_text)).alias("raw")
-    )
+    items = benchmark.select(column(item_id).alias("item"), _split(F.lower(_marked(column(item_text)))).alias("parts"))
+    items = items.withColumn("t", _template(F.col("parts"))).where(F.size("t") > 0).withColumn("n", F.size("t"))
+    items = stored(items, "benchmark")
+    short = [r.n for r in items.where(F.col("n").between(SHORTEST, window - 1)).select("n").distinct().collect()]
+    whole = F.array(F.struct(F.lit(0).alias("at"), F.xxhash64(F.col("n"), F.col("parts")).alias("hash")))
+    within = F.when(F.col("n").between(SHORTEST, window - 1), F.concat(_windows(window), whole)).otherwise(_windows(window))
     items = stored(
-        items.withColumn("h", _windows(F.col("t"), window))
-        .withColumn("n", F.size(F.filter("h", lambda x: x.isNotNull())))
-        .select("item", "n", "t", "raw", F.posexplode_outer("h").alias("at", "hash")).where("hash is not null")
-        .select("item", "n", F.col("at").alias("item_at"), "hash", *_slots("item_slots", window)),
+        items.select("item", "n", "t", "parts", F.explode_outer(within).alias("w"))
+        .select("item", "n", F.col("w.at").alias("item_at"), "w.hash", _slots(F.col("w.at"), window).alias("item_slots")),
         "benchmark",
     )
     blocks = max(1, min(MAX_BLOCKS, -(-items.count() // URLS_PER_BLOCK)))
     bloom = bloom_filter(items, "hash", blocks)
+    names = [f"k{i}" for i in range(len(keys))]
     documents = df.select(
-        *[column(k).alias(f"k{i}") for i, k in enumerate(keys)],
-        template(column(text)).alias("t"), tokens(column(text)).alias("raw"),
-    )
-    windows = documents.withColumn("h", _windows(F.col("t"), window))
+        *[column(k).alias(n) for n, k in zip(names, keys)], _split(F.lower(_marked(column(text)))).alias("parts")
+    ).withColumn("t", _template(F.col("parts")))
+    wanted = F.concat(_windows(window), *[_exact(n) for n in sorted(short)]) if short else _windows(window)
     # The outer form: for the plain one Spark adds a filter on the array below, and computes
     # the tokens once more for every window to evaluate it.
-    names = [f"k{i}" for i in range(len(keys))]
-    every = windows.select(*names, "t", "raw", F.posexplode_outer("h").alias("at", "hash")).where("hash is not null")
+    every = documents.select(*names, "t", "parts", F.explode_outer(wanted).alias("w")).select(
+        *names, "t", "parts", F.col("w.at").alias("at"), F.col("w.hash").alias("hash")
+    ).where("hash is not null")
     maybe = may_contain(every, "hash", bloom, blocks, "maybe").where("maybe").select(
-        *names, "at", "hash", *_slots("slots", window)
+        *names, "at", "hash", _slots(F.col("at"), window).alias("slots")
     )
     met = maybe.join(items, "hash").withColumn("start", F.col("at") - F.col("item_at"))
     # Rows of one alignment, each window once.
-    alignment = [*names, "item", "start"]
-    once = met.groupBy(*alignment, "item_at").agg(
+    once = met.groupBy(*names, "item", "start", "item_at").agg(
         F.first("n").alias("n"), F.first("slots").alias("slots"), F.first("item_slots").alias("item_slots")
     )
-    pairs = F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots")))
-    aligned = once.groupBy(*alignment).agg(
-        F.count(F.lit(1)).alias("n_windows"), F.first("n").alias("n"), F.array_distinct(pairs).alias("pairs")
-    )
+    width, need = F.least(F.col("n"), F.lit(window)), F.least(F.col("n"), F.ceil(FIRST + share * (F.col("n") - FIRST)))
+    pair = Window.partitionBy(*names, "item")
+    enough = once.withColumn("met", F.count(F.lit(1)).over(pair)).where(F.col("met") * width >= need)
+    before = F.lag("start").over(pair.orderBy("start"))
+    cut = enough.withColumn("cut", F.coalesce((F.col("start") - before > drift).cast("int"), F.lit(0)))
+    chain = F.sum("cut").over(pair.orderBy("start").rowsBetween(Window.unboundedPreceding, 0))
+    place = F.explode(F.array(
+        F.struct(F.lit(0).alias("kind"), F.col("start").cast("long").alias("nr")),
+        F.struct(F.lit(1).alias("kind"), F.col("chain").alias("nr")),
+    ))
+    placed = cut.withColumn("chain", chain).withColumn("place", place).select("*", "place.kind", "place.nr")
+    group = [*names, "item", "kind", "nr"]
+    # Windows in the item's order: each adds what the one before does not cover.
+    further = F.col("item_at") - F.lag("item_at").over(Window.partitionBy(*group).orderBy("item_at"))
+    placed = placed.withColumn("new", F.coalesce(F.least(width, further), width))
+    pairs = F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots"))))
+    found = placed.groupBy(*group).agg(
+        F.sum("new").alias("covered"), F.sum((F.col("new") > 0).cast("long")).alias("n_windows"),
+        F.first("n").alias("n"), F.min("start").alias("start"), pairs.alias("pairs"),
+    ).where(F.col("covered") >= need)
     values = F.array_distinct(F.transform("pairs", lambda p: p["item_slots"]))
-    judged = aligned.select(
-        *alignment, "n_windows", (F.col("n_windows") / F.col("n")).alias("share"),
-        F.size("pairs").alias("n_slots"), (F.size(values) == F.size("pairs")).alias("consistent"),
+    leaks = found.where(F.size(values) == F.size("pairs"))
+    best = F.struct(
+        "covered", (-F.col("kind")).alias("kind"), (-F.col("start")).alias("start"), "n_windows",
+        (F.col("covered") / F.col("n")).alias("share"), F.size("pairs").alias("n_slots"),
         F.exists("pairs", lambda p: p["item_slots"] != p["slots"]).alias("changed"),
     )
-    leaks = judged.where(F.col("consistent") & (F.col("share") >= share))
-    best = F.struct("n_windows", (-F.col("start")).alias("start"), "share", "n_slots", "changed")
     return leaks.groupBy(*names, "item").agg(F.max(best).alias("b")).select(
-        *[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)], F.col("item").alias("item_id"),
+        *[F.col(n).alias(k) for n, k in zip(names, keys)], F.col("item").alias("item_id"),
         F.col("b.n_windows").alias("n_windows"), F.col("b.share").alias("share"), (-F.col("b.start")).cast("long").alias("start"),
         F.col("b.n_slots").alias("n_slots"), F.col("b.changed").alias("changed"),
     )
 
 
-def _slots(out: str, window: int) -> list[Column]:
+def _slots(at: Column, window: int) -> Column:
     """What stands in the placeholders of the window at ``at``, lower-cased."""
-    holes = F.array(F.lit(NUMBER), F.lit(NAME), F.lit(UNIT))
-    here = F.sequence(F.col("at"), F.least(F.col("at") + window, F.size("t")) - 1)
-    inside = F.filter(here, lambda i: F.array_contains(holes, F.get(F.col("t"), i)))
-    return [F.transform(inside, lambda i: F.lower(F.get(F.col("raw"), i))).alias(out)]
+    return F.filter(F.slice("parts", at + 1, window), _is_slot)
