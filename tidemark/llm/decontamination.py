@@ -43,15 +43,19 @@ UNITS = (
 def _marked(text: Column) -> Column:
     """``text`` with each number, run of names and unit between its placeholder and END, and
     the letters of scripts without spaces set apart."""
-    whole = F.translate(F.coalesce(text, F.lit("")), NUMBER + NAME + UNIT + END, "    ")
-    apart = F.when(whole.rlike(SPACELESS), F.regexp_replace(whole, rf"({SPACELESS}\p{{M}}*)", "$1 ")).otherwise(whole)
-    name = r"\p{Lu}\p{Ll}[\p{L}\p{M}]*"
-    named = F.regexp_replace(apart, rf"(?<=[\p{{Ll}}\p{{N}},;] ){name}(?: {name})*", f"{NAME}$0{END}")
+    given = F.coalesce(text, F.lit(""))
+    marks = NUMBER + NAME + UNIT + END
+    apart = F.regexp_replace(F.translate(given, marks, "    "), rf"({SPACELESS}\p{{M}}*)", "$1 ")
+    # Few texts need that, and to tell is cheaper than to do it.
+    whole = F.when(given.rlike(rf"[{marks}{SPACELESS[1:]}"), apart).otherwise(given)
+    numbered = F.regexp_replace(whole, r"\p{N}+(?:[.,]\p{N}+)*", f"{NUMBER}$0{END}")
+    # Each pattern begins with what is rare, so that most characters are passed over at once.
     units = "|".join(sorted(UNITS, key=len, reverse=True))
-    united = F.regexp_replace(
-        named, rf"(?<=\p{{N}}|\p{{N}} )(?:{units})(?![\p{{L}}\p{{M}}\p{{N}}])|[%$€£°]", f"{UNIT}$0{END}"
-    )
-    return F.regexp_replace(united, r"\p{N}+(?:[.,]\p{N}+)*", f"{NUMBER}$0{END}")
+    united = F.regexp_replace(numbered, rf"{END}( ?)({units})(?![\p{{L}}\p{{M}}{NUMBER}])", f"{END}$1{UNIT}$2{END}")
+    signed = F.regexp_replace(united, "[%$€£°]", f"{UNIT}$0{END}")
+    word = r"\p{Ll}[\p{L}\p{M}]*"
+    name = rf"\p{{Lu}}(?<=[\p{{Ll}}{END},;] \p{{Lu}}){word}(?: \p{{Lu}}{word})*"
+    return F.regexp_replace(signed, name, f"{NAME}$0{END}")
 
 
 def _split(marked: Column) -> Column:
@@ -75,9 +79,9 @@ def tokens(text: Column) -> Column:
 def template(text: Column) -> Column:
     """The same tokens, lower-cased, with placeholders for numbers, runs of names and units.
 
-    A name is a capitalised word after a lower-case letter, digit or comma and one space, so
-    the first word of a sentence is none; names with one space between them are one. A unit
-    stands right behind a number. Characters of the placeholders in the text itself count as
+    A name is a capitalised word after a lower-case letter, number, unit or comma and one
+    space, so the first word of a sentence is none; names with one space between them are one.
+    A unit stands right behind a number. Characters of the placeholders in the text itself count as
     letters of no word.
     """
     return _template(_split(F.lower(_marked(text))))
