@@ -150,8 +150,10 @@ def find_leaks(
     bloom = bloom_filter(items, "hash", blocks)
     names = [f"k{i}" for i in range(len(keys))]
     documents = df.select(
-        *[column(k).alias(n) for n, k in zip(names, keys)], _split(F.lower(_marked(column(text)))).alias("parts")
-    ).withColumn("t", _template(F.col("parts")))
+        *[column(k).alias(n) for n, k in zip(names, keys)], F.lower(_marked(column(text))).alias("marked")
+    ).select(*names, _split(F.col("marked")).alias("parts"), F.col("marked").contains(END).alias("slotted"))
+    # A text without placeholders is its own template.
+    documents = documents.withColumn("t", F.when(F.col("slotted"), _template(F.col("parts"))).otherwise(F.col("parts")))
     wanted = F.concat(_windows(window), *[_exact(n) for n in sorted(short)]) if short else _windows(window)
     # The outer form: for the plain one Spark adds a filter on the array below, and computes
     # the tokens once more for every window to evaluate it.
