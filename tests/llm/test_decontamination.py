@@ -27,6 +27,13 @@ def test_tokens_and_template_line_up(spark):
     assert [x for x, y in zip(a.a, a.b) if y == D.UNIT] == ["km"]
 
 
+def test_long_runs_of_names_and_numbers(spark):
+    """They are one token each; a matcher that calls itself per repeat overflows the stack."""
+    texts = ["by " + " ".join(["Anna Lee"] * 20_000), "sum " + ",".join(["12"] * 40_000)]
+    df = odd.documents(spark, texts, extra=False).select("doc_id", D.template(F.col("text")).alias("t"))
+    assert {r.doc_id: r.t for r in df.collect()} == {0: ["by", D.NAME], 1: ["sum", D.NUMBER]}
+
+
 def test_reparameterised_questions(spark):
     got = find(spark, [
         f"Some text before. {ITEM} And after.",

@@ -48,13 +48,15 @@ def _marked(text: Column) -> Column:
     apart = F.regexp_replace(F.translate(given, marks, "    "), rf"({SPACELESS}\p{{M}}*)", "$1 ")
     # Few texts need that, and to tell is cheaper than to do it.
     whole = F.when(given.rlike(rf"[{marks}{SPACELESS[1:]}"), apart).otherwise(given)
-    numbered = F.regexp_replace(whole, r"\p{N}+(?:[.,]\p{N}+)*", f"{NUMBER}$0{END}")
+    # Groups repeat possessively (*+): otherwise Java's matcher calls itself once for each
+    # repeat, and a long run of names or numbers overflows the stack, which ends the executor.
+    numbered = F.regexp_replace(whole, r"\p{N}+(?:[.,]\p{N}+)*+", f"{NUMBER}$0{END}")
     # Each pattern begins with what is rare, so that most characters are passed over at once.
     units = "|".join(sorted(UNITS, key=len, reverse=True))
     united = F.regexp_replace(numbered, rf"{END}( ?)({units})(?![\p{{L}}\p{{M}}{NUMBER}])", f"{END}$1{UNIT}$2{END}")
     signed = F.regexp_replace(united, "[%$€£°]", f"{UNIT}$0{END}")
     word = r"\p{Ll}[\p{L}\p{M}]*"
-    name = rf"\p{{Lu}}(?<=[\p{{Ll}}{END},;] \p{{Lu}}){word}(?: \p{{Lu}}{word})*"
+    name = rf"\p{{Lu}}(?<=[\p{{Ll}}{END},;] \p{{Lu}}){word}(?: \p{{Lu}}{word})*+"
     return F.regexp_replace(signed, name, f"{NAME}$0{END}")
 
 
