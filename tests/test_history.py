@@ -87,6 +87,15 @@ def test_slices_cover_a_hot_key_evenly(spark, hot):
     assert sizes.agg(F.max("count")).first()[0] < 1000
 
 
+def test_the_number_of_slices_is_bounded(spark):
+    """The driver samples rows for every slice: their number must not grow with the rows."""
+    df = spark.range(1_000_000).selectExpr("id % 1000 as k", "id as at")
+    order = ordered.KeyedOrder(df, ["k"], ["at"], hot_rows=5)
+    assert order.slices <= ordered.MOST_SLICES + 1
+    sizes = [r["count"] for r in order.sliced(df).groupBy(ordered.SLICE).count().collect()]
+    assert len(sizes) > 100 and max(sizes) < 3 * 1_000_000 / ordered.MOST_SLICES
+
+
 def test_rows_of_one_moment_are_sliced_too(spark):
     df = spark.range(2000).selectExpr("1 as k", "date'2024-01-01' as at", "id")
     tied = ordered.KeyedOrder(df, ["k"], ["at"], hot_rows=500)  # nothing but the row itself tells them apart

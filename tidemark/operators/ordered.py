@@ -22,12 +22,16 @@ SLICE = "__slice"
 # No slice is planned smaller than this: with tiny limits, as in tests, a task per few rows
 # would cost more to start than to run.
 LEAST_SLICE = 1000
+# So many slices are planned at most, as long as none then holds more rows than a task sorts
+# well. Every slice costs sampled rows on the driver, a task and a file.
+MOST_SLICES = 400
 
 
 class KeyedOrder:
     """The order of rows within ``keys`` and the slices of hot keys.
 
-    A slice holds about ``hot_rows`` rows. Rows that share all ``order`` values are split as
+    A slice holds about ``hot_rows`` rows; where that made more than MOST_SLICES slices, as many
+    more as keep to that number, up to HOT_ROWS. Rows that share all ``order`` values are split as
     well, by a hash of the row; only rows that are the same in every column stay together.
     ``df`` is counted when the object is made. Without ``keys`` the whole table is one key and
     always sliced. ``hot_rows=None`` takes it for granted that no key is hot.
@@ -46,7 +50,8 @@ class KeyedOrder:
         self.slices = None
         if self.hot is not None:
             rows = self.hot.agg(F.sum(ROWS)).first()[0]
-            self.slices = -(-rows // max(hot_rows, LEAST_SLICE)) + 1
+            size = max(hot_rows, LEAST_SLICE, min(HOT_ROWS, -(-rows // MOST_SLICES)))
+            self.slices = -(-rows // size) + 1
         self.sliced_at_all = self.hot is not None or (not self.keys and hot_rows is not None)
 
     def sliced(self, df: DataFrame) -> DataFrame:
