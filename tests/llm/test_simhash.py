@@ -185,3 +185,13 @@ def test_near_copies_in_a_crowd_over_one_vocabulary(spark):
     want = kept_by_brute_force(texts)
     assert all(i not in want for i in range(30, 60)) and sum(i >= 60 for i in want) == 30
     assert sorted(r.doc_id for r in simhash.drop_near_copies(odd.documents(spark, texts)).collect()) == want
+
+
+def test_near_copies_come_by_their_fingerprints(spark, monkeypatch):
+    """With nothing but the fingerprints, texts that differ in one of many words still meet."""
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words), " ".join(words[:399] + ["other"]), " ".join(f"v{i}" for i in range(400)), "", " "]
+    df = odd.documents(spark, texts, extra=False)
+    empty = "token long, k1 long, n int, rest int, m long"
+    monkeypatch.setattr(simhash, "_meetings", lambda *_: spark.createDataFrame([], empty))
+    assert {r.doc_id for r in simhash.drop_near_copies(df).collect()} == {0, 2, 3}

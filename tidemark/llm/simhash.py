@@ -29,6 +29,7 @@ from tidemark.llm.components import components
 from tidemark.llm.url_filter import MAX_BLOCKS, URLS_PER_BLOCK, bloom_filter, listed_marks, may_contain
 
 SEED = 42
+RADIUS = 4
 CHUNK = 1 << 16
 # What bytes add to the eight bits they hold, highest first.
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
@@ -335,14 +336,32 @@ def _alike(rows: DataFrame, first: DataFrame, pairs: DataFrame, similarity: floa
     return links
 
 
+def fingerprint_pairs(first: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Pairs ``a`` < ``b`` of nodes by the fingerprints ``fp`` of ``first``: each node with the
+    first one of its fingerprint, and the first ones of fingerprints that link."""
+    work = Scratch(first.sparkSession, "simhash")
+    owners = work(first.groupBy("fp").agg(F.min("node").alias("owner")))
+    linked = work(links(owners.select("fp"), radius))
+    equal = first.join(owners, "fp").where("node <> owner").select(F.col("owner").alias("a"), F.col("node").alias("b"))
+    met = linked.join(owners.select(F.col("fp").alias("a"), F.col("owner").alias("one")), "a").join(
+        owners.select(F.col("fp").alias("b"), F.col("owner").alias("other")), "b"
+    ).select(F.least("one", "other").alias("a"), F.greatest("one", "other").alias("b"))
+    pairs = stored(equal.unionByName(met), "simhash")
+    work.delete()
+    return pairs
+
+
 def near_copy_links(rows: DataFrame, first: DataFrame, similarity: float, keep: Scratch) -> DataFrame:
     """Links ``a``, ``b`` between the ``node`` of ``first`` whose shingle sets are at least
     ``similarity`` alike: not all pairs, but enough to connect all that are.
 
-    Up to FEW that meet are compared each with each. In larger crowds everyone is first
-    compared with the two before it; then all pairs that this has not connected are compared.
+    Texts whose fingerprints link are compared first. What fingerprints miss is found by
+    first shingles: up to FEW that meet are compared each with each. In larger crowds everyone
+    is first compared with the two before it; then all pairs that this has not connected are
+    compared.
     """
     work = Scratch(rows.sparkSession, "copies")
+    by_fingerprint = fingerprint_pairs(first)
     # Texts of one hash are one while they meet; from here on each is a node.
     met = work(_meetings(rows, similarity).join(first.select("k1", "node"), "k1").drop("k1"))
     crowds = met.where(F.col("m") > FEW)
@@ -350,7 +369,7 @@ def near_copy_links(rows: DataFrame, first: DataFrame, similarity: float, keep:
     lagged = crowds.select("node", "n", "rest", *[F.lag(F.struct("node", "n", "rest"), k).over(in_order).alias(f"o{k}") for k in (1, 2)])
     nearest = lagged.select("node", "n", "rest", F.explode(F.array("o1", "o2")).alias("o")).where(F.col("o").isNotNull() & _may_be_alike(similarity, "o."))
     nearest = nearest.select(F.least("node", "o.node").alias("a"), F.greatest("node", "o.node").alias("b"))
-    nearest = nearest.unionByName(_pairs(met.where(F.col("m") <= FEW), similarity))
+    nearest = nearest.unionByName(_pairs(met.where(F.col("m") <= FEW), similarity)).unionByName(by_fingerprint)
     links = _alike(rows, first, nearest.distinct(), similarity, keep)
     labels = components(links, "copies")
     labelled = crowds.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -376,7 +395,9 @@ def drop_near_copies(
     """``df`` with one row of each group of exact and near copies: the one with the smallest
     id (nulls last; of repeated ids any one row). All columns stay as they are.
 
-    Groups are all texts that chains of near copies connect. Null texts count as empty, and
+    Texts whose SimHash fingerprints link are near copies if their exact shingle sets are as
+    similar as ``similarity``; so are all others of that similarity, however far apart their
+    fingerprints. Groups are all texts that chains of near copies connect. Null texts count as empty, and
     empty texts are copies of each other. Texts too short for a shingle are compared whole.
     Equal texts are known by 128 bits of hashes.
 
@@ -394,8 +415,10 @@ def drop_near_copies(
         F.col("__at").alias("at"), column(id_column).alias("id"), whole.alias("text"),
         F.xxhash64(whole).alias("k1"), F.xxhash64(F.lit(1), whole).alias("k2"),
     )
+    printed = rows.withColumn("fp", fingerprint(F.col("text"))).drop("text")
     order = F.struct(F.col("id").isNull().alias("none"), "id", "at")
-    first = rows.groupBy("k1", "k2").agg(F.min(order).alias("order")).select("k1", "order", F.col("order.at").alias("at"))
+    first = printed.groupBy("k1", "k2").agg(F.min(order).alias("order"), F.any_value("fp").alias("fp"))
+    first = first.select("k1", "fp", "order", F.col("order.at").alias("at"))
     first = keep(first.withColumn("node", F.monotonically_increasing_id()))
     labels = components(near_copy_links(rows, first, similarity, keep), "copies")
     best = first.join(labels, "node", "left").groupBy(F.coalesce("label", "node").alias("label")).agg(F.min("order").alias("order"))
