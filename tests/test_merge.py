@@ -86,6 +86,16 @@ def test_document_prune_modes(spark):
         prune("rank", ["at"])
 
 
+def test_prune_by_row_number_ranks_in_a_step_of_its_own(spark):
+    """The join with the target does not hold the ranking and counting of lines as well."""
+    lines = spark.createDataFrame([(1, 1, 5, "I"), (1, 2, 7, "I"), (2, 1, 5, "D")], "doc int, item int, at int, OPFLAG string")
+    target = lines.drop("OPFLAG")
+    found = merge.document_prune(target, lines, ["doc"], ["doc", "item"], ["at"], mode="row_number")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "bool_or" not in plan and "count(" not in plan
+    assert rows(found) == [(1, 2, 7)]
+
+
 def test_document_replace_and_load(spark):
     target = spark.createDataFrame([(1, 1, "old"), (1, 2, "old"), (2, 1, "old")], "doc int, item int, v string")
     increment = spark.createDataFrame([(1, 1, "new"), (3, 1, "new")], target.schema)

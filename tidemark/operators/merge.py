@@ -144,16 +144,20 @@ def document_prune(
         )
         gone = judged.where(~F.coalesce("__latest", F.lit(False)) | F.col("__flagged")).select(*names(keys))
         return anti_join(target, gone, keys)
-    flagged = lines.where(name(flag_column) == F.lit(flag)).select(*names(keys))
-    if mode == "row_number":
-        newest = dedup_latest(lines.select(*names(dict.fromkeys([*keys, *order_by]))), header_keys, order_by)
-        repeated = lines.groupBy(*names(keys)).agg(F.count(F.lit(1)).alias("__n"))
-        single = repeated.where(F.col("__n") == 1).select(*names(keys))
-        safe = single.join(newest.select(*names(keys)), list(keys), "left_semi")
-        outdated = anti_join(repeated.select(*names(keys)), safe, keys)
-    else:
+    if mode != "row_number":
         raise ValueError(f"unknown mode: {mode}")
-    return anti_join(target, outdated.unionByName(flagged), keys)
+    # Newest lines and judged keys are tables of their own, so that no task holds the sorts and
+    # aggregations of one step beside those of the next.
+    newest = dedup_latest(lines.select(*names(dict.fromkeys([*keys, *order_by]))), header_keys, order_by)
+    newest = stored(newest.select(*names(keys)), "newest")
+    flagged = F.coalesce(name(flag_column) == F.lit(flag), F.lit(False))
+    every = lines.select(*names(keys), F.lit(1).alias("__n"), F.lit(False).alias("__latest"), flagged.alias("__flagged"))
+    latest = newest.select(*names(keys), F.lit(0).alias("__n"), F.lit(True).alias("__latest"), F.lit(False).alias("__flagged"))
+    judged = every.unionByName(latest).groupBy(*names(keys)).agg(
+        F.sum("__n").alias("__n"), F.bool_or("__latest").alias("__latest"), F.bool_or("__flagged").alias("__flagged")
+    )
+    gone = judged.where((F.col("__n") > 1) | ~F.col("__latest") | F.col("__flagged")).select(*names(keys))
+    return anti_join(target, stored(gone, "gone"), keys, distinct=False)
 
 
 def sync_columns(target: DataFrame, source: DataFrame) -> DataFrame:
