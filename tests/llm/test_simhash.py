@@ -195,3 +195,43 @@ def test_near_copies_come_by_their_fingerprints(spark, monkeypatch):
     empty = "token long, k1 long, n int, rest int, m long"
     monkeypatch.setattr(simhash, "_meetings", lambda *_: spark.createDataFrame([], empty))
     assert {r.doc_id for r in simhash.drop_near_copies(df).collect()} == {0, 2, 3}
+
+
+def test_sketches_never_tell_alike_sets_apart(spark):
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(4000)]
+    texts = ["", "one", "one two"]
+    for n in (6, 40, 63, 65, 130, 700):
+        base = rng.choices(words, k=n)
+        for k in range(0, n, max(1, n // 12)):
+            texts.append(" ".join([*base[: n - k], *rng.choices(words, k=rng.choice([k, k + 3]))]))
+    rows = odd.documents(spark, texts, extra=False).select("doc_id", simhash.sketches(F.col("text")).alias("x")).select("doc_id", "x.*")
+    other = rows.select(*[F.col(c).alias(f"other_{c}") for c in rows.columns])
+    allowed = {(r.doc_id, r.other_doc_id) for r in rows.crossJoin(other).where(simhash._sketches_allow(0.8, "other_")).collect()}
+    pairs = [(a, b) for a in range(len(texts)) for b in range(len(texts))]
+    alike = {(a, b) for a, b in pairs if jaccard(texts[a], texts[b]) >= 0.8}
+    assert alike <= allowed and len(allowed) < 2 * len(alike)
+
+
+def test_only_pairs_that_sketches_allow_are_compared_by_their_sets(spark, monkeypatch):
+    """A crowd whose members are alike by 0.6 to 0.75: all pairs of it meet, none is stored."""
+    rng = random.Random(12)
+    page = [f"w{i}" for i in range(100)]
+    texts = []
+    for i in range(48):
+        own = list(page)
+        for at in rng.sample(range(4, 96), 3):
+            own[at] = f"v{i}"
+        texts.append(" ".join(own))
+    want = kept_by_brute_force(texts)
+    stored, call = [], simhash.Scratch.__call__
+
+    def counted(self, df):
+        out = call(self, df)
+        if out.columns[:2] == ["a", "b"]:
+            stored.append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash.Scratch, "__call__", counted)
+    assert sorted(r.doc_id for r in simhash.drop_near_copies(odd.documents(spark, texts)).collect()) == want
+    assert len(want) > 40 and max(stored) < 400, stored

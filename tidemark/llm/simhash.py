@@ -168,6 +168,9 @@ FEW = 9
 HEAD = 64
 # Groups of more rows are dealt out over salts, so many rows each.
 SALTED = 512
+# Bits of a sketch for each shingle, at least; longs of it that go along with rows that meet.
+SKETCH = 2
+CARRIED = 8
 # Hashes of words that a task remembers.
 KNOWN_WORDS = 50_000
 _TINY = 1e-9  # what rounding may do to a share
@@ -209,6 +212,46 @@ def shingle_sets(text: Column, shingle: int = SHINGLE) -> Column:
     return of(text)
 
 
+def _parities(tokens: np.ndarray) -> np.ndarray:
+    bits = 64
+    while bits < SKETCH * len(tokens):
+        bits *= 2
+    counts = np.bincount(tokens & (bits - 1), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
+def sketches(text: Column, shingle: int = SHINGLE) -> Column:
+    """``n``, the number of distinct shingles, and ``bits``: how many of them fall to each of a
+    power of two of places, odd or even. Sets that differ in *d* shingles differ in at most *d*
+    places, so sketches tell texts apart at a thirtieth of the size, and never alike ones."""
+
+    @F.pandas_udf("struct<n:int,bits:array<bigint>>")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        sets = [_distinct_shingles(t, shingle) for t in texts]
+        return pd.DataFrame({"n": [len(x) for x in sets], "bits": [_parities(x) for x in sets]})
+
+    return of(text)
+
+
+def _folded(bits: Column, words: Column) -> Column:
+    """The sketch of the same set in ``words`` longs, a power of two and at most its own."""
+
+    def place(i: Column) -> Column:
+        same = F.sequence(i, F.size(bits) - 1, words)
+        return F.aggregate(same, F.lit(0).cast("bigint"), lambda x, j: x.bitwiseXOR(F.get(bits, j)))
+
+    return F.when(F.size(bits) <= words, bits).otherwise(F.transform(F.sequence(F.lit(0), words - 1), place))
+
+
+def _sketches_allow(similarity: float, other: str) -> Column:
+    """Of two texts with ``n`` and ``bits``: their sizes and sketches leave room for the similarity."""
+    n, bits = F.col(f"{other}n"), F.col(f"{other}bits")
+    words = F.least(F.size("bits"), F.size(bits))
+    differ = F.zip_with(_folded(F.col("bits"), words), _folded(bits, words), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    sizes = F.least(F.col("n"), n) >= similarity * F.greatest(F.col("n"), n) - _TINY
+    return sizes & (F.aggregate(differ, F.lit(0), lambda x, y: x + y) <= (F.col("n") + n) * ((1 - similarity) / (1 + similarity)) + _TINY)
+
+
 def frequent_shingles(texts: DataFrame, shingle: int = SHINGLE) -> np.ndarray:
     """The shingles that most texts have, at most FREQUENT, the most frequent last.
 
@@ -297,38 +340,58 @@ def _pairs(met: DataFrame, similarity: float, *apart: str, once: bool = False) -
     """All distinct pairs ``a`` < ``b`` that meet and may be alike; with ``apart`` only those
     that differ in that column.
 
-    Two copies meet at many tokens. With ``once`` (``met`` has ``before``) the join leaves a
+    With ``bits`` in ``met`` their sketches have to allow it, too. Two copies meet at many tokens. With ``once`` (``met`` has ``before``) the join leaves a
     pair out where both are known to have met at an earlier token.
     """
     apart = (*apart, "before") if once else apart
+    sketched = [c for c in met.columns if c == "bits"]
     salts = F.ceil(F.col("m") / SALTED).cast("int")
     left = met.withColumn("salt", F.pmod(F.xxhash64("node"), salts).cast("int"))
     right = met.select(
         "token", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"),
-        *[F.col(c).alias(f"other_{c}") for c in ("node", "n", "rest", *apart)],
+        *[F.col(c).alias(f"other_{c}") for c in ("node", "n", "rest", *apart, *sketched)],
     )
     both = left.join(right, ["token", "salt"]).where(_may_be_alike(similarity) & (F.col("node") < F.col("other_node")))
     for c in apart:
         new = ~F.arrays_overlap(c, f"other_{c}") if c == "before" else F.col(c) != F.col(f"other_{c}")
         both = both.where(new)
+    if sketched:
+        both = both.where(_sketches_allow(similarity, "other_"))
     return both.select(F.col("node").alias("a"), F.col("other_node").alias("b")).distinct()
 
 
-def _alike(rows: DataFrame, first: DataFrame, pairs: DataFrame, similarity: float, keep: Scratch) -> DataFrame:
+def _rows_at(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``at`` and ``text`` of the rows at the stored places ``at`` of ``wanted``, and of few
+    others: a Bloom filter tells, so texts need not be shuffled."""
+    blocks = max(1, min(MAX_BLOCKS, -(-wanted.count() // URLS_PER_BLOCK)))
+    return may_contain(rows.select("at", "text"), "at", bloom_filter(wanted, "at", blocks), blocks, "maybe").where("maybe")
+
+
+def _sketched(rows: DataFrame, first: DataFrame, nodes: DataFrame, keep: Scratch) -> DataFrame:
+    """``node``, ``n`` and ``bits`` of the distinct ``nodes``."""
+    work = Scratch(rows.sparkSession, "copies")
+    wanted = work(first.join(nodes, "node", "left_semi").select("node", "at"))
+    each = _rows_at(rows, wanted).select("at", sketches(F.col("text")).alias("sketch"))
+    found = keep(each.join(wanted, "at").select("node", "sketch.n", "sketch.bits"))
+    work.delete()
+    return found
+
+
+def _alike(rows: DataFrame, first: DataFrame, pairs: DataFrame, sketched: DataFrame, similarity: float, keep: Scratch) -> DataFrame:
     """Those of the pairs ``a``, ``b`` whose exact shingle sets are as similar as that.
 
-    Only texts that stand in a pair are shuffled: a Bloom filter of their rows lets pass few
-    others.
+    Sketches come first. They leave few pairs that are not alike, and only sets of these are
+    shuffled.
     """
     work = Scratch(rows.sparkSession, "copies")
-    pairs = work(pairs)
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = work(first.join(nodes, "node", "left_semi").select("node", "at"))
-    blocks = max(1, min(MAX_BLOCKS, -(-wanted.count() // URLS_PER_BLOCK)))
-    maybe = may_contain(rows.select("at", "text"), "at", bloom_filter(wanted, "at", blocks), blocks, "maybe").where("maybe")
-    sets = work(maybe.join(wanted, "at").select("node", shingle_sets(F.col("text")).alias("s")))
-    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
-    both = left.join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
+    left = pairs.join(sketched.withColumnRenamed("node", "a"), "a")
+    right = sketched.select(F.col("node").alias("b"), F.col("n").alias("other_n"), F.col("bits").alias("other_bits"))
+    close = left.join(right, "b").where(_sketches_allow(similarity, "other_"))
+    sides = work(close.select("a", "b", F.explode(F.array("a", "b")).alias("node")))
+    wanted = work(sides.join(first.select("node", "at"), "node").drop("node"))
+    sets = _rows_at(rows, wanted).select("at", shingle_sets(F.col("text")).alias("s"))
+    both = wanted.join(sets, "at").groupBy("a", "b").agg(F.collect_list("s").alias("s"))
+    both = both.select("a", "b", F.get("s", F.lit(0)).alias("sa"), F.get("s", F.lit(1)).alias("sb"))
     common = F.size(F.array_intersect("sa", "sb"))
     either_has = F.size("sa") + F.size("sb") - common
     links = keep(both.where(common >= F.lit(similarity) * either_has).select("a", "b"))
@@ -370,13 +433,18 @@ def near_copy_links(rows: DataFrame, first: DataFrame, similarity: float, keep:
     nearest = lagged.select("node", "n", "rest", F.explode(F.array("o1", "o2")).alias("o")).where(F.col("o").isNotNull() & _may_be_alike(similarity, "o."))
     nearest = nearest.select(F.least("node", "o.node").alias("a"), F.greatest("node", "o.node").alias("b"))
     nearest = nearest.unionByName(_pairs(met.where(F.col("m") <= FEW), similarity)).unionByName(by_fingerprint)
-    links = _alike(rows, first, nearest.distinct(), similarity, keep)
+    nearest = work(nearest.distinct())
+    nodes = nearest.select(F.explode(F.array("a", "b")).alias("node")).unionByName(crowds.select("node"))
+    sketched = _sketched(rows, first, nodes.distinct(), work)
+    links = _alike(rows, first, nearest, sketched, similarity, keep)
     labels = components(links, "copies")
     labelled = crowds.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     of_token = Window.partitionBy("token")
     apart = labelled.withColumn("several", F.min("label").over(of_token) < F.max("label").over(of_token)).where("several")
-    rest = _pairs(work(_with_heads(work(apart.drop("several")))), similarity, "label", once=True)
-    links = links.unionByName(_alike(rows, first, rest, similarity, keep))
+    carried = sketched.select("node", _folded(F.col("bits"), F.least(F.size("bits"), F.lit(CARRIED))).alias("bits"))
+    apart = work(_with_heads(work(apart.drop("several"))).join(carried, "node"))
+    rest = _pairs(apart, similarity, "label", once=True)
+    links = links.unionByName(_alike(rows, first, rest, sketched, similarity, keep))
     work.delete()
     return links
 
