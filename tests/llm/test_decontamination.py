@@ -1,3 +1,5 @@
+import re
+
 import odd
 from pyspark.sql import functions as F
 
@@ -150,3 +152,13 @@ def test_query_against_brute_force(spark):
                 want.add((d, i))
     got = {(r.doc_id, r.item_id) for r in QUERIES["op10_template_decontamination"](spark, SF).collect()}
     assert got == want and want
+
+
+def test_windows_leave_the_tokens_behind(spark):
+    """What is made of each window must not hold all tokens of its text: a long text would be
+    copied as many times as it has tokens."""
+    df = odd.documents(spark, [ITEM, "x"])
+    plan = D.find_leaks(df, bench(spark, ITEM, "who wrote Hamlet"))._jdf.queryExecution().optimizedPlan().toString()
+    made = [line for line in plan.splitlines() if "Generate explode" in line and "slotted" in line]
+    left = [re.search(r"\), \[([\d, ]*)\], true, \[", line).group(1).split(",") for line in made]
+    assert len(left) == 1 and len(left[0]) == 5  # all but the key

@@ -9,6 +9,8 @@ same value of the document.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,9 +18,6 @@ from tidemark.llm.base import column, stored
 from tidemark.llm.url_filter import MAX_BLOCKS, URLS_PER_BLOCK, bloom_filter, may_contain
 
 WINDOW = 5
-# Different words of a window that are no placeholders, at least; a window with fewer counts
-# with the values of its placeholders.
-LITERAL = 2
 # Tokens of an item that must be found: these, and this share of the others.
 FIRST, SHARE = 7, 0.3
 # Tokens by which neighbouring alignments of a chain may be apart: as many may be inserted or
@@ -89,30 +88,55 @@ def template(text: Column) -> Column:
     return _template(_split(F.lower(_marked(text))))
 
 
+def _coded(df: DataFrame) -> DataFrame:
+    """``df`` with hashes of its ``parts``: ``values`` as they stand, ``codes`` as the template
+    has them, ``words`` with nulls for placeholders. Each token is hashed once, windows are
+    made of the hashes. Texts that are not ``slotted`` have no placeholders."""
+    hashed = df.withColumn("values", F.transform("parts", lambda x: F.xxhash64(x)))
+    codes = F.transform("parts", lambda x, i: F.when(_is_slot(x), F.xxhash64(F.left(x, F.lit(1)))).otherwise(F.get("values", i)))
+    words = F.transform("parts", lambda x, i: F.when(~_is_slot(x), F.get("values", i)))
+    return hashed.withColumns({k: F.when(F.col("slotted"), v).otherwise(F.col("values")) for k, v in (("codes", codes), ("words", words))})
+
+
+def _run(codes: str, at: Column, size: int) -> list[Column]:
+    return [F.get(codes, at + k) for k in range(size)]
+
+
+def _slots_of(at: Column, window: int) -> Column:
+    """``_slots`` of a text as ``_coded``: most windows hold no placeholder."""
+    full = reduce(lambda x, y: x & y, [w.isNotNull() for w in _run("words", at, window)])
+    return F.when(~F.col("slotted") | full, F.array().cast("array<string>")).otherwise(_slots(at, window))
+
+
+def _no_windows() -> Column:
+    return F.array().cast("array<struct<at:int,hash:bigint,slots:array<string>>>")
+
+
 def _windows(size: int) -> Column:
-    """(at, hash) of each window of the columns ``parts`` and ``t``; shorter texts are one
-    window. Those poor in words are hashed with what stands in their placeholders."""
-    holes = F.array(F.lit(NUMBER), F.lit(NAME), F.lit(UNIT))
-    places = F.sequence(F.lit(0), F.greatest(F.size("t") - size, F.lit(0)))
+    """(at, hash, slots) of each window of a text as ``_coded``; shorter texts are one window.
+    Those with fewer than two different words are hashed with what stands in their
+    placeholders."""
+    n = F.size("parts")
+    places = F.sequence(F.lit(0), F.greatest(n - size, F.lit(0)))
 
     def plain(i: Column) -> Column:
-        return F.struct(i.alias("at"), F.xxhash64(F.slice("t", i + 1, size)).alias("hash"))
+        return F.struct(i.alias("at"), F.xxhash64(*_run("codes", i, size)).alias("hash"), F.array().cast("array<string>").alias("slots"))
 
     def checked(i: Column) -> Column:
-        window = F.slice("t", i + 1, size)
-        poor = F.size(F.array_except(window, holes)) < LITERAL
-        chosen = F.when(poor, F.slice("parts", i + 1, size)).otherwise(window)
-        return F.struct(i.alias("at"), F.xxhash64(chosen).alias("hash"))
+        words = _run("words", i, size)
+        poor = F.coalesce(F.least(*words) == F.greatest(*words), F.lit(True))
+        chosen = F.when(poor, F.xxhash64(*_run("values", i, size))).otherwise(F.xxhash64(*_run("codes", i, size)))
+        return F.struct(i.alias("at"), chosen.alias("hash"), _slots_of(i, size).alias("slots"))
 
-    hashed = F.when(F.arrays_overlap("t", holes), F.transform(places, checked)).otherwise(F.transform(places, plain))
-    return F.when(F.size("t") > 0, hashed).otherwise(F.array().cast("array<struct<at:int,hash:bigint>>"))
+    hashed = F.when(F.col("slotted"), F.transform(places, checked)).otherwise(F.transform(places, plain))
+    return F.when(n > 0, hashed).otherwise(_no_windows())
 
 
-def _exact(size: int) -> Column:
-    """(at, hash) of each run of ``size`` tokens with the values of its placeholders."""
-    runs = F.transform(F.sequence(F.lit(0), F.size("t") - size), lambda i: F.struct(
-        i.alias("at"), F.xxhash64(F.lit(size), F.slice("parts", i + 1, size)).alias("hash")))
-    return F.when(F.size("t") >= size, runs).otherwise(F.array().cast("array<struct<at:int,hash:bigint>>"))
+def _exact(size: int, window: int) -> Column:
+    """(at, hash, slots) of each run of ``size`` tokens with the values of its placeholders."""
+    runs = F.transform(F.sequence(F.lit(0), F.size("parts") - size), lambda i: F.struct(
+        i.alias("at"), F.xxhash64(F.lit(size), *_run("values", i, size)).alias("hash"), _slots_of(i, window).alias("slots")))
+    return F.when(F.size("parts") >= size, runs).otherwise(_no_windows())
 
 
 def find_leaks(
@@ -138,14 +162,16 @@ def find_leaks(
     key of their own. All columns but those named are ignored.
     """
     items = benchmark.select(column(item_id).alias("item"), _split(F.lower(_marked(column(item_text)))).alias("parts"))
-    items = items.withColumn("t", _template(F.col("parts"))).where(F.size("t") > 0).withColumn("n", F.size("t"))
-    items = stored(items, "benchmark")
+    items = items.withColumn("n", F.size("parts")).where("n > 0").withColumn("slotted", F.exists("parts", _is_slot))
+    items = stored(_coded(items), "benchmark")
     short = [r.n for r in items.where(F.col("n").between(SHORTEST, window - 1)).select("n").distinct().collect()]
-    whole = F.array(F.struct(F.lit(0).alias("at"), F.xxhash64(F.col("n"), F.col("parts")).alias("hash")))
+    # What a short item has less than a window is null, which hashes pass over.
+    whole = F.array(F.struct(F.lit(0).alias("at"), F.xxhash64("n", *_run("values", F.lit(0), window)).alias("hash"),
+                             _slots(F.lit(0), window).alias("slots")))
     within = F.when(F.col("n").between(SHORTEST, window - 1), F.concat(_windows(window), whole)).otherwise(_windows(window))
     items = stored(
-        items.select("item", "n", "t", "parts", F.explode_outer(within).alias("w"))
-        .select("item", "n", F.col("w.at").alias("item_at"), "w.hash", _slots(F.col("w.at"), window).alias("item_slots")),
+        items.select("item", "n", F.explode_outer(within).alias("w"))
+        .select("item", "n", F.col("w.at").alias("item_at"), "w.hash", F.col("w.slots").alias("item_slots")),
         "benchmark",
     )
     blocks = max(1, min(MAX_BLOCKS, -(-items.count() // URLS_PER_BLOCK)))
@@ -154,17 +180,13 @@ def find_leaks(
     documents = df.select(
         *[column(k).alias(n) for n, k in zip(names, keys)], F.lower(_marked(column(text))).alias("marked")
     ).select(*names, _split(F.col("marked")).alias("parts"), F.col("marked").contains(END).alias("slotted"))
-    # A text without placeholders is its own template.
-    documents = documents.withColumn("t", F.when(F.col("slotted"), _template(F.col("parts"))).otherwise(F.col("parts")))
-    wanted = F.concat(_windows(window), *[_exact(n) for n in sorted(short)]) if short else _windows(window)
-    # The outer form: for the plain one Spark adds a filter on the array below, and computes
-    # the tokens once more for every window to evaluate it.
-    every = documents.select(*names, "t", "parts", F.explode_outer(wanted).alias("w")).select(
-        *names, "t", "parts", F.col("w.at").alias("at"), F.col("w.hash").alias("hash")
-    ).where("hash is not null")
-    maybe = may_contain(every, "hash", bloom, blocks, "maybe").where("maybe").select(
-        *names, "at", "hash", _slots(F.col("at"), window).alias("slots")
-    )
+    documents = _coded(documents)
+    wanted = F.concat(_windows(window), *[_exact(n, window) for n in sorted(short)]) if short else _windows(window)
+    # Tokens of the text stay behind: each window would get a copy of them all. The outer form:
+    # for the plain one Spark adds a filter on the array below, and computes the tokens once
+    # more for every window to evaluate it.
+    every = documents.select(*names, F.explode_outer(wanted).alias("w")).select(*names, "w.*").where("hash is not null")
+    maybe = may_contain(every, "hash", bloom, blocks, "maybe").where("maybe").drop("maybe")
     met = maybe.join(items, "hash").withColumn("start", F.col("at") - F.col("item_at"))
     # Rows of one alignment, each window once.
     once = met.groupBy(*names, "item", "start", "item_at").agg(
