@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.base import column, either, stored, text_key
+from tidemark.llm.url_filter import MAX_BLOCKS, URLS_PER_BLOCK, bloom_filter, may_contain
 
 AROUND = 80
 MAX_LABELLED = 20_000
@@ -33,12 +34,14 @@ DICTIONARY = (
 CREDENTIAL = ("token", "secret", "password", "passwd", "pwd", "api[_-]?key", "access[_-]?key", "secret[_-]?key", "auth", "credential", "bearer", "private[_-]?key")
 # What stands right before a value that is given to the name of a credential.
 _NAMED = r"(?:" + either(CREDENTIAL) + r"[0-9_]{0,3}[\"'`]?\s{0,3}(?:[=:]|:=|=>)\s{0,3}|bearer\s{1,3})"
+# How that ends. It follows from _NAMED and is far cheaper to look back for, so it comes first.
+_GIVEN = r"(?:[=:>]\s{0,3}|r\s{1,3})"
 # Such a value, whatever it is made of: up to the closing quotation mark, or without one up to
 # white space. Anywhere else at least twelve characters of keys and codes, one of them a digit;
 # '=' is part of them only as padding at the end.
 CANDIDATE = (
-    rf"(?i:(?<=[\"'`])(?<={_NAMED}[\"'`]))[^\"'`\n]+(?=[\"'`])"
-    rf"|(?i:(?<=[=:>\s\"'`])(?<={_NAMED}[\"'`]?))(?![=:])[^\s\"'`,;&<>]*[^\s\"'`,;&<>.):]"
+    rf"(?i:(?<=[\"'`])(?<={_GIVEN}[\"'`])(?<={_NAMED}[\"'`]))[^\"'`\n]+(?=[\"'`])"
+    rf"|(?i:(?<=[=:>\s\"'`])(?<={_GIVEN}[\"'`]?)(?<={_NAMED}[\"'`]?))(?![=:])[^\s\"'`,;&<>]*[^\s\"'`,;&<>.):]"
     r"|(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{12,}(?:={1,2}(?![A-Za-z0-9+/_=\-\"'`]))?"
 )
 # Keys that are known by their own shape.
@@ -193,11 +196,10 @@ def redact_secrets(
     """``df`` with every secret in ``text`` replaced by ``mark``, all rows and columns kept.
 
     A string judged a secret in one place of a text is replaced wherever it stands in that
-    text; one without a digit or of fewer than twelve characters only behind its name. Texts without candidates are passed on as they are. Null texts stay null; equal
+    text; one without a digit or of fewer than twelve characters only behind its name. Texts without secrets are passed on as they are. Null texts stay null; equal
     texts are treated alike.
     """
     rows = df.withColumn("__key", text_key(column(text)))
-    has = F.coalesce(column(text).rlike(CANDIDATE), F.lit(False))
     found = stored(features(candidates(
         df.select(column(text).alias("text"), *([column(path).alias("where")] if path else []),
                   text_key(column(text)).alias("key")),
@@ -210,8 +212,12 @@ def redact_secrets(
     # Longer ones first, so that none is torn by a shorter one inside it.
     ordered = F.array_sort(F.col("__secrets"), lambda a, b: F.length(b["value"]) - F.length(a["value"]))
     secrets = stored(secrets.select(F.col("key").alias("__key"), ordered.alias("__secrets")), "secrets")
-    joined = rows.where(has).join(secrets, "__key", "left")
+    # Few texts hold a secret; a Bloom filter of their keys passes all others on unread.
+    blocks = max(1, min(MAX_BLOCKS, -(-secrets.count() // URLS_PER_BLOCK)))
+    marked = may_contain(rows, "__key", bloom_filter(secrets, "__key", blocks), blocks, "__maybe")
+    joined = marked.where("__maybe").join(secrets, "__key", "left")
     cleaned = F.aggregate("__secrets", column(text), lambda t, s: F.replace(
         t, F.concat(s["name"], s["value"]), F.concat(s["name"], F.lit(mark))))
     cleaned = joined.withColumn(text, F.coalesce(cleaned, column(text)))
-    return cleaned.select(*[column(c) for c in df.columns]).unionByName(df.where(~has))
+    columns = [column(c) for c in df.columns]
+    return cleaned.select(*columns).unionByName(marked.where("not __maybe").select(*columns))
