@@ -414,9 +414,9 @@ def fingerprint_pairs(first: DataFrame, radius: int = RADIUS) -> DataFrame:
     return pairs
 
 
-def near_copy_links(rows: DataFrame, first: DataFrame, similarity: float, keep: Scratch) -> DataFrame:
-    """Links ``a``, ``b`` between the ``node`` of ``first`` whose shingle sets are at least
-    ``similarity`` alike: not all pairs, but enough to connect all that are.
+def near_copy_labels(rows: DataFrame, first: DataFrame, similarity: float, keep: Scratch) -> DataFrame:
+    """(node, label) of each ``node`` of ``first`` that chains of nodes whose shingle sets are at
+    least ``similarity`` alike connect with another; the label is the smallest node of them.
 
     Texts whose fingerprints link are compared first. What fingerprints miss is found by
     first shingles: up to FEW that meet are compared each with each. In larger crowds everyone
@@ -444,9 +444,16 @@ def near_copy_links(rows: DataFrame, first: DataFrame, similarity: float, keep:
     carried = sketched.select("node", _folded(F.col("bits"), F.least(F.size("bits"), F.lit(CARRIED))).alias("bits"))
     apart = work(_with_heads(work(apart.drop("several"))).join(carried, "node"))
     rest = _pairs(apart, similarity, "label", once=True)
-    links = links.unionByName(_alike(rows, first, rest, sketched, similarity, keep))
+    links = _alike(rows, first, rest, sketched, similarity, keep)
+    # What is connected already is one node now.
+    for end in ("a", "b"):
+        links = links.join(labels.select(F.col("node").alias(end), "label"), end, "left")
+        links = links.withColumn(end, F.coalesce("label", end)).drop("label")
+    merged = components(links.distinct(), "copies")
     work.delete()
-    return links
+    every = labels.unionByName(merged.select("node", F.col("node").alias("label"))).distinct()
+    top = merged.select(F.col("node").alias("label"), F.col("label").alias("top"))
+    return every.join(top, "label", "left").select("node", F.coalesce("top", "label").alias("label"))
 
 
 def known_by_place(df: DataFrame) -> bool:
@@ -488,7 +495,7 @@ def drop_near_copies(
     first = printed.groupBy("k1", "k2").agg(F.min(order).alias("order"), F.any_value("fp").alias("fp"))
     first = first.select("k1", "fp", "order", F.col("order.at").alias("at"))
     first = keep(first.withColumn("node", F.monotonically_increasing_id()))
-    labels = components(near_copy_links(rows, first, similarity, keep), "copies")
+    labels = near_copy_labels(rows, first, similarity, keep)
     best = first.join(labels, "node", "left").groupBy(F.coalesce("label", "node").alias("label")).agg(F.min("order").alias("order"))
     kept = keep(best.select(F.col("order.at").alias("at")))
     gone = stored(rows.select("at").join(kept, "at", "left_anti"), "copies")
