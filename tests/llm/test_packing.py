@@ -4,13 +4,16 @@ from collections import defaultdict
 
 import corpus_pipeline
 import odd
+import pyarrow as pa
 import public_tokenizers
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from conftest import SF
-from tidemark.llm import packing
+from tidemark.llm import base, packing
 from tidemark.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -136,3 +139,41 @@ def test_added_tokens_as_the_tokenizer_gives_them(spark, tmp_path):
         want[i] = (len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)))
     for out in (QUERIES["op7_best_fit_packing"](spark, str(tmp_path)), corpus_pipeline.pack(spark, docs, str(tmp_path))):
         assert {r.doc_id: (r.length, r.ids_crc32) for r in out.collect()} == want
+
+
+def test_workers_get_few_bytes_at_once(spark, monkeypatch):
+    """Of 9,000 texts of 2 KB a worker holds a few megabytes; the session's setting comes back."""
+    got = []
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [batch.nbytes], "rows": [batch.num_rows]})
+
+    def spy(df, purpose):
+        texts = df.sparkSession.range(0, 9000, 1, 1).select(F.expr("repeat('x', 2000)").alias("text"))
+        got.append(texts.mapInArrow(sizes, "bytes long, rows long").collect())
+        return base.stored(df, purpose)
+
+    monkeypatch.setattr(packing, "stored", spy)
+    before = spark.conf.get(base._BATCH)
+    rows = packing.pack(odd.documents(spark, ["a b", None]), PATH).collect()
+    assert len(rows) == 2 and spark.conf.get(base._BATCH) == before
+    assert sum(r.rows for r in got[0]) == 9000 and max(r.bytes for r in got[0]) <= 1.1 * base.BATCH_BYTES
+
+
+def test_batches_of_a_session_come_back(spark):
+    spark.conf.set(base._BATCH, "7m")
+    try:
+        with pytest.raises(ValueError), base.small_batches(spark):
+            assert spark.conf.get(base._BATCH) == str(base.BATCH_BYTES)
+            raise ValueError
+        assert spark.conf.get(base._BATCH) == "7m"
+    finally:
+        spark.conf.unset(base._BATCH)
+
+
+def test_tokenizer_is_loaded_when_needed():
+    encoder = packing.Encoder(PATH, special_as_text=False)
+    encoder.ids("plain words")
+    assert encoder.loaded is None
+    assert struct.unpack("<I", encoder.ids("<|endoftext|>")) == (50256,)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +74,27 @@ class Scratch:
         folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+# Bytes of rows that go to a Python worker at once. They are held several times over: on both
+# sides of the pipe, as Arrow columns and as Python values.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs started inside hand whole texts to Python ``BATCH_BYTES`` at a time (a longer text by
+    itself), where it would be 10,000 of them or 64 MB. The session's setting comes back after."""
+    before = spark.conf.get(_BATCH, None)
+    spark.conf.set(_BATCH, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH)
+        else:
+            spark.conf.set(_BATCH, before)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once to the shared folder and read again.
 

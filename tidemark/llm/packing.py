@@ -18,12 +18,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.base import column, stored
+from tidemark.llm.base import column, small_batches, stored
 
 CAPACITY = 2048
 
@@ -41,11 +42,13 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             added = [t["content"] for t in json.load(f).get("added_tokens", [])]
         self.added = None if special_as_text or not added else re.compile("|".join(map(re.escape, added)))
-        self.loaded = self.added and Tokenizer.from_file(path)
+        self.path, self.loaded = path, None  # 30 MB a worker, loaded for the first such text
         self.encoding = tiktoken.Encoding("bytes", pat_str=_PATTERN, mergeable_ranks=ranks(path), special_tokens={})
 
     def ids(self, text: str) -> bytes:
         if self.added and self.added.search(text):
+            if self.loaded is None:
+                self.loaded = Tokenizer.from_file(self.path)
             ids = self.loaded.encode(text, add_special_tokens=False).ids
             return struct.pack(f"<{len(ids)}I", *ids)
         return self.encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
@@ -186,25 +189,28 @@ def pieces(
     df: DataFrame, id_column: str, text: str, tokenizer: str, capacity: int = CAPACITY, special_as_text: bool = True
 ) -> DataFrame:
     """One row per piece, with its task and its number among that task's pieces of its length."""
+    columns = ["id", "piece", "start", "length", "ids_crc32", "part", "nr"]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer, special_as_text)
         seen: dict[int, int] = defaultdict(int)
         for batch in batches:
             rows = []
-            for doc, part, content in zip(batch["id"], batch["part"], batch["text"]):
-                ids = encoder.ids(content) + bytes(4)
+            for doc, part, content in zip(batch["id"].to_pylist(), batch["part"].to_pylist(), batch["text"]):
+                ids = encoder.ids(content.as_py()) + bytes(4)
                 for i, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
                     rows.append((doc, i, start, length, crc, part, seen[length]))
                     seen[length] += 1
-            yield pd.DataFrame(rows, columns=["id", "piece", "start", "length", "ids_crc32", "part", "nr"]).astype({"id": "Int64"})
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], columns)
 
     rows = df.select(
         column(id_column).cast("long").alias("id"), F.spark_partition_id().alias("part"),
         F.coalesce(column(text), F.lit("")).alias("text"),
     )
-    return rows.mapInPandas(
+    return rows.mapInArrow(
         encode, "id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nr bigint"
     )
 
@@ -221,7 +227,8 @@ def pack(
     packed each for itself. An empty table gives no rows. With ``special_as_text`` off, added
     tokens of the file in a text are the ids that ``tokenizers`` gives them as loaded.
     """
-    rows = stored(pieces(df, id_column, text, tokenizer, capacity, special_as_text), "pieces")
+    with small_batches(df.sparkSession):
+        rows = stored(pieces(df, id_column, text, tokenizer, capacity, special_as_text), "pieces")
     by_task = stored(rows.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n")), "pieces")
     # One line per length: at most ``capacity`` of them.
     counts = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}
