@@ -1,5 +1,6 @@
 """Held-out accuracy and odd cases of the two trained classifiers."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -109,3 +110,22 @@ def test_toxicity_odd_texts(spark):
         assert len(got) == len(odd.TEXTS) + 1 and all(0 <= s <= 1 for s in got.values())
         assert got[0] == got[1] == got[2] and got[7] == got[8]
         assert abs(got[6] - got[12]) < 1e-6  # the same words over and over
+
+
+def test_training_holds_few_words_at_once():
+    """The driver's memory beside the model stays near that of the features, and nothing of the
+    words is kept after."""
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    words = ["".join(w) for w in letters[rng.integers(0, 26, (20_000, 14))]]
+    assert {len(langid.features(w)) for w in words} == {max(14 - 2, 0) + 9}
+    assert [len(langid.features("a" * n)) for n in (1, 2, 3, 70)] == [9, 9, 10, 77]
+    texts = [" ".join(words[i : i + 50]) for i in range(0, len(words), 50)]
+    tracemalloc.start()
+    try:
+        langid.train(texts, [f"l{i % 8}" for i in range(len(texts))])
+        most = tracemalloc.get_traced_memory()[1]
+        print("most", most)
+    finally:
+        tracemalloc.stop()
+    assert most < 60e6 and not langid._BUCKETS

@@ -31,6 +31,8 @@ BATCH = 64
 CACHED = 200_000
 CELLS = 1 << 19
 TOGETHER = 1024
+# Words, and segments of texts, that training looks at together.
+TRAINED = 4096
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -132,9 +134,11 @@ def train(texts: list[str | None], langs: list[str], seed: int = 5) -> Model:
             owner.append(languages.index(g))
     if not segments:
         return model
-    lists = [features(w) for w in vocabulary]
-    flat = np.concatenate([np.array(x, np.int64) for x in lists])
-    sizes = np.array([len(x) for x in lists])
+    flat = np.fromiter(chain.from_iterable(map(features, vocabulary)), np.int64)
+    sizes = np.array([max(len(w) - 2, 0) + 9 for w in vocabulary])  # as many as features gives
+    words = len(vocabulary)
+    vocabulary.clear()
+    _BUCKETS.clear()
     begins = np.cumsum(sizes) - sizes
     owner_of = np.array(owner)
     lengths = np.array([len(s) for s in segments])
@@ -144,24 +148,29 @@ def train(texts: list[str | None], langs: list[str], seed: int = 5) -> Model:
     mask = np.arange(SEGMENT)[None] < lengths[:, None]
 
     # Words by themselves: how often each feature stands in texts of each language.
-    counts = np.zeros((len(vocabulary), k), np.float64)
+    counts = np.zeros((words, k), np.float64)
     np.add.at(counts, (table[mask], np.repeat(owner_of, lengths)), 1)
     prior = counts.sum(0) + 1.0
     by_feature = np.zeros((BUCKETS, k), np.float64)
-    np.add.at(by_feature, flat, np.repeat(np.sqrt(counts), sizes, axis=0))
+    for i in range(0, words, TRAINED):
+        some = slice(begins[i], begins[i] + sizes[i : i + TRAINED].sum())
+        np.add.at(by_feature, flat[some], np.repeat(np.sqrt(counts[i : i + TRAINED]), sizes[i : i + TRAINED], axis=0))
     share = (by_feature + 0.5 * prior / prior.sum()) / (by_feature.sum(1, keepdims=True) + 0.5)
     model.weights[:] = 0.35 * (np.log(share) - np.log(prior / prior.sum()))
     rng = np.random.default_rng(seed)
     model.transitions[:] = np.log(np.where(np.eye(k), 0.95, 0.05 / (k - 1)))
     for epoch in range(EPOCHS):
-        emissions = _emissions(model, flat, begins)
+        emissions = np.empty((words, k), np.float32)
+        for i in range(0, words, TRAINED):
+            some = slice(begins[i], begins[i] + sizes[i : i + TRAINED].sum())
+            emissions[i : i + TRAINED] = _emissions(model, flat[some], begins[i : i + TRAINED] - begins[i])
         target = np.empty((len(segments), SEGMENT, k), np.float32)
         expected = np.zeros((k, k))
-        for i in range(0, len(segments), 4096):
-            s = emissions[table[i : i + 4096]]
-            s = s + 0.5 * np.eye(k, dtype=np.float32)[owner_of[i : i + 4096]][:, None, :]
-            gamma, moved = forward_backward(s, lengths[i : i + 4096], model, pairs=True)
-            target[i : i + 4096] = gamma
+        for i in range(0, len(segments), TRAINED):
+            s = emissions[table[i : i + TRAINED]]
+            s = s + 0.5 * np.eye(k, dtype=np.float32)[owner_of[i : i + TRAINED]][:, None, :]
+            gamma, moved = forward_backward(s, lengths[i : i + TRAINED], model, pairs=True)
+            target[i : i + TRAINED] = gamma
             expected += moved
         rate = 0.1 / (1 + epoch)
         squares = np.full((BUCKETS, k), 1e-3, np.float32)
