@@ -327,6 +327,15 @@ def test_sales_load(spark):
     assert batch.count() == 5 and batch.columns == order.columns
 
 
+def test_order_details_are_drawn_once(spark):
+    """No filter draws a time or a product again to see that it is not null."""
+    details = sales.gen_order_details(sales.numbers(spark, 10), 2023, 1000010, 1000010)
+    products = sales.gen_products(sales.numbers(spark, 10), 2023, spark.createDataFrame([("A1",)], "product_category_nr string"))
+    versions = spark.createDataFrame(products.collect(), products.schema)
+    plan = sales.price_details(details, versions)._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5(" in plan and not [x for x in plan.split("\n") if "Filter" in x and "md5(" in x]
+
+
 def test_prices_follow_the_order_time(spark):
     products = spark.createDataFrame([("P1", datetime(2023, 1, 1), 10), ("P1", datetime(2023, 6, 1), 20), ("P2", datetime(2023, 1, 1), 5)], "product_nr string, modified_at timestamp, p int")
     products = products.selectExpr("product_nr", "modified_at", "cast(p as decimal(18,2)) price", "cast(p as decimal(18,2)) priceWithoutVAT")

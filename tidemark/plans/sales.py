@@ -39,10 +39,11 @@ MONEY = "decimal(18,2)"
 
 
 def pick(salt: str, below: Column | int, *seed: Column) -> Column:
-    """Whole number from 0 to below - 1, drawn by hashing ``seed``."""
+    """Whole number from 0 to below - 1, drawn by hashing ``seed``; never null, and known to be,
+    so that no filter draws it a second time to see."""
     text = F.concat_ws("|", F.lit(salt), *[s.cast("string") for s in seed])
     number = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("bigint")
-    return F.pmod(number, below if isinstance(below, Column) else F.lit(below))
+    return F.coalesce(F.pmod(number, below if isinstance(below, Column) else F.lit(below)), F.lit(0))
 
 
 def choose(values: Sequence[str], salt: str, *seed: Column) -> Column:
@@ -60,7 +61,8 @@ def _start_of(year: int) -> Column:
 def _moment_in(year: int, days: int, salt: str, *seed: Column) -> Column:
     """Second of the year after its first, drawn by hashing; never the very start."""
     seconds = pick(salt, days * 86400 - 1, *seed) + F.lit(1)
-    return _start_of(year) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+    passed = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+    return F.coalesce(_start_of(year) + passed, _start_of(year))  # never null, as ``pick``
 
 
 def gen_customers(
