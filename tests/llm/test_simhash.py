@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF
 from tidemark.llm import simhash
-from tidemark.llm.components import components
+from tidemark.llm.components import components, joined_components
 from tidemark.llm.queries import QUERIES
 
 
@@ -82,6 +82,19 @@ def test_components_of_a_long_path_and_a_star(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_links_that_come_later_join_components(spark):
+    rng = random.Random(3)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(300)]
+    whole = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    labels = components(spark.createDataFrame(edges[:150], "a long, b long"))
+    later = [(a, b) for a, b in edges[150:] if a != b]
+    got = joined_components(labels, spark.createDataFrame(later, "a long, b long"))
+    alone = {a for a, b in edges if a == b} - {x for a, b in edges if a != b for x in (a, b)}
+    assert {r.node: r.label for r in got.collect() if r.node not in alone} == {k: v for k, v in whole.items() if k not in alone}
+    nothing = joined_components(labels, spark.createDataFrame([], "a long, b long"))
+    assert sorted(nothing.collect()) == sorted(labels.collect())
+
+
 def test_odd_texts(spark):
     df = odd.documents(spark, odd.TEXTS)
     got = {r.doc_id: r for r in simhash.near_duplicates(df).collect()}
@@ -235,3 +248,27 @@ def test_only_pairs_that_sketches_allow_are_compared_by_their_sets(spark, monkey
     monkeypatch.setattr(simhash.Scratch, "__call__", counted)
     assert sorted(r.doc_id for r in simhash.drop_near_copies(odd.documents(spark, texts)).collect()) == want
     assert len(want) > 40 and max(stored) < 400, stored
+
+
+def test_links_of_a_large_group_grow_with_its_members(spark, monkeypatch):
+    """Copies of one page, each edited in a few places: most pairs are alike or nearly so, few of
+    them are compared by their sets."""
+    rng = random.Random(13)
+    page = [f"w{i}" for i in range(150)]
+    texts = []
+    for i in range(400):
+        own = list(page)
+        for _ in range(rng.choice([1, 2, 2, 3, 3, 4])):
+            own[rng.randrange(len(own))] = f"v{rng.randrange(100000)}"
+        texts.append(" ".join(own))
+    want = kept_by_brute_force(texts)
+    links, call = [], simhash._alike
+
+    def counted(*args):
+        out = call(*args)
+        links.append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "_alike", counted)
+    assert sorted(r.doc_id for r in simhash.drop_near_copies(odd.documents(spark, texts, extra=False)).collect()) == want
+    assert sum(links) < 4 * len(texts), links

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.base import Scratch, column, stored
-from tidemark.llm.components import components
+from tidemark.llm.components import components, joined_components, still_apart
 from tidemark.llm.url_filter import MAX_BLOCKS, URLS_PER_BLOCK, bloom_filter, listed_marks, may_contain
 
 SEED = 42
@@ -171,6 +171,8 @@ SALTED = 512
 # Bits of a sketch for each shingle, at least; longs of it that go along with rows that meet.
 SKETCH = 2
 CARRIED = 8
+# Pairs of a node that are compared before its others.
+CLOSEST = 4
 # Hashes of words that a task remembers.
 KNOWN_WORDS = 50_000
 _TINY = 1e-9  # what rounding may do to a share
@@ -243,13 +245,19 @@ def _folded(bits: Column, words: Column) -> Column:
     return F.when(F.size(bits) <= words, bits).otherwise(F.transform(F.sequence(F.lit(0), words - 1), place))
 
 
-def _sketches_allow(similarity: float, other: str) -> Column:
-    """Of two texts with ``n`` and ``bits``: their sizes and sketches leave room for the similarity."""
-    n, bits = F.col(f"{other}n"), F.col(f"{other}bits")
+def _places_apart(other: str) -> Column:
+    """Of two texts with ``bits``: the places in which their sketches differ."""
+    bits = F.col(f"{other}bits")
     words = F.least(F.size("bits"), F.size(bits))
     differ = F.zip_with(_folded(F.col("bits"), words), _folded(bits, words), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(differ, F.lit(0), lambda x, y: x + y)
+
+
+def _sketches_allow(similarity: float, other: str) -> Column:
+    """Of two texts with ``n`` and ``bits``: their sizes and sketches leave room for the similarity."""
+    n = F.col(f"{other}n")
     sizes = F.least(F.col("n"), n) >= similarity * F.greatest(F.col("n"), n) - _TINY
-    return sizes & (F.aggregate(differ, F.lit(0), lambda x, y: x + y) <= (F.col("n") + n) * ((1 - similarity) / (1 + similarity)) + _TINY)
+    return sizes & (_places_apart(other) <= (F.col("n") + n) * ((1 - similarity) / (1 + similarity)) + _TINY)
 
 
 def frequent_shingles(texts: DataFrame, shingle: int = SHINGLE) -> np.ndarray:
@@ -377,16 +385,26 @@ def _sketched(rows: DataFrame, first: DataFrame, nodes: DataFrame, keep: Scratch
     return found
 
 
-def _alike(rows: DataFrame, first: DataFrame, pairs: DataFrame, sketched: DataFrame, similarity: float, keep: Scratch) -> DataFrame:
-    """Those of the pairs ``a``, ``b`` whose exact shingle sets are as similar as that.
-
-    Sketches come first. They leave few pairs that are not alike, and only sets of these are
-    shuffled.
-    """
-    work = Scratch(rows.sparkSession, "copies")
+def _close(pairs: DataFrame, sketched: DataFrame, similarity: float, work: Scratch) -> DataFrame:
+    """Those of the pairs ``a``, ``b`` whose sketches allow the similarity, with ``far``, the
+    share of their shingles that sketches tell apart."""
     left = pairs.join(sketched.withColumnRenamed("node", "a"), "a")
     right = sketched.select(F.col("node").alias("b"), F.col("n").alias("other_n"), F.col("bits").alias("other_bits"))
-    close = left.join(right, "b").where(_sketches_allow(similarity, "other_"))
+    both = left.join(right, "b").where(_sketches_allow(similarity, "other_"))
+    return work(both.select("a", "b", (_places_apart("other_") / (F.col("n") + F.col("other_n"))).alias("far")))
+
+
+def _closest(close: DataFrame) -> DataFrame:
+    """Of the pairs the CLOSEST ones of each node."""
+    sides = close.select("a", "b", "far").unionByName(close.select(F.col("b").alias("a"), F.col("a").alias("b"), "far"))
+    place = F.row_number().over(Window.partitionBy("a").orderBy("far", "b"))
+    few = sides.withColumn("place", place).where(F.col("place") <= CLOSEST)
+    return few.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _alike(rows: DataFrame, first: DataFrame, close: DataFrame, similarity: float, keep: Scratch) -> DataFrame:
+    """Those of the pairs ``a``, ``b`` whose exact shingle sets are as similar as that."""
+    work = Scratch(rows.sparkSession, "copies")
     sides = work(close.select("a", "b", F.explode(F.array("a", "b")).alias("node")))
     wanted = work(sides.join(first.select("node", "at"), "node").drop("node"))
     sets = _rows_at(rows, wanted).select("at", shingle_sets(F.col("text")).alias("s"))
@@ -399,6 +417,26 @@ def _alike(rows: DataFrame, first: DataFrame, pairs: DataFrame, sketched: DataFr
     return links
 
 
+def _connected(
+    rows: DataFrame, first: DataFrame, close: DataFrame, similarity: float, labels: DataFrame | None = None
+) -> DataFrame:
+    """``labels`` (node, label) with the pairs of ``close`` counted in that are alike.
+
+    The closest pairs of each node are compared first, then every other pair that these leave
+    apart: in a group of copies most are connected by then, so the sets that are shuffled and
+    the links that are searched grow with its members, not with its pairs.
+    """
+    work = Scratch(rows.sparkSession, "copies")
+    closest = work(_closest(close))
+    links = _alike(rows, first, closest, similarity, work)
+    labels = components(links, "copies") if labels is None else joined_components(labels, links, "copies")
+    others = work(still_apart(close.join(closest, ["a", "b"], "left_anti"), labels))
+    if not others.isEmpty():
+        labels = joined_components(labels, _alike(rows, first, others, similarity, work), "copies")
+    work.delete()
+    return labels
+
+
 def fingerprint_pairs(first: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Pairs ``a`` < ``b`` of nodes by the fingerprints ``fp`` of ``first``: each node with the
     first one of its fingerprint, and the first ones of fingerprints that link."""
@@ -414,9 +452,9 @@ def fingerprint_pairs(first: DataFrame, radius: int = RADIUS) -> DataFrame:
     return pairs
 
 
-def near_copy_links(rows: DataFrame, first: DataFrame, similarity: float, keep: Scratch) -> DataFrame:
-    """Links ``a``, ``b`` between the ``node`` of ``first`` whose shingle sets are at least
-    ``similarity`` alike: not all pairs, but enough to connect all that are.
+def near_copy_labels(rows: DataFrame, first: DataFrame, similarity: float) -> DataFrame:
+    """(node, label) of each ``node`` of ``first`` that chains of nodes whose shingle sets are at
+    least ``similarity`` alike connect with others; the label is the smallest of them.
 
     Texts whose fingerprints link are compared first. What fingerprints miss is found by
     first shingles: up to FEW that meet are compared each with each. In larger crowds everyone
@@ -436,17 +474,16 @@ def near_copy_links(rows: DataFrame, first: DataFrame, similarity: float, keep:
     nearest = work(nearest.distinct())
     nodes = nearest.select(F.explode(F.array("a", "b")).alias("node")).unionByName(crowds.select("node"))
     sketched = _sketched(rows, first, nodes.distinct(), work)
-    links = _alike(rows, first, nearest, sketched, similarity, keep)
-    labels = components(links, "copies")
+    labels = _connected(rows, first, _close(nearest, sketched, similarity, work), similarity)
     labelled = crowds.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     of_token = Window.partitionBy("token")
     apart = labelled.withColumn("several", F.min("label").over(of_token) < F.max("label").over(of_token)).where("several")
     carried = sketched.select("node", _folded(F.col("bits"), F.least(F.size("bits"), F.lit(CARRIED))).alias("bits"))
     apart = work(_with_heads(work(apart.drop("several"))).join(carried, "node"))
-    rest = _pairs(apart, similarity, "label", once=True)
-    links = links.unionByName(_alike(rows, first, rest, sketched, similarity, keep))
+    close = _close(_pairs(apart, similarity, "label", once=True), sketched, similarity, work)
+    labels = _connected(rows, first, close, similarity, labels)
     work.delete()
-    return links
+    return labels
 
 
 def known_by_place(df: DataFrame) -> bool:
@@ -488,7 +525,7 @@ def drop_near_copies(
     first = printed.groupBy("k1", "k2").agg(F.min(order).alias("order"), F.any_value("fp").alias("fp"))
     first = first.select("k1", "fp", "order", F.col("order.at").alias("at"))
     first = keep(first.withColumn("node", F.monotonically_increasing_id()))
-    labels = components(near_copy_links(rows, first, similarity, keep), "copies")
+    labels = near_copy_labels(rows, first, similarity)
     best = first.join(labels, "node", "left").groupBy(F.coalesce("label", "node").alias("label")).agg(F.min("order").alias("order"))
     kept = keep(best.select(F.col("order.at").alias("at")))
     gone = stored(rows.select("at").join(kept, "at", "left_anti"), "copies")
